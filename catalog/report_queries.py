@@ -330,12 +330,12 @@ _TFIDF_LABEL, _TFIDF_LABEL_PARTS = _tfidf("sentiment_label, ", 10)
 
 @register("tfidf_keywords", query("tokenized", _TFIDF, **_TFIDF_PARTS))
 def tfidf_keywords(spark, sf):
-    return keywords.tfidf_keywords(V.tokenized(spark, sf))
+    return keywords.tfidf_keywords(V.durable_tokens(spark, sf))
 
 
 @register("tfidf_keywords_by_label", query("tokenized", _TFIDF_LABEL, **_TFIDF_LABEL_PARTS))
 def tfidf_keywords_by_label(spark, sf):
-    return keywords.tfidf_keywords(V.tokenized(spark, sf), ["sentiment_label"], k=10)
+    return keywords.tfidf_keywords(V.durable_tokens(spark, sf), ["sentiment_label"], k=10)
 
 
 def _log_odds(table: str, group: str, where: str = "") -> tuple[str, dict[str, str]]:

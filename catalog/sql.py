@@ -150,6 +150,7 @@ SELECT strftime(l_shipdate, {ISO}) AS create_time, CASE l_returnflag WHEN 'A' TH
 FROM lineitem"""
 VIEWS["event_comments"] = f"""
 SELECT event_id AS seq, 'e' || event_id AS comment_id, 'v' || user_id AS video_id,
+  'Video ' || user_id AS video_caption,
   'u' || (user_id * 3 % 40) AS username, 'u' || (user_id % 40) AS video_author_username,
   props AS text_raw, strftime(ts, {ISO}) AS create_time,
   CAST(floor(value) AS BIGINT) AS digg_count,
@@ -157,7 +158,7 @@ SELECT event_id AS seq, 'e' || event_id AS comment_id, 'v' || user_id AS video_i
     WHEN 'click' THEN 'netral' WHEN 'view' THEN 'netral' ELSE 'tidak_terklasifikasi' END
     AS sentiment_label,
   CASE event_type WHEN 'signup' THEN 'llm_failed' WHEN 'view' THEN 'llm' ELSE 'model' END
-    AS sentiment_method
+    AS sentiment_method, 'run-' || (event_id % 2) AS run_id
 FROM events"""
 EXCLUDED_USERS = ("u7", "u21", "u39", "nobody")
 VIEWS["marked"] = f"""

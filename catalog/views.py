@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from echolens import constants as C
 from echolens.operators import classify, tiers
+from echolens.operators.narrative import SECTIONS
+from echolens.session import durable, spread
 
 # Frequent words of the test prose, standing in for the real lists.
 STOPWORDS = ("the", "and", "of", "in", "la", "le", "de", "der", "die", "el", "tidak")
@@ -39,7 +41,7 @@ def _text_id(prefix: str, value: Column) -> Column:
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents + labels as analyzed comments."""
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"), "doc_id")
     labels = table(spark, sf_dir, "labels")
     n = F.col("doc_id")
     label = (
@@ -80,6 +82,12 @@ def tokenized(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify.preprocess(posts(spark, sf_dir), STOPWORDS, SLANG)
 
 
+def durable_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens written once, for operators that read them several times."""
+    rows = tokenized(spark, sf_dir)
+    return durable(rows.select("seq", "comment_id", "sentiment_label", "run_id", "tokens_stemmed"))
+
+
 def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One account type per video, derived from the language."""
     kind = (
@@ -104,6 +112,57 @@ def tiered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiers.attach_tier(tokenized(spark, sf_dir), accounts(spark, sf_dir))
 
 
+def whole_run(df: DataFrame) -> DataFrame:
+    """All rows as one run."""
+    return df.withColumn("run_id", F.lit("all"))
+
+
+def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents as narrative bodies, each opening with an entity and a number."""
+    docs = spread(table(spark, sf_dir, "documents"), "doc_id")
+    n = F.col("doc_id")
+    entity = F.get(
+        F.array(*[F.lit(x) for x in ("KOL", "Overall", "Official", "tidak diketahui", "AFFILIATE")]),
+        (n % 5).cast("int"),
+    )
+    number = F.when(n % 2 == 0, (F.col("n_chars") % 60).cast("string")).otherwise(
+        F.concat(F.lit("+"), (F.col("n_chars") % 60).cast("string"), F.lit(",5"))
+    )
+    section = F.get(F.array(*[F.lit(x) for x in SECTIONS]), (n % 3).cast("int"))
+    return docs.select(
+        F.lit("all").alias("run_id"), (n % 50).alias("attempt"), section.alias("section"),
+        n.alias("idx"), F.col("source").alias("title"),
+        F.concat_ws(
+            " ", entity, number,
+            F.when(n % 7 == 0, "karena"), F.lit("pada Agu 26, 2024:"), "text",
+        ).alias("body"),
+    )
+
+
+def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """conversations as candidate narratives, some of them malformed."""
+    talk = table(spark, sf_dir, "conversations")
+    n = F.col("conv_id") + F.col("turn")
+    item = F.struct(
+        F.col("role").alias("title"), F.when(n % 7 == 3, "  ").otherwise(F.col("text")).alias("body")
+    )
+    good = F.array(F.struct(F.lit("t").alias("title"), F.lit("b").alias("body")))
+    whole = F.to_json(F.struct(
+        good.alias("headline"), F.array(item, item).alias("risk"), good.alias("actions")
+    ))
+    text = (
+        F.when(n % 7 == 0, F.to_json(F.struct(good.alias("headline"), good.alias("actions"))))
+        .when(n % 7 == 1, "[1, 2]").when(n % 7 == 2, "not json")
+        .when(n % 7 == 4, '{"headline": [{"title": "t", "body": "b"}, "x"], "risk": [], "actions": {}}')
+        .when(n % 7 == 5, '{"headline": [{"title": 3, "body": "b"}]}')
+        .otherwise(whole)
+    )
+    return talk.select(
+        F.col("conv_id").cast("string").alias("run_id"), F.col("turn").alias("attempt"),
+        text.alias("narrative"),
+    )
+
+
 def order_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """orders as analyzed comments spread over years."""
     rows = table(spark, sf_dir, "orders")
@@ -156,6 +215,7 @@ def event_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id").alias("seq"),
         _text_id("e", F.col("event_id")).alias("comment_id"),
         _text_id("v", F.col("user_id")).alias("video_id"),
+        _text_id("Video ", F.col("user_id")).alias("video_caption"),
         _text_id("u", F.col("user_id") * 3 % 40).alias("username"),
         _text_id("u", F.col("user_id") % 40).alias("video_author_username"),
         F.col("props").alias("text_raw"),
@@ -166,6 +226,7 @@ def event_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("sentiment_method"),
         F.lit(False).alias("excluded"),
         F.lit(None).cast("string").alias("exclude_reason"),
+        _text_id("run-", F.col("event_id") % 2).alias("run_id"),
     )
 
 

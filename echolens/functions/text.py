@@ -44,18 +44,36 @@ def _folding_exceptions() -> dict[str, str]:
 _FOLDS = _folding_exceptions()
 _FOLD_ONE = {k: v for k, v in _FOLDS.items() if len(v) == 1}
 _FOLD_MANY = {k: v for k, v in _FOLDS.items() if len(v) > 1}
+_RARE = "".join(k for k in _FOLDS if k != "ß")
 
 
-def case_fold(text: Column) -> Column:
-    """Full Unicode case folding: lower-casing plus its rare exceptions.
+def lower_text(text: Column) -> Column:
+    """Lower case with the common sharp s already expanded."""
+    return F.replace(F.lower(F.coalesce(text, F.lit(""))), F.lit("ß"), F.lit("ss"))
+
 
-    The exception branch runs only for rows that hold such a character.
+def fold_exceptions(lowered: Column) -> Column:
+    """Turn lower-cased into fully case-folded text.
+
+    One pass of ``translate`` tells whether an exception occurs at all; only
+    such rows are taken apart.
     """
-    lowered = F.lower(F.coalesce(text, F.lit("")))
-    folded = F.translate(lowered, "".join(_FOLD_ONE), "".join(_FOLD_ONE.values()))
-    for char, expansion in _FOLD_MANY.items():
-        folded = F.replace(folded, F.lit(char), F.lit(expansion))
-    return F.when(lowered.rlike("[" + "".join(_FOLDS) + "]"), folded).otherwise(lowered)
+    many, expansions = sorted(_FOLD_MANY), literal_map(_FOLD_MANY)
+    single = F.translate(lowered, "".join(_FOLD_ONE), "".join(_FOLD_ONE.values()))
+    expanded = F.array_join(
+        F.transform(
+            F.split(single, ""),
+            lambda ch: F.when(ch.isin(many), F.element_at(expansions, ch)).otherwise(ch),
+        ),
+        "",
+    )
+    is_rare = F.translate(lowered, _RARE, "") != lowered
+    return F.when(is_rare, expanded).otherwise(lowered)
+
+
+def case_fold(text: Column) -> Column:
+    """Full Unicode case folding."""
+    return fold_exceptions(lower_text(text))
 
 
 def clean(text: Column) -> Column:

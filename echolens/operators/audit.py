@@ -198,31 +198,39 @@ def verdicts(audited: DataFrame, by: Sequence[str] = (RUN, "attempt")) -> DataFr
 
 
 # --- shape check -------------------------------------------------------------
+def _item_reason(section: str):
+    """Why an item of a section is no finding; null when it is one."""
+
+    def reason(item: Column, position: Column) -> Column:
+        is_object = F.schema_of_variant(item).startswith("OBJECT")
+        title = F.schema_of_variant(F.try_variant_get(item, "$.title", "variant"))
+        body = F.schema_of_variant(F.try_variant_get(item, "$.body", "variant"))
+        filled = strip(F.try_variant_get(item, "$.body", "string")) != ""
+        whole = (title == "STRING") & (body == "STRING") & filled
+        none = F.lit(False)
+        return (
+            F.when(
+                ~F.coalesce(is_object, none),
+                F.format_string(ITEM_NOT_OBJECT, F.lit(section), position),
+            )
+            .when(
+                ~F.coalesce(whole, none),
+                F.format_string(ITEM_INCOMPLETE, F.lit(section), position),
+            )
+        )
+
+    return reason
+
+
 def shape_reason(text: Column) -> Column:
     """Why a candidate's JSON text is not a narrative; null when it is one."""
     doc = F.try_parse_json(text)
     reasons = [F.when(F.json_object_keys(text).isNull(), NOT_AN_OBJECT)]
     for name in SECTIONS:
         items = F.try_variant_get(doc, f"$.{name}", "array<variant>")
-
-        def item_reason(item: Column, i: Column, name: str = name) -> Column:
-            kind = F.schema_of_variant(item)
-            title = F.schema_of_variant(F.try_variant_get(item, "$.title", "variant"))
-            body = F.schema_of_variant(F.try_variant_get(item, "$.body", "variant"))
-            filled = strip(F.try_variant_get(item, "$.body", "string")) != ""
-            whole = (title == "STRING") & (body == "STRING") & filled
-            return (
-                F.when(~F.coalesce(kind.startswith("OBJECT"), F.lit(False)),
-                       F.format_string(ITEM_NOT_OBJECT, F.lit(name), i))
-                .when(~F.coalesce(whole, F.lit(False)),
-                      F.format_string(ITEM_INCOMPLETE, F.lit(name), i))
-            )
-
         missing = F.coalesce(F.size(items), F.lit(0)) <= 0
-        broken = F.get(
-            F.filter(F.transform(items, item_reason), lambda r: r.isNotNull()), F.lit(0)
-        )
-        reasons.append(F.when(missing, MISSING_SECTION % name).otherwise(broken))
+        found = F.filter(F.transform(items, _item_reason(name)), lambda r: r.isNotNull())
+        reasons.append(F.when(missing, MISSING_SECTION % name).otherwise(F.get(found, F.lit(0))))
     return F.coalesce(*reasons)
 
 

@@ -24,11 +24,14 @@ def preprocess(
     shuffle and no Python. Stemming follows in ``stem_tokens``.
     """
     listed = X.stopwords_without_negations(stopwords)
-    cleaned = df.withColumn("emoji_found", X.emoji_found(F.col(text))).withColumn(
-        "text_clean", X.clean(X.case_fold(X.without_emoji(F.col(text))))
+    # one column per costly step, so that no step is evaluated twice
+    steps = (
+        df.withColumn("emoji_found", X.emoji_found(F.col(text)))
+        .withColumn("_low", X.lower_text(X.without_emoji(F.col(text))))
+        .withColumn("text_clean", X.clean(X.fold_exceptions(F.col("_low"))))
     )
     tokens = X.drop_words(X.tokenize(X.normalize(F.col("text_clean"), slang)), listed)
-    return cleaned.withColumn("tokens_stemmed", tokens)
+    return steps.withColumn("tokens_stemmed", tokens).drop("_low")
 
 
 def vocabulary(df: DataFrame, tokens: str = "tokens_stemmed") -> DataFrame:

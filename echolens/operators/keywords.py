@@ -13,6 +13,7 @@ from echolens.functions.text import (
     bigrams, drop_words, stopwords_without_negations, theme_pattern,
 )
 from echolens.operators.skew import HOT_SHARE, first_rows, lookup_join
+from echolens.session import durable
 
 TOKENS = "tokens_stemmed"
 
@@ -30,20 +31,21 @@ def tfidf_keywords(
 
     Documents are hash-partitioned once by id, so counting (doc, term) needs no
     shuffle of the much larger exploded rows. Frequent terms are looked up by
-    broadcast and never meet in one task.
+    broadcast and never meet in one task. An empty marker term occurs once per
+    document, so its document frequency is the corpus size.
     """
     joined = F.array_join(F.col(tokens), " ")
     docs = df.filter(F.trim(joined) != "").select(
         *by, doc, F.regexp_extract_all(joined, F.lit(f"{C.WORD}+"), 0).alias("_words")
     )
-    corpus = docs.groupBy(*by).agg(F.count(F.lit(1)).alias("_docs"))
-    terms = docs.repartition(doc).select(
-        *by, doc, F.explode(F.concat("_words", bigrams(F.col("_words")))).alias("keyword")
-    )
+    marked = F.concat(F.array(F.lit("")), F.col("_words"), bigrams(F.col("_words")))
+    terms = docs.repartition(doc).select(*by, doc, F.explode(marked).alias("keyword"))
     tf = terms.groupBy(*by, doc, "keyword").agg(F.count(F.lit(1)).alias("_tf"))
-    stats = tf.groupBy(*by, "keyword").agg(
+    # written once: it is read for the corpus size, the frequent terms and idf
+    stats = durable(tf.groupBy(*by, "keyword").agg(
         F.count(F.lit(1)).alias("_df"), F.sum("_tf").alias("count")
-    )
+    ))
+    corpus = stats.filter("keyword = ''").select(*by, F.col("_df").alias("_docs"))
     if by:
         stats = stats.join(corpus, list(by))
     else:
@@ -53,7 +55,7 @@ def tfidf_keywords(
         (F.log((F.col("_docs") + 1) / (F.col("_df") + 1)) + 1.0).alias("_idf"),
     )
     weighted = lookup_join(
-        tf, idf, [*by, "keyword"], weight="_df", hot_share=hot_share, spread=[doc]
+        tf.filter("keyword <> ''"), idf, [*by, "keyword"], weight="_df", hot_share=hot_share, spread=[doc]
     ).withColumn("_w", F.col("_tf") * F.col("_idf"))
     per_doc = Window.partitionBy(*by, doc)
     unit = F.col("_w") / F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(per_doc))

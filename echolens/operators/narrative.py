@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from echolens import constants as C
 from echolens.functions.numbers import id_number, round_exact, signed
+from echolens.functions.text import tier_rank
 
 # Fixed report sentences (printf templates).
 HEAD_TITLE = "Sentimen bersih %s"
@@ -251,8 +252,6 @@ def metric_facts(
         (c, c) for c in ("net", "video_count", "comment_count", "pct_of_total")
         if c in tiers.columns
     ]
-    from echolens.functions.text import tier_rank
-
     base = tier_rank(F.col("tier")) * 1000
     labeled = themes.join(
         tiers.select(*by, "tier", F.col("label").alias("entity")), [*by, "tier"]
@@ -283,7 +282,8 @@ def fingerprint(facts: DataFrame, by: Sequence[str]) -> DataFrame:
 
     A run has a fixed, small number of facts.
     """
-    items = F.array_sort(F.collect_list(
-        F.struct("entity", "field", round_exact(F.col("value"), 4).alias("value"))
-    ))
-    return facts.groupBy(*by).agg(F.sha2(F.to_json(items), 256).alias("fingerprint"))
+    line = F.concat_ws(
+        "|", "entity", "field", F.format_string("%.4f", round_exact(F.col("value"), 4))
+    )
+    text = F.array_join(F.array_sort(F.collect_list(line)), "\n")
+    return facts.groupBy(*by).agg(F.sha2(text, 256).alias("fingerprint"))

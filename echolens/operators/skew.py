@@ -44,21 +44,16 @@ def lookup_join(
     """
     keys = [on] if isinstance(on, str) else list(on)
     values = [c for c in dim.columns if c not in keys and c != weight]
-    if weight is None:
-        load = fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    else:
-        load = dim.select(*keys, F.col(weight).alias("_rows"))
-    limit = load.agg(F.sum("_rows") * hot_share).scalar()
-    hot_keys = F.broadcast(load.filter(F.col("_rows") > limit).select(*keys))
-
     payload = F.struct(F.lit(1).alias("_hit"), *[F.col(v) for v in values])
     packed = dim.select(*keys, payload.alias("_dim"))
     if weight is None:
-        hot = packed.join(hot_keys, keys, "left_semi")
+        load = fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+        limit = load.agg(F.sum("_rows") * hot_share).scalar()
+        hot_keys = load.filter(F.col("_rows") > limit).select(*keys)
+        hot = packed.join(F.broadcast(hot_keys), keys, "left_semi")
     else:
-        hot = packed.join(
-            dim.filter(F.col(weight) > limit).select(*keys), keys, "left_semi"
-        )
+        limit = dim.agg(F.sum(weight) * hot_share).scalar()
+        hot = dim.filter(F.col(weight) > limit).select(*keys, payload.alias("_dim"))
     hot = hot.withColumnRenamed("_dim", "_hot")
 
     spread_by = [F.col(c) for c in (spread or fact.columns)]

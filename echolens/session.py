@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,6 +59,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return named
 
 
+def workspace(spark: SparkSession, name: str) -> str:
+    """A fresh folder beside the checkpoints, visible to every executor."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Use every core on an input that arrives in few, large pieces.
+
+    A single small file is one task, however costly the work per row. Inputs
+    that already have a split per core are returned as they are, so large
+    tables are not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Write an intermediate that several outputs read, and read it back.
 
