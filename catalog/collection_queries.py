@@ -9,6 +9,7 @@ from catalog.registry import register
 from catalog.sql import ISO, TIER_OF, query, strip
 from echolens.functions import text as X
 from echolens.operators import collect, ingest, mirror, sampling, skew
+from echolens.session import durable
 from echolens.sources import readers, writers
 
 SEED = 7
@@ -159,7 +160,7 @@ FROM (SELECT *, {TIER_OF.format('account_type')} AS own, row_number() OVER (
 
 @register("quota_sample", query("firsts tier_spine", _DRAWN, **_ALLOCATION))
 def quota_sample(spark, sf):
-    videos = mirror.candidates(V.mirror(spark, sf))
+    videos = durable(mirror.candidates(V.mirror(spark, sf)))
     sample, _ = sampling.quota_sample(videos, SIZE, seed=SEED)
     return sample.select("video_id", "account_type", "tier", "position")
 

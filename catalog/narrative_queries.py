@@ -16,7 +16,7 @@ from echolens import constants as C
 from echolens.operators import audit, keywords, narrative, summary, tiers
 from echolens.plans import report
 from echolens.plans.analyze import AnalyzeOptions
-from echolens.session import workspace
+from echolens.session import durable, workspace
 from echolens.streaming import incremental
 
 RUN = ["run_id"]
@@ -130,7 +130,7 @@ SELECT tier, i - 1 AS idx, items[i].title AS title, items[i].body AS body FROM (
     FROM totals t LEFT JOIN (SELECT * FROM themes WHERE rank = 1) h ON t.tier = h.tier))""",
     video_counts=_VIDEO_COUNTS, totals=_TOTALS, themes=_themes_sql("tiered", "tier, ")))
 def tier_narrative(spark, sf):
-    rows = V.tiered(spark, sf)
+    rows = V.durable_tiers(spark, sf)
     totals = tiers.tier_totals(rows, V.accounts(spark, sf))
     themes = tiers.tier_themes(rows, themes=V.THEMES, titles=V.THEME_TITLES)
     return narrative.tier_narrative(totals, themes)
@@ -180,10 +180,9 @@ _FACT_VIEWS = "tiered tier_posts tier_spine accounts"
 
 
 def _evidence(spark, sf):
-    rows = V.whole_run(V.tokenized(spark, sf))
     dim = V.whole_run(V.accounts(spark, sf))
-    tiered = tiers.attach_tier(rows, dim, RUN)
-    themes = tiers.tier_themes(tiered, RUN, V.THEMES, V.THEME_TITLES)
+    rows = tiered = V.whole_run(V.durable_tiers(spark, sf))
+    themes = durable(tiers.tier_themes(tiered, RUN, V.THEMES, V.THEME_TITLES))
     named = themes.withColumn("label", F.col("theme"))
     facts = narrative.metric_facts(
         summary.overall_metrics(rows, RUN), summary.data_quality(rows, RUN),

@@ -168,7 +168,7 @@ def stemmed_tokens(spark, sf):
     word = F.col("word")
     root = F.when(F.length(word) > 4, F.substring(word, F.lit(1), F.length(word) - 2))
     stems = _word_rows(spark, sf).select("word", root.alias("root"))
-    rows = classify.stem_tokens(V.tokenized(spark, sf), stems, key="seq")
+    rows = classify.stem_tokens(V.durable_tokens(spark, sf), stems, key="seq")
     return rows.select("seq", F.array_join("tokens_stemmed", " ").alias("tokens"))
 
 
@@ -213,7 +213,7 @@ FROM tokenized t LEFT JOIN (SELECT seq, sum(CAST({mapping(V.LEXICON)}[w] AS DECI
   WHERE list_contains({quoted(V.LEXICON)}, w) GROUP BY seq) h ON t.seq = h.seq"""))
 def lexicon_labels_from_table(spark, sf):
     lexicon = spark.createDataFrame(list(V.LEXICON.items()), "word string, score double")
-    rows = classify.lexicon_classify(V.tokenized(spark, sf), lexicon, key="seq")
+    rows = classify.lexicon_classify(V.durable_tokens(spark, sf), lexicon, key="seq")
     return rows.select(*_LEXICON_COLUMNS)
 
 

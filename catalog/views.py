@@ -84,8 +84,7 @@ def tokenized(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def durable_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens written once, for operators that read them several times."""
-    rows = tokenized(spark, sf_dir)
-    return durable(rows.select("seq", "comment_id", "sentiment_label", "run_id", "tokens_stemmed"))
+    return durable(tokenized(spark, sf_dir))
 
 
 def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -163,6 +162,10 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def durable_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return durable(tiered(spark, sf_dir))
+
+
 def order_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """orders as analyzed comments spread over years."""
     rows = table(spark, sf_dir, "orders")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from echolens import constants as C
@@ -121,6 +121,16 @@ def literal_map(values: Mapping[str, object]) -> Column:
     return F.create_map(*pairs)
 
 
+def explode_terms(df: DataFrame, keep: Iterable[str], terms: Column, name: str) -> DataFrame:
+    """One row per term.
+
+    A plain ``explode`` makes the optimizer test the array for emptiness first,
+    below the projection that computes it, so the text stages would run twice.
+    """
+    rows = df.select(*keep, F.explode_outer(terms).alias(name))
+    return rows.filter(F.col(name).isNotNull())
+
+
 # --- n-grams -----------------------------------------------------------------
 def bigrams(tokens: Column) -> Column:
     """Adjacent pairs joined by a blank."""

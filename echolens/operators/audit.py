@@ -15,6 +15,7 @@ from echolens import constants as C
 from echolens.functions.text import strip
 from echolens.operators.narrative import SECTIONS
 from echolens.operators.skew import lookup_join
+from echolens.session import durable
 
 RUN = "run_id"
 
@@ -150,9 +151,9 @@ def run_evidence(facts: DataFrame, terms: DataFrame) -> DataFrame:
         F.collect_set(F.when(F.col("entity") != "overall", F.col("entity"))).alias("entities"),
     )
     term_lists = terms.groupBy(RUN).agg(F.collect_set("term").alias("terms"))
-    return fact_lists.join(term_lists, RUN, "left").withColumn(
+    return durable(fact_lists.join(term_lists, RUN, "left").withColumn(
         "terms", F.coalesce("terms", F.array().cast("array<string>"))
-    )
+    ))
 
 
 def audit_claims(claims: DataFrame, evidence: DataFrame) -> DataFrame:

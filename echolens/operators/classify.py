@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from echolens import constants as C
 from echolens.functions import text as X
 from echolens.operators.skew import lookup_join
+from echolens.session import durable
 
 
 def preprocess(
@@ -37,7 +38,7 @@ def preprocess(
 def vocabulary(df: DataFrame, tokens: str = "tokens_stemmed") -> DataFrame:
     """Distinct words and how often each occurs."""
     return (
-        df.select(F.explode(tokens).alias("word"))
+        X.explode_terms(df, [], F.col(tokens), "word")
         .groupBy("word").agg(F.count(F.lit(1)).alias("uses"))
     )
 
@@ -51,6 +52,7 @@ def stem_tokens(
     Each *distinct* word is stemmed once: through a ``(word, root)`` table or a
     vectorized function over the vocabulary. Only words that change are joined
     back, with frequent words spread over many tasks. No stems: identity.
+    Reads ``df`` three times: pass a written table.
     """
     if stems is None:
         return df
@@ -59,7 +61,7 @@ def stem_tokens(
         rooted = words.join(stems.select("word", "root"), "word")
     else:
         rooted = words.withColumn("root", F.pandas_udf(stems, "string")(F.col("word")))
-    changed = rooted.filter("root IS NOT NULL AND root <> word")
+    changed = durable(rooted.filter("root IS NOT NULL AND root <> word"))
     exploded = df.select(key, F.posexplode(tokens).alias("_pos", "word"))
     found = lookup_join(exploded, changed, "word", weight="uses", spread=[key, "_pos"])
     # one row's own tokens come back together: bounded by that row
@@ -100,9 +102,10 @@ def _table_scores(df: DataFrame, lexicon: DataFrame, tokens: str, key: str) -> D
     """Scores from a lexicon table of any size: repeats are merged per row.
 
     Scores are summed as decimals, so the total does not depend on row order.
+    Reads ``df`` three times: pass a written table.
     """
     uses = (
-        df.select(key, F.explode(tokens).alias("word"))
+        X.explode_terms(df, [key], F.col(tokens), "word")
         .groupBy(key, "word").agg(F.count(F.lit(1)).alias("n"))
     )
     known = lookup_join(uses, lexicon, "word", "inner", spread=[key])

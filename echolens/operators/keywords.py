@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from echolens import constants as C
 from echolens.functions.numbers import pct, round_exact
 from echolens.functions.text import (
-    bigrams, drop_words, stopwords_without_negations, theme_pattern,
+    bigrams, drop_words, explode_terms, stopwords_without_negations, theme_pattern,
 )
 from echolens.operators.skew import HOT_SHARE, first_rows, lookup_join
 from echolens.session import durable
@@ -39,7 +39,7 @@ def tfidf_keywords(
         *by, doc, F.regexp_extract_all(joined, F.lit(f"{C.WORD}+"), 0).alias("_words")
     )
     marked = F.concat(F.array(F.lit("")), F.col("_words"), bigrams(F.col("_words")))
-    terms = docs.repartition(doc).select(*by, doc, F.explode(marked).alias("keyword"))
+    terms = explode_terms(docs.repartition(doc), [*by, doc], marked, "keyword")
     tf = terms.groupBy(*by, doc, "keyword").agg(F.count(F.lit(1)).alias("_tf"))
     # written once: it is read for the corpus size, the frequent terms and idf
     stats = durable(tf.groupBy(*by, "keyword").agg(
@@ -89,7 +89,9 @@ def distinctive_keywords(
             drop_words(F.col(tokens), listed), lambda t: F.length(t) > C.KEYWORD_MIN_LENGTH
         )
     )
-    rows = df.select(*by, F.col(group).alias("_g"), F.explode(words).alias("keyword"))
+    rows = explode_terms(
+        df.withColumn("_g", F.col(group)), [*by, "_g"], words, "keyword"
+    )
     per_word = rows.groupBy(*by, "keyword").agg(
         F.count(F.lit(1)).alias("_all"),
         *[F.count_if(F.col("_g") == g).alias(f"_c{i}") for i, g in enumerate(groups)],
@@ -161,7 +163,7 @@ def _top_terms(
     df: DataFrame, terms: Column, name: str, by: Sequence[str], k: int
 ) -> DataFrame:
     counts = (
-        df.select(*by, "seq", F.explode(terms).alias(name))
+        explode_terms(df, [*by, "seq"], terms, name)
         .groupBy(*by, name)
         .agg(F.count(F.lit(1)).alias("count"), F.min("seq").alias("_seen"))
     )

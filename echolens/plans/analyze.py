@@ -34,6 +34,8 @@ class AnalyzeOptions:
 def label_rows(rows: DataFrame, options: AnalyzeOptions) -> DataFrame:
     """Text stages, stems and sentiment for rows that still need them."""
     text = classify.preprocess(rows, options.stopwords, options.slang)
+    if options.stems is not None or isinstance(options.lexicon, DataFrame):
+        text = durable(text)
     stemmed = classify.stem_tokens(text, options.stems)
     if options.scorer is None:
         labeled = classify.lexicon_classify(stemmed, options.lexicon)

@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from echolens.operators import audit, keywords, narrative, ranking, summary, tiers
+from echolens.session import durable
 
 
 def metric_tables(df: DataFrame, by: Sequence[str] = ("run_id",)) -> dict[str, DataFrame]:
     """Every metric that needs no account table."""
     by = list(by)
-    videos = summary.per_video(df, by)
+    videos = durable(summary.per_video(df, by))
     trend = ranking.monthly_trend(df, by)
     return {
         "overall": summary.overall_metrics(df, by),
@@ -47,7 +48,8 @@ def tier_tables(
 ) -> dict[str, DataFrame]:
     """Scorecard, overview, deep dive and sentences per tier."""
     by = list(by)
-    totals = tiers.tier_totals(tiered, accounts, by)
+    totals = durable(tiers.tier_totals(tiered, accounts, by))
+    found = durable(tiers.tier_themes(tiered, by, **themes))
     return {
         "tier_breakdown": tiers.tier_breakdown(tiered, accounts, by),
         "tier_overview": tiers.overall_summary(tiered, accounts, by),
@@ -56,11 +58,9 @@ def tier_tables(
         "tier_words": keywords.top_words(tiered, [*by, "tier"]),
         "tier_pairs": keywords.top_pairs(tiered, [*by, "tier"]),
         "tier_keywords": keywords.keywords_by_tier(tiered, by),
-        "tier_themes": tiers.tier_themes(tiered, by, **themes),
+        "tier_themes": found,
         "tier_examples": ranking.tier_examples(tiered, by),
-        "tier_narrative": narrative.tier_narrative(
-            totals, tiers.tier_themes(tiered, by, **themes), by
-        ),
+        "tier_narrative": narrative.tier_narrative(totals, found, by),
     }
 
 
@@ -101,7 +101,7 @@ def report_tables(
     """
     by = list(by)
     metrics = metric_tables(analyzed, by)
-    tiered = tiers.attach_tier(analyzed, accounts, by)
+    tiered = durable(tiers.attach_tier(analyzed, accounts, by))
     tables = tier_tables(tiered, accounts, by, **themes)
     facts, terms = evidence_tables(metrics, tables, by)
     return {

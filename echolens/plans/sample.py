@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from echolens import constants as C
 from echolens.operators import mirror as M
 from echolens.operators import sampling
+from echolens.session import durable
 
 
 def sample_mirror(
@@ -20,6 +21,7 @@ def sample_mirror(
     """Sample, allocation, manifest and the lines left out."""
     firsts = M.first_rows_per_video(M.keyed_rows(mirror))
     videos = firsts if collected is None else sampling.without_collected(firsts, collected)
+    videos = durable(videos)
     sample, allocation = sampling.quota_sample(videos.drop("lines"), size, quota, seed)
     rejects = M.reject_counts(mirror)
     dropped = rejects.agg(F.coalesce(F.sum("lines"), F.lit(0))).scalar()

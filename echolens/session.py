@@ -49,7 +49,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     executor could not read another machine's disk.
     """
     context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    named = (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or context.getConf().get("spark.checkpoint.dir", None)
+        or context.getCheckpointDir()
+    )
     if not named:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a shared folder")
@@ -78,8 +82,10 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
 def durable(df: DataFrame) -> DataFrame:
     """Write an intermediate that several outputs read, and read it back.
 
-    A reliable checkpoint survives lost executors; recomputing the text stage
-    once per metric table would cost a full scan each.
+    Cuts the lineage like a reliable checkpoint, and the readers still get
+    column pruning and file statistics. Survives lost executors; without it
+    every reader would repeat the work behind the table.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = workspace(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
