@@ -31,15 +31,14 @@ def spreadsheet_safe(df: DataFrame) -> DataFrame:
 
 def month_lines(flat: DataFrame) -> DataFrame:
     """The 14 fixed columns of the month file; ids stay text."""
-    lines = flat.select(*[c for c in S.MONTH_COLUMNS])
-    return spreadsheet_safe(lines)
+    return spreadsheet_safe(flat.select(*S.MONTH_COLUMNS))
 
 
 def write_month_csv(flat: DataFrame, path: str) -> None:
     """Flat month file. Spark writes no byte-order mark."""
-    lines = month_lines(flat).withColumn("month", flat["month"])
     (
-        lines.write.mode("overwrite")
+        spreadsheet_safe(flat.select(*S.MONTH_COLUMNS, "month"))
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("month")
         .option("header", True)
