@@ -168,7 +168,7 @@ def quota_sample(spark, sf):
 @register("sample_manifest", query("firsts tier_spine", f"""
 SELECT {SIZE} AS requested_size, CAST(sum(allocated) AS BIGINT) AS sampled,
   CAST(max(unfilled) AS BIGINT) AS unfilled_slots,
-  (SELECT sum(lines) - count(*) FROM firsts) AS duplicate_rows_dropped,
+  (SELECT CAST(sum(lines) - count(*) AS BIGINT) FROM firsts) AS duplicate_rows_dropped,
   CASE WHEN sum(allocated) * 123 >= 3600 THEN (sum(allocated) * 123 // 3600) || 'h '
     || (sum(allocated) * 123 % 3600 // 60) || 'm' ELSE (sum(allocated) * 123 // 60) || 'm' END
     AS estimated_batch_duration,

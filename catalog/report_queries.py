@@ -167,7 +167,7 @@ def _engagement_sql(table: str, by: str = "") -> str:
     return f"""
 SELECT {by}total_likes, {net()} AS net_by_likes, {net("r_pos", "r_neg", "r_neu")}
   AS net_by_likes_trimmed, {pct("top", "total_likes")} AS top10_like_share_pct
-FROM (SELECT {by}sum(digg_count) AS total_likes, sum(digg_count) FILTER (WHERE rn <= 10) AS top, {sums}
+FROM (SELECT {by}CAST(sum(digg_count) AS BIGINT) AS total_likes, sum(digg_count) FILTER (WHERE rn <= 10) AS top, {sums}
   FROM (SELECT *, row_number() OVER ({part}ORDER BY digg_count DESC, seq) AS rn FROM {table})
   {group})"""
 

@@ -129,7 +129,7 @@ def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     section = F.get(F.array(*[F.lit(x) for x in SECTIONS]), (n % 3).cast("int"))
     return docs.select(
-        F.lit("all").alias("run_id"), (n % 50).alias("attempt"), section.alias("section"),
+        F.when(F.col("lang").isNotNull(), "all").alias("run_id"), (n % 50).alias("attempt"), section.alias("section"),
         n.alias("idx"), F.col("source").alias("title"),
         F.concat_ws(
             " ", entity, number,

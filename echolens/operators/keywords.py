@@ -47,7 +47,7 @@ def tfidf_keywords(
     ))
     corpus = stats.filter("keyword = ''").select(*by, F.col("_df").alias("_docs"))
     if by:
-        stats = stats.join(corpus, list(by))
+        stats = lookup_join(stats, corpus, by, "inner", spread=["keyword"])
     else:
         stats = stats.withColumn("_docs", corpus.scalar())
     idf = stats.select(
@@ -92,10 +92,11 @@ def distinctive_keywords(
     rows = explode_terms(
         df.withColumn("_g", F.col(group)), [*by, "_g"], words, "keyword"
     )
-    per_word = rows.groupBy(*by, "keyword").agg(
+    # written once: it is read for the group sizes and for the scores
+    per_word = durable(rows.groupBy(*by, "keyword").agg(
         F.count(F.lit(1)).alias("_all"),
         *[F.count_if(F.col("_g") == g).alias(f"_c{i}") for i, g in enumerate(groups)],
-    )
+    ))
     totals = per_word.groupBy(*by).agg(
         F.sum("_all").alias("_n_all"),
         *[F.sum(f"_c{i}").alias(f"_n{i}") for i in range(len(groups))],
@@ -111,7 +112,7 @@ def distinctive_keywords(
         "_n_all", F.array(*[F.col(f"_n{i}") for i in range(len(groups))]).alias("n")
     ).alias("_sizes"))
     if by:
-        sized = counted.join(sizes, list(by))
+        sized = lookup_join(counted, sizes, by, "inner", spread=["keyword"])
     else:
         sized = counted.withColumn("_sizes", sizes.scalar())
     n_target = F.element_at(F.col("_sizes.n"), F.col("_i") + 1)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from echolens.functions.text import blank_to, strip, video_key
 from echolens.operators.skew import lookup_join
+from echolens.session import durable
 
 
 def keyed_rows(mirror: DataFrame) -> DataFrame:
@@ -25,12 +26,18 @@ def first_rows_per_video(keyed: DataFrame) -> DataFrame:
 
     An aggregate rather than a window: each task keeps one candidate per video
     before the shuffle, so a video behind a third of all orders costs nothing.
+    Lines without an id are dropped as one group afterwards: a filter on the id
+    would move below the projection and evaluate its patterns a second time.
     """
     fields = F.struct("line", "account_type", "creator_username")
     return (
-        keyed.filter("video_id IS NOT NULL")
-        .groupBy("video_id")
-        .agg(F.min_by(fields, F.col("line")).alias("_first"), F.count(F.lit(1)).alias("lines"))
+        keyed.groupBy("video_id")
+        .agg(
+            F.min_by(fields, F.col("line")).alias("_first"),
+            F.count(F.lit(1)).alias("lines"),
+            F.count("video_id").alias("_named"),
+        )
+        .filter("_named > 0")
         .select("video_id", "_first.*", "lines")
     )
 
@@ -43,10 +50,11 @@ def candidates(mirror: DataFrame) -> DataFrame:
 def rejected_rows(mirror: DataFrame) -> DataFrame:
     """(line, reason, detail, kept_account_type) of every line not kept."""
     keyed = keyed_rows(mirror)
-    kept = first_rows_per_video(keyed).select(
+    # written once: it is read for the frequent videos and for all others
+    kept = durable(first_rows_per_video(keyed).select(
         "video_id", F.col("line").alias("kept_line"),
         F.col("account_type").alias("kept_account_type"), "lines",
-    )
+    ))
     rows = lookup_join(keyed, kept, "video_id", weight="lines", spread=["line"])
     conflict = F.col("account_type") != F.col("kept_account_type")
     reason = (

@@ -73,8 +73,8 @@ def engagement(df: DataFrame, by: Sequence[str] = (), top: int = 10) -> DataFram
     if by:
         both = every.join(tops, list(by))
     else:
-        # two one-row tables
-        both = every.withColumn("_one", F.lit(1)).join(tops.withColumn("_one", F.lit(1)), "_one")
+        both = every.withColumn("_t", tops.select(F.struct(*tops.columns)).scalar())
+        both = both.select(*every.columns, "_t.*")
     rest = [F.col(c) - F.col(f"top_{c}") for c in ("pos", "neg", "neu")]
     return both.select(
         *by,

@@ -124,6 +124,9 @@ def smallest_keys(
             F.max_by(F.col("_limit") - F.col("_before"), F.col("_range")).alias("_share"),
         )
     )
+    if list(by) == ["tier"]:
+        # one row per tier
+        cut = F.broadcast(cut)
     near = ranged.join(cut, list(by)).filter("_range <= _cut")
     whole = near.filter("_range < _cut")
     inside = Window.partitionBy(*by).orderBy(key)

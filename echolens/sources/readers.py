@@ -13,6 +13,8 @@ from echolens import schema as S
 from echolens.functions.text import blank_to, stopwords_without_negations, strip
 
 VIDEO_COLUMNS = ("url_or_id", "id_konten")
+# Up to this many file splits, their offsets are broadcast (tens of MB).
+MAX_BROADCAST_SPLITS = 200_000
 CREATOR_COLUMNS = ("nama_pengguna_kreator", "creator_username")
 
 
@@ -34,6 +36,9 @@ def number_rows(df: DataFrame, name: str) -> DataFrame:
     )
     before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = splits.withColumn("_offset", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
+    # every task reads at most one full split beside the ends of files
+    if df.rdd.getNumPartitions() + len(df.inputFiles()) <= MAX_BROADCAST_SPLITS:
+        offsets = F.broadcast(offsets)
     place = F.col("_offset") + F.col("_tick") - F.col("_first")
     return spot.join(offsets.drop("_rows"), ["_file", "_block"]).select(
         *df.columns, place.alias(name)
