@@ -79,15 +79,20 @@ def adjacent_pairs(spark, sf):
     )
 
 
-@register("masked_customers", """
-SELECT c_custkey, CASE WHEN length(n) > 4 THEN substr(n, 1, 2) || repeat('*', length(n) - 4)
+@register("masked_names", """
+SELECT o_orderkey, CASE WHEN length(n) > 4 THEN substr(n, 1, 2) || repeat('*', length(n) - 4)
     || right(n, 2) WHEN length(n) > 0 THEN substr(n, 1, 1) || repeat('*', length(n) - 1) ELSE '' END
     AS masked
-FROM (SELECT c_custkey, substr(c_name, 1, c_custkey % 12) AS n FROM customer)""")
-def masked_customers(spark, sf):
-    name = F.substring(F.col("c_name"), F.lit(1), F.col("c_custkey") % 12)
-    return V.table(spark, sf, "customer").select(
-        "c_custkey", X.mask_username(name).alias("masked")
+FROM (SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN o_orderstatus WHEN 1 THEN o_orderpriority
+  ELSE '' || o_custkey END AS n FROM orders)""")
+def masked_names(spark, sf):
+    kind = F.col("o_orderkey") % 3
+    name = (
+        F.when(kind == 0, F.col("o_orderstatus")).when(kind == 1, F.col("o_orderpriority"))
+        .otherwise(F.col("o_custkey").cast("string"))
+    )
+    return V.table(spark, sf, "orders").select(
+        "o_orderkey", X.mask_username(name).alias("masked")
     )
 
 

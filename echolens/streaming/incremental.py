@@ -68,7 +68,11 @@ def incremental_analyze(
         rows = last_wins(batch, ["comment_id"], "seq")
         done = _previous(spark, output, batch_id)
         if done is not None:
-            rows = pending(rows, reusable(done, hybrid))
+            # only ids of this batch, and of each the latest entry, decide
+            seen = done.select("comment_id", "hybrid_enabled", "batch_id").join(
+                rows.select("comment_id"), "comment_id", "left_semi"
+            )
+            rows = pending(rows, reusable(last_wins(seen, ["comment_id"], "batch_id"), hybrid))
         labeled = label_rows(rows, options).select(*columns)
         (
             labeled.withColumn("hybrid_enabled", F.lit(hybrid))
