@@ -29,41 +29,50 @@ def tfidf_keywords(
     group is a corpus of its own. ``count`` is the raw term frequency. Ties in
     the score are alphabetical.
 
-    Documents are hash-partitioned once by id, so counting (doc, term) needs no
-    shuffle of the much larger exploded rows. Frequent terms are looked up by
-    broadcast and never meet in one task. An empty marker term occurs once per
-    document, so its document frequency is the corpus size.
+    Three passes over the tokens, each shuffling terms once, already combined:
+    document frequencies, then document lengths, then the sums. Documents are
+    hash-partitioned by id before their terms are exploded, so counting terms
+    per document needs no shuffle of the much larger exploded rows. Frequent
+    terms are looked up by broadcast and never meet in one task. An empty marker
+    term occurs once per document, so its frequency is the corpus size.
     """
     joined = F.array_join(F.col(tokens), " ")
     docs = df.filter(F.trim(joined) != "").select(
         *by, doc, F.regexp_extract_all(joined, F.lit(f"{C.WORD}+"), 0).alias("_words")
-    )
-    marked = F.concat(F.array(F.lit("")), F.col("_words"), bigrams(F.col("_words")))
-    terms = explode_terms(docs.repartition(doc), [*by, doc], marked, "keyword")
-    tf = terms.groupBy(*by, doc, "keyword").agg(F.count(F.lit(1)).alias("_tf"))
+    ).repartition(doc)
+    words = F.col("_words")
+    marked = F.concat(F.array(F.lit("")), words, bigrams(words))
+    tf = _term_counts(docs, [*by, doc], marked)
     # written once: it is read for the corpus size, the frequent terms and idf
-    stats = durable(tf.groupBy(*by, "keyword").agg(
-        F.count(F.lit(1)).alias("_df"), F.sum("_tf").alias("count")
-    ))
-    corpus = stats.filter("keyword = ''").select(*by, F.col("_df").alias("_docs"))
+    stats = durable(tf.groupBy(*by, "keyword").agg(F.count(F.lit(1)).alias("_df")))
+    corpus = stats.filter("keyword = ''").select(
+        *by, F.col("_df").alias("_docs"), F.col("_df").alias("_load")
+    )
     if by:
-        stats = lookup_join(stats, corpus, by, "inner", spread=["keyword"])
+        sized = lookup_join(stats, corpus, by, "inner", weight="_load", spread=["keyword"])
     else:
-        stats = stats.withColumn("_docs", corpus.scalar())
-    idf = stats.select(
-        *by, "keyword", "_df", "count",
-        (F.log((F.col("_docs") + 1) / (F.col("_df") + 1)) + 1.0).alias("_idf"),
+        sized = stats.withColumn("_docs", corpus.select("_docs").scalar())
+    idf = sized.select(*by, "keyword", "_df", _idf("_df").alias("_idf"))
+    weight = F.col("_tf") * F.col("_idf")
+    lengths = (
+        lookup_join(
+            tf.filter("keyword <> ''"), idf, [*by, "keyword"], weight="_df",
+            hot_share=hot_share, spread=[doc],
+        )
+        .groupBy(doc).agg(F.sqrt(F.sum(weight * weight)).alias("_length"))
+    )
+    terms = _term_counts(
+        docs.join(lengths, doc), [*by, doc, "_length"], F.concat(words, bigrams(words))
     )
-    weighted = lookup_join(
-        tf.filter("keyword <> ''"), idf, [*by, "keyword"], weight="_df", hot_share=hot_share, spread=[doc]
-    ).withColumn("_w", F.col("_tf") * F.col("_idf"))
-    per_doc = Window.partitionBy(*by, doc)
-    unit = F.col("_w") / F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(per_doc))
-    scores = (
-        weighted.select(*by, "keyword", "count", unit.alias("_unit"))
-        .groupBy(*by, "keyword")
-        .agg(F.sum("_unit").alias("_score"), F.first("count").alias("count"))
+    sums = terms.groupBy(*by, "keyword").agg(
+        F.sum(F.col("_tf") / F.col("_length")).alias("_sum"),
+        F.count(F.lit(1)).alias("_df"), F.sum("_tf").alias("count"),
     )
+    if by:
+        sums = lookup_join(sums, corpus, by, "inner", weight="_load", spread=["keyword"])
+    else:
+        sums = sums.withColumn("_docs", corpus.select("_docs").scalar())
+    scores = sums.select(*by, "keyword", "count", (F.col("_sum") * _idf("_df")).alias("_score"))
     # the sum of doubles depends on row order in its last digits only
     order = [F.round("_score", 9).desc(), F.col("keyword")]
     return first_rows(scores, by, order, k).select(
@@ -71,6 +80,17 @@ def tfidf_keywords(
     )
 
 
+def _term_counts(docs: DataFrame, keys: Sequence[str], terms: Column) -> DataFrame:
+    return (
+        explode_terms(docs, keys, terms, "keyword")
+        .groupBy(*keys, "keyword").agg(F.count(F.lit(1)).alias("_tf"))
+    )
+
+
+def _idf(frequency: str) -> Column:
+    return F.log((F.col("_docs") + 1) / (F.col(frequency) + 1)) + 1.0
+
+
 # --- distinctive words -------------------------------------------------------
 def distinctive_keywords(
     df: DataFrame, group: str, groups: Sequence[str], by: Sequence[str] = (),

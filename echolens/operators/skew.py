@@ -38,8 +38,9 @@ def lookup_join(
     scattered by a salt, so no task receives a hot group. All other keys use an
     ordinary shuffle join.
 
-    ``weight`` names a column of ``dim`` that already counts the fact rows per
-    key; without it the keys are counted first. ``spread`` names fact columns
+    ``weight`` names a column of ``dim`` that counts the fact rows per key, or
+    grows with them; without it the keys are counted first, which reads ``fact``
+    twice. ``spread`` names fact columns
     that vary inside a hot group. ``how`` is left, inner, semi or anti.
     """
     keys = [on] if isinstance(on, str) else list(on)
