@@ -6,11 +6,10 @@ from pyspark.sql import functions as F
 
 from catalog import views as V
 from catalog.registry import register
-from catalog.sql import COUNTS, EXCLUDED_USERS, TIER_OF, id_number, net, pct, query, quoted, rnd, signed, strip
+from catalog.sql import COUNTS, EXCLUDED_USERS, TIER_OF, net, pct, query, quoted, rnd
 from echolens import constants as C
 from echolens.functions.text import theme_pattern
-from echolens.operators import audit, exclusion, keywords, narrative, ranking, summary, tiers
-from echolens.plans import report
+from echolens.operators import exclusion, keywords, ranking, summary, tiers
 
 RUN = ["run_id"]
 
