@@ -1,4 +1,4 @@
-"""Summaries, rankings, keywords, tiers, narrative and claim audit."""
+"""Summaries, rankings, keywords and tiers."""
 
 from __future__ import annotations
 
