@@ -12,11 +12,11 @@ Candidates share a band of ROWS coordinates. At similarity 0.75 a pair misses al
 confirmed on the full sets, 100 * intersection >= 75 * union.
 
 No pairs within a bucket are listed while they can be avoided. Documents with
-equal sets are one class. In each bucket the members are first compared with the
-smallest member; only then are pairs of one bucket listed that are still in
-different components, first between the components' smallest members and then
-between all members that remain, so no link that matters to the components is
-lost whatever the size of a bucket.
+equal sets are one class. Each class is first compared with the smallest member of
+its buckets. Then the sketches of members of one bucket that are still in different
+components are compared in blocks: first those pairs are confirmed that most
+likely connect the components, and at last all likely pairs that remain, so no link
+that matters to the components is lost whatever the size of a bucket.
 
 Results in edge cases: a null text counts as empty; a document without words has
 an empty set, links with nothing and stays; rows without ``doc_id`` do too; rows
@@ -44,8 +44,9 @@ THRESHOLD = 75  # per cent
 BINS, ROWS = 256, 6
 BANDS = BINS // ROWS
 # Pairs whose sketches agree in fewer coordinates are not compared: at similarity
-# 0.75 the estimate is 5.5 standard deviations higher.
-LEAST_EQUAL = round(0.60 * BINS)
+# 0.75 the estimate is 4 standard deviations higher.
+LEAST_EQUAL = round(0.64 * BINS)
+BLOCK = 4096
 CACHED_WORDS = 400_000
 GOLDEN = 0x9E3779B97F4A7C15
 
@@ -178,38 +179,74 @@ def _common(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([count(x, y) for x, y in zip(a, b)], dtype="int32")
 
 
+def _likely_pairs(least: int, forest: bool):
+    """Pairs of a block whose components differ, sizes allow a link and sketches agree
+    in ``least`` coordinates; with ``forest`` only as many as connect them."""
+
+    def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        reps, parts = frame["rep"].to_numpy(np.int64), frame["component"].to_numpy(np.int64)
+        sizes = frame["n_shingles"].to_numpy(np.int64)
+        own, other = frame["own"].to_numpy(), frame["other"].to_numpy()
+        marks = np.frombuffer(b"".join(frame["sketch"]), np.uint8).reshape(-1, BINS)
+        root = np.arange(len(reps))
+
+        def find(i: int) -> int:
+            while root[i] != i:
+                root[i] = root[root[i]]
+                i = root[i]
+            return i
+
+        # members of the most frequent component are compared with the others only
+        values, counts = np.unique(parts, return_counts=True)
+        out = []
+        for i in np.flatnonzero(parts != values[counts.argmax()]).tolist():
+            fit = (parts != parts[i]) & ((own == other[i]) & (other == own[i]))
+            fit &= np.minimum(sizes, sizes[i]) * 100 >= np.maximum(sizes, sizes[i]) * THRESHOLD
+            near = np.flatnonzero(fit)
+            near = near[(marks[near] == marks[i]).sum(axis=1) >= least]
+            for j in near.tolist():
+                if forest:
+                    x, y = find(i), find(j)
+                    if x == y:
+                        continue
+                    root[max(x, y)] = min(x, y)
+                out.append((min(reps[i], reps[j]), max(reps[i], reps[j])))
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    return run
+
+
 class _Linker:
     """Confirms candidate pairs of class representatives and keeps their components."""
 
-    def __init__(self, docs: DataFrame, members: DataFrame):
-        self.docs, self.members = docs, members
+    def __init__(self, docs: DataFrame, members: DataFrame, buckets: DataFrame):
+        self.members, self.buckets = members, buckets
+        wanted = buckets.select(F.col("rep").alias("doc_id")).distinct()
+        # the texts are shuffled once, whatever the size of the other side
+        some = texts(docs).join(wanted.hint("merge"), "doc_id", "left_semi")
+        self.sets = durable(some.mapInArrow(_sets, "doc_id bigint, shingles binary"))
         self.links: DataFrame | None = None
-        self.asked: DataFrame | None = None
 
-    def _likely(self, pairs: DataFrame) -> DataFrame:
-        """Pairs (a, b) whose sizes and sketches allow a link."""
-        side = lambda s: self.members.select(
+    def _side(self, s: str) -> DataFrame:
+        return self.members.select(
             F.col("rep").alias(s), F.col("n_shingles").alias(f"n{s}"), F.col("sketch").alias(f"s{s}")
         )
+
+    def likely(self, pairs: DataFrame) -> DataFrame:
+        """Pairs (a, b) whose sizes and sketches allow a link."""
         small, large = F.least("na", "nb"), F.greatest("na", "nb")
         return (
-            pairs.join(side("a"), "a").join(side("b"), "b")
+            pairs.join(self._side("a"), "a").join(self._side("b"), "b")
             .filter(small * 100 >= large * THRESHOLD)
             .filter(_equal_bytes("sa", "sb") >= LEAST_EQUAL)
-            .select("a", "b", "na", "nb")
+            .select("a", "b")
         )
 
     def confirm(self, pairs: DataFrame) -> None:
         """Add the links among ``pairs``, each listed once as (a, b) with a < b."""
-        pairs = self._likely(pairs)
-        if self.asked is not None:
-            pairs = pairs.join(self.asked, ["a", "b"], "left_anti")
-        pairs = durable(pairs)
-        wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-        # the first row of a repeated id stands for it: equal ids of different texts are not pairs
-        some = texts(self.docs).join(wanted, "doc_id", "left_semi")
-        sets = durable(some.mapInArrow(_sets, "doc_id bigint, shingles binary"))
-        side = lambda s: sets.select(F.col("doc_id").alias(s), F.col("shingles").alias(f"x{s}"))
+        side = lambda s: self.sets.select(
+            F.col("doc_id").alias(s), F.col("shingles").alias(f"x{s}"), (F.length("shingles") / 8).cast("bigint").alias(f"n{s}")
+        )
         shared = F.col("n").cast("bigint")
         new = durable(
             pairs.join(side("b"), "b").join(side("a"), "a")
@@ -217,19 +254,34 @@ class _Linker:
             .filter(shared * 100 >= (F.col("na") + F.col("nb") - shared) * THRESHOLD)
             .select("a", "b")
         )
-        self.asked = pairs.select("a", "b") if self.asked is None else self.asked.union(pairs.select("a", "b"))
         self.links = new if self.links is None else self.links.union(new)
 
-    def placed(self, buckets: DataFrame) -> DataFrame:
-        """(key, rep, component) of the bucket rows, by the links so far."""
+    def open_pairs(self, least: int, forest: bool) -> DataFrame:
+        """Likely pairs of one bucket whose components differ by the links so far.
+
+        Buckets are cut into blocks of BLOCK members; a block meets each other block
+        of its bucket in a task of its own.
+        """
         found = durable(connected_components(self.links).withColumnRenamed("node", "rep"))
-        return buckets.join(found, "rep", "left").select(
-            "key", "rep", F.coalesce("component", "rep").alias("component")
+        placed = durable(
+            self.buckets.join(found, "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("component"))
+        )
+        mixed = (
+            placed.groupBy("key")
+            .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n"))
+            .filter("low != high").select("key", F.ceil(F.col("n") / BLOCK).alias("blocks"))
+        )
+        rows = placed.join(mixed, "key").join(self.members, "rep")
+        own = F.pmod(F.xxhash64("rep"), F.col("blocks"))
+        rows = rows.withColumn("own", own).withColumn(
+            "other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))
+        )
+        return durable(
+            rows.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")})
+            .select("key", "low", "high", "rep", "component", "n_shingles", "sketch", "own", "other")
+            .groupBy("key", "low", "high").applyInPandas(_likely_pairs(least, forest), "a bigint, b bigint")
+            .distinct()
         )
-
-
-def _pair(x: str, y: str) -> list:
-    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -242,41 +294,24 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             F.max("bands").alias("bands"), F.max("sketch").alias("sketch"),
         )
     )
-    rep_of = classes.select("set_print", "rep")
     buckets = classes.select("rep", F.explode("bands").alias("key"))
-    centers = buckets.groupBy("key").agg(F.min("rep").alias("center"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    buckets = durable(buckets.join(centers.select("key", "center"), "key"))
-    linker = _Linker(docs, classes.select("rep", "n_shingles", "sketch"))
-
-    # each member with the smallest one of its bucket
-    linker.confirm(buckets.filter("rep != center").select(*_pair("rep", "center")).distinct())
-
-    # the smallest members of the components that meet in a bucket, with the smallest of all
-    placed = durable(linker.placed(buckets.select("key", "rep")))
-    parts = placed.groupBy("key", "component").agg(F.min("rep").alias("rep"))
-    mixed = parts.groupBy("key").agg(F.min("component").alias("low"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    least = parts.join(mixed.select("key", "low"), "key")
-    chief = least.filter("component = low").select("key", F.col("rep").alias("chief"))
-    linker.confirm(
-        least.filter("component != low").join(chief, "key").select(*_pair("rep", "chief")).distinct()
-    )
-
-    # what is left: members of one bucket that are still in different components
-    placed = durable(linker.placed(buckets.select("key", "rep")))
-    mixed = (
-        placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        .filter("low != high").select("key")
-    )
-    open_rows = durable(placed.join(mixed, "key", "left_semi"))
-    other = open_rows.select("key", F.col("rep").alias("rep2"), F.col("component").alias("component2"))
-    linker.confirm(
-        open_rows.join(other, "key").filter("component < component2").select(*_pair("rep", "rep2")).distinct()
-    )
-
-    reps = connected_components(linker.links.union(
-        # a row whose id stands for several texts ties their classes together
-        named.join(rep_of, "set_print").filter("doc_id != rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
-    )).select(F.col("node").alias("doc_id"), "component")
+    centers = buckets.groupBy("key").agg(F.min("rep").alias("center"), F.max("rep").alias("last"))
+    centers = centers.filter("center != last").select("key", "center")
+    buckets = durable(buckets.join(centers, "key"))
+    linker = _Linker(docs, classes.select("rep", "n_shingles", "sketch"), buckets.select("key", "rep"))
+
+    # each member with the smallest member of its buckets
+    first = buckets.filter("rep != center").groupBy(F.col("rep").alias("b")).agg(F.min("center").alias("a"))
+    linker.confirm(durable(linker.likely(first)))
+    # what most likely connects components that still meet in a bucket
+    linker.confirm(linker.open_pairs(THRESHOLD * BINS // 100, forest=True))
+    # all that is left
+    linker.confirm(linker.open_pairs(LEAST_EQUAL, forest=False))
+
+    # rows of one doc_id with different texts tie their classes together
+    same = named.join(classes.select("set_print", "rep"), "set_print").filter("doc_id != rep")
+    edges = linker.links.union(same.select(F.col("rep").alias("a"), F.col("doc_id").alias("b")))
+    reps = connected_components(edges).select(F.col("node").alias("doc_id"), "component")
     out = rows.select("doc_id", "n_shingles").join(reps, "doc_id", "left")
     component = F.coalesce("component", "doc_id")
     return out.select(
