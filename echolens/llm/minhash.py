@@ -7,7 +7,7 @@ A bin keeps its smallest (round, hash), and the rounds end when no bin is empty.
 So every coordinate is filled, and the share of equal coordinates estimates the
 Jaccard similarity with the concentration of independent samples.
 
-Candidates share a band of ROWS coordinates. At similarity 0.75 a pair misses all
+Candidates share one of BANDS bands of ROWS coordinates. At similarity 0.75 a pair misses all
 42 bands with probability 3e-4, at 0.8 with 3e-6. Every candidate link is
 confirmed on the full sets, 100 * intersection >= 75 * union.
 
@@ -41,11 +41,10 @@ from echolens.llm.components import connected_components
 
 WORDS = 5
 THRESHOLD = 75  # per cent
-BINS, ROWS = 256, 6
-BANDS = BINS // ROWS
+BINS, ROWS, BANDS = 512, 6, 42
 # Pairs whose sketches agree in fewer coordinates are not compared: at similarity
-# 0.75 the estimate is 4 standard deviations higher.
-LEAST_EQUAL = round(0.64 * BINS)
+# 0.75 the estimate is 3.5 standard deviations higher.
+LEAST_EQUAL = round(0.683 * BINS)
 BLOCK = 4096
 CACHED_WORDS = 400_000
 GOLDEN = 0x9E3779B97F4A7C15
@@ -97,7 +96,7 @@ class Shingler:
 
 
 def sketch(shingles: np.ndarray) -> np.ndarray:
-    """BINS coordinates (round in the top 9 bits) of a set that is not empty."""
+    """BINS coordinates (round in the top 10 bits) of a set that is not empty."""
     out = np.full(BINS, np.iinfo(np.uint64).max, np.uint64)
     step, done = max(1, min(64, 1024 // len(shingles))), 0
     while done < 2 * BINS:
@@ -107,7 +106,7 @@ def sketch(shingles: np.ndarray) -> np.ndarray:
         late = rounds >= BINS
         if late.any():
             bins[late] = (rounds[late] - BINS)[:, None]
-        values = (rounds.astype(np.uint64) << np.uint64(55))[:, None] | (hashes >> np.uint64(9))
+        values = (rounds.astype(np.uint64) << np.uint64(54))[:, None] | (hashes >> np.uint64(10))
         np.minimum.at(out, bins.ravel(), values.ravel())
         done += len(rounds)
         if out.max() != np.iinfo(np.uint64).max:
