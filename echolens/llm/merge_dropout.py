@@ -43,13 +43,14 @@ class DropoutEncoder:
     def __init__(self, path: str, dropout: float = DROPOUT, seed: int = SEED):
         self.pieces = Pieces(path)
         self.dropout, self.seed = dropout, seed
-        self.known: dict[tuple[int, str], bytes] = {}
+        self.known: dict[int, dict[str, bytes]] = {}
         self.parts: dict[tuple[int, str], bytes] = {}
         self.mark = np.array([self.pieces.byte_ids[b] for b in SPACE.encode()], "<u4").tobytes()
 
     def _encode(self, stream: int, chunk: str) -> bytes:
-        if len(self.known) > CACHED_CHUNKS:
-            self.known.clear()
+        known = self.known[stream]
+        if sum(map(len, self.known.values())) > CACHED_CHUNKS:
+            known.clear()
         out = []
         for part in self.pieces.cut(chunk):
             found = self.parts.get((stream, part))
@@ -59,7 +60,7 @@ class DropoutEncoder:
                 symbols = self.pieces.merge(list(part), self._skip(stream, part))
                 found = self.parts[stream, part] = np.array(self.pieces.to_ids(symbols), "<u4").tobytes()
             out.append(found)
-        ids = self.known[stream, chunk] = b"".join(out)
+        ids = known[chunk] = b"".join(out)
         return ids
 
     def _skip(self, stream: int, part: str) -> Callable[[int, int, int], bool] | None:
@@ -76,16 +77,16 @@ class DropoutEncoder:
         return skip
 
     def __call__(self, text: str, stream: int = 0) -> bytes:
-        known, encode = self.known, self._encode
+        known, encode = self.known.setdefault(stream, {}), self._encode
         if SPACE not in text:
-            return b"".join([known.get((stream, c)) or encode(stream, c) for c in Pieces.chunks(text)])
+            return b"".join([known.get(c) or encode(stream, c) for c in Pieces.chunks(text)])
         out = []
         for n, part in enumerate(text.split(SPACE)):
             # the blank in front belongs to the text's first part alone
             chunks = (Pieces.chunks(part) or [SPACE]) if not n else _without_front(part)
             if n:
                 out.append(self.mark)
-            out.extend(known.get((stream, c)) or encode(stream, c) for c in chunks)
+            out.extend(known.get(c) or encode(stream, c) for c in chunks)
         return b"".join(out)
 
     def decode(self, ids: bytes) -> str:
