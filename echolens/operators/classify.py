@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -14,6 +14,9 @@ from echolens.functions.numbers import round_exact
 from echolens.operators.skew import lookup_join
 from echolens.session import durable
 
+# Either may repeat (a comment over runs, a position over reads), not both together.
+ROW_KEY = ("comment_id", "seq")
+
 
 def preprocess(
     df: DataFrame, stopwords: Iterable[str] | None = None,
@@ -44,12 +47,21 @@ def vocabulary(df: DataFrame, tokens: str = "tokens_stemmed") -> DataFrame:
     )
 
 
+def row_keys(df: DataFrame, key: str | Sequence[str]) -> list[str]:
+    """The columns of ``key`` that ``df`` has."""
+    names = [key] if isinstance(key, str) else list(key)
+    return [c for c in names if c in df.columns]
+
+
 def stem_tokens(
     df: DataFrame, stems: DataFrame | Callable[[pd.Series], pd.Series] | None,
-    tokens: str = "tokens_stemmed", key: str = "comment_id",
+    tokens: str = "tokens_stemmed", key: str | Sequence[str] = ROW_KEY,
 ) -> DataFrame:
     """Replace every token by its stem.
 
+    ``key`` names the columns that tell rows apart; those that ``df`` lacks are
+    left out.
+
     Each *distinct* word is stemmed once: through a ``(word, root)`` table or a
     vectorized function over the vocabulary. Only words that change are joined
     back, with frequent words spread over many tasks. No stems: identity.
@@ -62,11 +74,12 @@ def stem_tokens(
         rooted = words.join(stems.select("word", "root"), "word")
     else:
         rooted = words.withColumn("root", F.pandas_udf(stems, "string")(F.col("word")))
+    keys = row_keys(df, key)
     changed = durable(rooted.filter("root IS NOT NULL AND root <> word"))
-    exploded = df.select(key, F.posexplode(tokens).alias("_pos", "word"))
-    found = lookup_join(exploded, changed, "word", weight="uses", spread=[key, "_pos"])
+    exploded = df.select(*keys, F.posexplode(tokens).alias("_pos", "word"))
+    found = lookup_join(exploded, changed, "word", weight="uses", spread=[*keys, "_pos"])
     # one row's own tokens come back together: bounded by that row
-    rebuilt = found.groupBy(key).agg(
+    rebuilt = found.groupBy(*keys).agg(
         F.transform(
             F.array_sort(
                 F.collect_list(F.struct("_pos", F.coalesce("root", "word").alias("t")))
@@ -75,7 +88,7 @@ def stem_tokens(
         ).alias("_stemmed")
     )
     return (
-        df.join(rebuilt, key, "left")
+        df.join(rebuilt, keys, "left")
         .withColumn(tokens, F.coalesce("_stemmed", F.array().cast("array<string>")))
         .select(*df.columns)
     )
@@ -84,7 +97,8 @@ def stem_tokens(
 # --- classifiers -------------------------------------------------------------
 def lexicon_classify(
     df: DataFrame, lexicon: Mapping[str, float] | DataFrame = C.LEXICON,
-    band: float = C.NEUTRAL_BAND, tokens: str = "tokens_stemmed", key: str = "comment_id",
+    band: float = C.NEUTRAL_BAND, tokens: str = "tokens_stemmed",
+    key: str | Sequence[str] = ROW_KEY,
 ) -> DataFrame:
     """Built-in base classifier: mean word score against a neutral band."""
     if isinstance(lexicon, DataFrame):
@@ -99,18 +113,21 @@ def lexicon_classify(
     )
 
 
-def _table_scores(df: DataFrame, lexicon: DataFrame, tokens: str, key: str) -> DataFrame:
+def _table_scores(
+    df: DataFrame, lexicon: DataFrame, tokens: str, key: str | Sequence[str]
+) -> DataFrame:
     """Scores from a lexicon table of any size: repeats are merged per row.
 
     Scores are summed as decimals, so the total does not depend on row order.
     Reads ``df`` three times: pass a written table.
     """
+    keys = row_keys(df, key)
     uses = (
-        X.explode_terms(df, [key], F.col(tokens), "word")
-        .groupBy(key, "word").agg(F.count(F.lit(1)).alias("n"))
+        X.explode_terms(df, keys, F.col(tokens), "word")
+        .groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("n"))
     )
-    known = lookup_join(uses, lexicon, "word", "inner", spread=[key])
-    totals = known.groupBy(key).agg(
+    known = lookup_join(uses, lexicon, "word", "inner", spread=keys)
+    totals = known.groupBy(*keys).agg(
         F.sum(F.col("score").cast("decimal(18,9)") * F.col("n")).cast("double").alias("_total"),
         F.sum("n").alias("_known"),
     )
@@ -118,7 +135,7 @@ def _table_scores(df: DataFrame, lexicon: DataFrame, tokens: str, key: str) -> D
         F.coalesce("_total", F.lit(0.0)), F.coalesce("_known", F.lit(0)), F.size(tokens)
     )
     return (
-        df.join(totals, key, "left")
+        df.join(totals, keys, "left")
         .withColumn("lexicon_score", score).withColumn("oov_ratio", oov)
         .drop("_total", "_known")
     )
@@ -193,7 +210,8 @@ def cascade(
 
     ``base`` carries base_label and base_confidence (null label: base failed),
     ``fallback(comment_id, label, confidence)`` the precomputed second opinion;
-    no answer there means the row stays unclassified. Without a fallback table
+    no answer there means the row stays unclassified, and of several answers the
+    most confident one counts. Without a fallback table
     the base result is used as it is.
     """
     out = [c for c in base.columns if c not in ("base_label", "base_confidence")]
@@ -207,8 +225,13 @@ def cascade(
         )
     if threshold is None:
         raise ValueError("a cascade with a fallback needs a threshold")
-    second = fallback.select(
-        key, F.col("label").alias("_label"), F.col("confidence").alias("_confidence")
+    second = (
+        fallback.filter(F.col("label").isNotNull()).groupBy(key)
+        .agg(F.max(F.struct("confidence", "label")).alias("_answer"))
+        .select(
+            key, F.col("_answer.label").alias("_label"),
+            F.col("_answer.confidence").alias("_confidence"),
+        )
     )
     kept = F.col("base_label").isNotNull() & ~is_ambiguous(F.col("base_confidence"), threshold)
     answered = F.col("_label").isNotNull()

@@ -18,16 +18,17 @@ def mark_exclusions(flat: DataFrame, accounts: DataFrame | Sequence[str]) -> Dat
     """Flag excluded rows; nothing is dropped here.
 
     Exact, case-sensitive. The uploader rule wins over the account list. A
-    short list becomes a literal set; a table is joined, and a sender with a
+    short list becomes a literal set; a long one or a table is joined, and a sender with a
     large share of all rows does not end up in one task.
     """
+    if not isinstance(accounts, DataFrame) and len(accounts) > INLINE_LIMIT:
+        names = [(name,) for name in accounts]
+        accounts = flat.sparkSession.createDataFrame(names, "username string")
     if isinstance(accounts, DataFrame):
         listed = accounts.select("username", F.lit(True).alias("_listed")).distinct()
         rows = lookup_join(flat, listed, "username", spread=["seq"])
         internal = F.coalesce("_listed", F.lit(False))
     else:
-        if len(accounts) > INLINE_LIMIT:
-            raise ValueError("pass long account lists as a DataFrame")
         rows = flat
         internal = F.col("username").isin(list(accounts)) if accounts else F.lit(False)
     uploader = (F.col("username") != "") & (

@@ -31,7 +31,7 @@ def tfidf_keywords(
 
     Three passes over the tokens, each shuffling terms once, already combined:
     document frequencies, then document lengths, then the sums. Documents are
-    hash-partitioned by id before their terms are exploded, so counting terms
+    hash-partitioned by group and id before their terms are exploded, so counting terms
     per document needs no shuffle of the much larger exploded rows. Frequent
     terms are looked up by broadcast and never meet in one task. An empty marker
     term occurs once per document, so its frequency is the corpus size.
@@ -39,7 +39,7 @@ def tfidf_keywords(
     joined = F.array_join(F.col(tokens), " ")
     docs = df.filter(F.trim(joined) != "").select(
         *by, doc, F.regexp_extract_all(joined, F.lit(f"{C.WORD}+"), 0).alias("_words")
-    ).repartition(doc)
+    ).repartition(*by, doc)
     words = F.col("_words")
     marked = F.concat(F.array(F.lit("")), words, bigrams(words))
     tf = _term_counts(docs, [*by, doc], marked)
@@ -59,10 +59,10 @@ def tfidf_keywords(
             tf.filter("keyword <> ''"), idf, [*by, "keyword"], weight="_df",
             hot_share=hot_share, spread=[doc],
         )
-        .groupBy(doc).agg(F.sqrt(F.sum(weight * weight)).alias("_length"))
+        .groupBy(*by, doc).agg(F.sqrt(F.sum(weight * weight)).alias("_length"))
     )
     terms = _term_counts(
-        docs.join(lengths, doc), [*by, doc, "_length"], F.concat(words, bigrams(words))
+        docs.join(lengths, [*by, doc]), [*by, doc, "_length"], F.concat(words, bigrams(words))
     )
     sums = terms.groupBy(*by, "keyword").agg(
         F.sum(F.col("_tf") / F.col("_length")).alias("_sum"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -104,10 +105,37 @@ def read_video_text(
     )
 
 
+def file_layouts(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """(file, opening): the first character of each file that is not blank.
+
+    ``[`` opens a JSON array, ``{`` JSON lines.
+    """
+    lines = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.struct(
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("tick"),
+        ).alias("place"),
+        F.substring(strip("value"), 1, 1).alias("opening"),
+    )
+    return lines.filter("opening <> ''").groupBy("file").agg(
+        F.min_by("opening", "place").alias("opening")
+    )
+
+
 def read_videos(
-    spark: SparkSession, paths: str | Sequence[str], lines: bool = False
+    spark: SparkSession, paths: str | Sequence[str], lines: bool | None = None
 ) -> DataFrame:
-    """Nested videos with the explicit schema and a position column."""
+    """Nested videos with the explicit schema and a position column.
+
+    ``lines`` says whether the files are JSON lines or one JSON array each;
+    by default they are looked at, and a mixture of both is an error.
+    """
+    if lines is None:
+        found = {r["opening"] for r in file_layouts(spark, paths).select("opening").distinct().collect()}
+        if len(found & {"[", "{"}) > 1:
+            raise ValueError("JSON arrays and JSON lines together: read them one by one")
+        lines = "{" in found
     reader = spark.read.schema(S.VIDEO).option("multiLine", not lines)
     return number_rows(reader.json(paths), "video_no")
 
@@ -147,22 +175,36 @@ def read_prior_runs(
 ) -> tuple[DataFrame, DataFrame, list[str]]:
     """Video ids of earlier month files -> (ids, new ids per file, warnings).
 
-    A pattern without files and an unreadable file are warnings, not errors. A
-    file is credited only with ids that no earlier file had.
+    Files hold a JSON array or JSON lines. A pattern without files and a file
+    without a readable record are warnings, one each, not errors. A file is
+    credited only with ids that no earlier file had.
     """
     found, warnings = None, []
     for number, pattern in enumerate(patterns):
         try:
+            layouts = file_layouts(spark, pattern).orderBy("file").collect()
+        except AnalysisException:
+            warnings.append(f"{pattern!r} matched no files")
+            continue
+        unreadable = [r["file"] for r in layouts if r["opening"] not in ("[", "{")]
+        for opening in ("[", "{"):
+            files = [unquote(r["file"]) for r in layouts if r["opening"] == opening]
+            if not files:
+                continue
             part = (
-                spark.read.schema("aweme_id string").option("multiLine", True).json(pattern)
+                spark.read.schema("aweme_id string, _corrupt string")
+                .option("columnNameOfCorruptRecord", "_corrupt")
+                .option("multiLine", opening == "[").json(files)
             ).select(
-                "aweme_id", F.lit(number).alias("pattern_no"),
+                "aweme_id", "_corrupt", F.lit(number).alias("pattern_no"),
                 F.col("_metadata.file_path").alias("file"),
             )
-        except AnalysisException:
-            warnings.append(f"{pattern!r} matched no files")
-            continue
-        found = part if found is None else found.unionByName(part)
+            good = F.count_if(F.col("_corrupt").isNull() | F.col("aweme_id").isNotNull())
+            broken = part.groupBy("file").agg(good.alias("good")).filter("good = 0")
+            unreadable += [r["file"] for r in broken.collect()]
+            part = part.drop("_corrupt")
+            found = part if found is None else found.unionByName(part)
+        warnings += [f"{unquote(name)!r} holds no JSON records" for name in sorted(unreadable)]
     if found is None:
         found = spark.createDataFrame([], "aweme_id string, pattern_no int, file string")
     return (*new_ids_per_source(found, "aweme_id", ["pattern_no", "file"]), warnings)

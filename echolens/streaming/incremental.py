@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from echolens import schema as S
 from echolens.operators.classify import pending, reusable
+from echolens.operators.exclusion import analyzed_rows, mark_exclusions
 from echolens.plans.analyze import AnalyzeOptions, label_rows
 from echolens.sources.readers import last_wins
 
@@ -37,8 +38,11 @@ def landed_comments(spark: SparkSession, path: str, files_per_batch: int = 1000)
 def _previous(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
     try:
         rows = spark.read.parquet(path)
-    except AnalysisException:
-        return None
+    except AnalysisException as error:
+        # nothing written yet; any other error must not pass for an empty history
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
     return rows.filter(F.col("batch_id") < batch_id)
 
 
@@ -58,6 +62,9 @@ def incremental_analyze(
 ) -> StreamingQuery:
     """Label comments not labeled yet in this mode, and append them.
 
+    Comments of the uploader and of the excluded accounts are left out, as in a
+    batch run.
+
     A comment labeled without a fallback is labeled again once there is one.
     """
     hybrid = options.fallback is not None
@@ -66,6 +73,7 @@ def incremental_analyze(
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         rows = last_wins(batch, ["comment_id"], "seq")
+        rows = analyzed_rows(mark_exclusions(rows, options.exclude))
         done = _previous(spark, output, batch_id)
         if done is not None:
             # only ids of this batch, and of each the latest entry, decide
