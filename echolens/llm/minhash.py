@@ -63,8 +63,8 @@ def _odd(n: int, seed: int) -> np.ndarray:
 
 _PLACES = _odd(WORDS + 1, 1)
 _ROUNDS = _odd(2 * BINS, 2)
-_COLUMNS = _odd(ROWS, 3)
-_BANDS = _odd(BANDS, 4)
+BAND_SHIFT = 8 * ROWS
+_SHIFTS = 8 * np.arange(ROWS, dtype=np.int64)
 
 
 class Shingler:
@@ -114,9 +114,20 @@ def sketch(shingles: np.ndarray) -> np.ndarray:
     return out
 
 
-def band_keys(coordinates: np.ndarray) -> np.ndarray:
-    rows = coordinates[: BANDS * ROWS].reshape(BANDS, ROWS)
-    return _mix((rows * _COLUMNS).sum(axis=1, dtype=np.uint64) * _BANDS + _BANDS).view(np.int64)
+def small_sketch(coordinates: np.ndarray) -> np.ndarray:
+    """One byte of each coordinate."""
+    return _mix(coordinates).astype(np.uint8)
+
+
+def band_keys(small: np.ndarray) -> np.ndarray:
+    """One key per band: its number above the ROWS bytes of its coordinates."""
+    rows = small[: BANDS * ROWS].reshape(BANDS, ROWS).astype(np.int64)
+    return (rows << _SHIFTS).sum(axis=1) | (np.arange(BANDS, dtype=np.int64) << BAND_SHIFT)
+
+
+def first_band(same: np.ndarray) -> np.ndarray:
+    """The first band that two sketches share, from rows of equal places."""
+    return same[:, : BANDS * ROWS].reshape(len(same), BANDS, ROWS).all(axis=2).argmax(axis=1)
 
 
 def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,9 +141,9 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 prints.append(None), bands.append(None), small.append(None)
                 continue
             prints.append(xxhash.xxh128_digest(found.tobytes()))
-            coordinates = sketch(found)
-            bands.append(band_keys(coordinates))
-            small.append(_mix(coordinates).astype(np.uint8).tobytes())
+            places = small_sketch(sketch(found))
+            bands.append(band_keys(places))
+            small.append(places.tobytes())
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column(0), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()),
@@ -180,9 +191,13 @@ def _common(a: pd.Series, b: pd.Series) -> pd.Series:
 
 def _likely_pairs(least: int, forest: bool):
     """Pairs of a block whose components differ, sizes allow a link and sketches agree
-    in ``least`` coordinates; with ``forest`` only as many as connect them."""
+    in ``least`` coordinates; with ``forest`` only as many as connect them.
+
+    A pair that meets in several buckets counts in that of its first shared band, so
+    it is returned once. All its buckets are compared, as its components differ."""
 
     def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        band = int(key[0]) >> BAND_SHIFT
         reps, parts = frame["rep"].to_numpy(np.int64), frame["component"].to_numpy(np.int64)
         sizes = frame["n_shingles"].to_numpy(np.int64)
         own, other = frame["own"].to_numpy(), frame["other"].to_numpy()
@@ -197,12 +212,16 @@ def _likely_pairs(least: int, forest: bool):
 
         # members of the most frequent component are compared with the others only
         values, counts = np.unique(parts, return_counts=True)
+        most = parts == values[counts.argmax()]
         out = []
-        for i in np.flatnonzero(parts != values[counts.argmax()]).tolist():
+        for i in np.flatnonzero(~most).tolist():
             fit = (parts != parts[i]) & ((own == other[i]) & (other == own[i]))
+            fit[:i] &= most[:i]  # the pair was seen from its other side
             fit &= np.minimum(sizes, sizes[i]) * 100 >= np.maximum(sizes, sizes[i]) * THRESHOLD
             near = np.flatnonzero(fit)
-            near = near[(marks[near] == marks[i]).sum(axis=1) >= least]
+            same = marks[near] == marks[i]
+            enough = same.sum(axis=1) >= least
+            near = near[enough][first_band(same[enough]) == band]
             for j in near.tolist():
                 if forest:
                     x, y = find(i), find(j)
@@ -279,7 +298,6 @@ class _Linker:
             rows.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")})
             .select("key", "low", "high", "rep", "component", "n_shingles", "sketch", "own", "other")
             .groupBy("key", "low", "high").applyInPandas(_likely_pairs(least, forest), "a bigint, b bigint")
-            .distinct()
         )
 
 
