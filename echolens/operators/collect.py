@@ -23,6 +23,13 @@ def page_entries(pages: DataFrame, keys: list[str]) -> DataFrame:
     return rows.select(*keys, "page_no", place.alias("place"), "raw")
 
 
+def pages_beyond(pages: DataFrame, keys: list[str], max_pages: int) -> DataFrame:
+    """Per key, how many landed pages the page cap leaves out; keys without any are absent."""
+    return pages.filter(F.col("page_no") >= max_pages).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("dropped_pages")
+    )
+
+
 def usable(text: Column, keep_empty: bool = False) -> Column:
     """A comment with any text; emoji-only counts, blank does not."""
     return F.lit(True) if keep_empty else strip(F.coalesce(text, F.lit(""))) != ""
@@ -119,18 +126,21 @@ def cap_videos(
 def collect_comments(
     pages: DataFrame, reply_pages: DataFrame, max_comments: int = C.MAX_COMMENTS,
     max_replies: int = C.MAX_REPLIES, keep_empty: bool = False,
+    max_pages: int = C.MAX_PAGES, max_reply_pages: int = C.MAX_REPLY_PAGES,
 ) -> tuple[DataFrame, DataFrame]:
     """Landed pages -> (comment and reply rows, invalid videos).
 
     ``pages(video_id, page_no, body)``, ``reply_pages(video_id, comment_id,
     page_no, body)``. A video with a comment that lacks its id or has an
-    unusable time is set aside as a whole; the run goes on.
+    unusable time is set aside as a whole; the run goes on. Pages from
+    ``max_pages`` (``max_reply_pages`` per comment) on are left out;
+    ``pages_beyond`` counts them.
     """
-    entries = page_entries(pages.filter(F.col("page_no") < C.MAX_PAGES), ["video_id"])
+    entries = page_entries(pages.filter(F.col("page_no") < max_pages), ["video_id"])
     kept = entries.filter(usable(F.col("raw.text"), keep_empty))
     tops = project_comment(kept, ["video_id", "place"])
     reply_entries = page_entries(
-        reply_pages.filter(F.col("page_no") < C.MAX_REPLY_PAGES)
+        reply_pages.filter(F.col("page_no") < max_reply_pages)
         .withColumnRenamed("comment_id", "parent_comment_id"),
         ["video_id", "parent_comment_id"],
     ).filter(usable(F.col("raw.text"), keep_empty))

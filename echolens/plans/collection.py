@@ -12,17 +12,19 @@ from echolens.operators import collect, ingest
 def collect_month(
     selected: DataFrame, pages: DataFrame, reply_pages: DataFrame, month: str,
     max_comments: int = C.MAX_COMMENTS, max_replies: int = C.MAX_REPLIES,
-    keep_empty: bool = False,
+    keep_empty: bool = False, max_pages: int = C.MAX_PAGES,
+    max_reply_pages: int = C.MAX_REPLY_PAGES,
 ) -> dict[str, DataFrame]:
     """One record per selected video whose pages are sound.
 
-    ``selected(video_id, account_type, creator_username)``.
+    ``selected(video_id, account_type, creator_username)``. ``dropped_pages`` and
+    ``dropped_reply_pages`` count the landed pages that the page caps leave out.
     """
     rows, invalid = collect.collect_comments(
-        pages, reply_pages, max_comments, max_replies, keep_empty
+        pages, reply_pages, max_comments, max_replies, keep_empty, max_pages, max_reply_pages
     )
     info = collect.video_info(collect.page_entries(
-        pages.filter(F.col("page_no") < C.MAX_PAGES), ["video_id"]
+        pages.filter(F.col("page_no") < max_pages), ["video_id"]
     ))
     nested = ingest.nest_comments(rows.withColumnRenamed("video_id", "aweme_id"))
     videos = (
@@ -45,4 +47,8 @@ def collect_month(
     return {
         "videos": records, "invalid": invalid,
         "silent_creators": collect.silent_creators(selected, rows),
+        "dropped_pages": collect.pages_beyond(pages, ["video_id"], max_pages),
+        "dropped_reply_pages": collect.pages_beyond(
+            reply_pages, ["video_id", "comment_id"], max_reply_pages
+        ),
     }
