@@ -252,7 +252,7 @@ def numbers_in_claims(spark, sf):
     plain = F.replace(F.replace(raw, F.lit("."), F.lit("")), F.lit(","), F.lit("."))
     return spans.select(
         "idx", "place", raw.alias("raw"), F.col("s.start").alias("start"),
-        audit.is_incidental(raw, body, F.col("s.start")).alias("incidental"),
+        audit.is_incidental(raw, F.left(body, F.col("s.start"))).alias("incidental"),
         F.replace(raw, F.lit(","), F.lit(".")).try_cast("double").alias("v1"),
         plain.try_cast("double").alias("v2"),
     )

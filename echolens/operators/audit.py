@@ -41,26 +41,44 @@ STATUS_DISABLED = "narrative-disabled"
 STATUS_BELOW_VOLUME = "below-narrative-volume-floor"
 
 
+# Characters before a number in which a month makes it a date.
+MONTH_REACH = 6
+
+
 # --- numbers in prose --------------------------------------------------------
+def number_pieces(body: Column) -> Column:
+    """array<struct<before, raw>>: every number and the text since the one before it."""
+    return F.zip_with(
+        F.split(body, C.NUMBER_PATTERN, -1),
+        F.regexp_extract_all(body, F.lit(C.NUMBER_PATTERN), 0),
+        lambda before, raw: F.struct(before.alias("before"), raw.alias("raw")),
+    )
+
+
+def _numbers_only(pieces: Column) -> Column:
+    """Without the text behind the last number."""
+    return F.filter(pieces, lambda p: p["raw"].isNotNull())
+
+
 def number_spans(body: Column) -> Column:
     """array<struct<raw, start>>: every number and its 0-based offset.
 
-    Spark finds matches without positions; the pieces between them give the
-    lengths that precede each match.
+    Spark finds matches without positions; the lengths of the pieces between
+    them are summed once along the body.
     """
-    between = F.split(body, C.NUMBER_PATTERN, -1)
-    found = F.regexp_extract_all(body, F.lit(C.NUMBER_PATTERN), 0)
-
-    def total_length(items: Column, first: Column) -> Column:
-        return F.aggregate(
-            F.slice(items, F.lit(1), first), F.lit(0), lambda n, s: n + F.length(s)
-        )
-
-    return F.transform(
-        found,
-        lambda raw, i: F.struct(
-            raw.alias("raw"),
-            (total_length(between, i + 1) + total_length(found, i)).alias("start"),
+    pieces = _numbers_only(number_pieces(body))
+    ends = F.aggregate(
+        pieces,
+        F.array(F.lit(0)),
+        lambda ends, p: F.array_append(
+            ends, F.element_at(ends, -1) + F.length(p["before"]) + F.length(p["raw"])
+        ),
+    )
+    return F.zip_with(
+        pieces,
+        F.slice(ends, F.lit(2), F.size(pieces)),
+        lambda p, end: F.struct(
+            p["raw"].alias("raw"), (end - F.length(p["raw"])).alias("start")
         ),
     )
 
@@ -72,51 +90,65 @@ def number_candidates(raw: Column) -> Column:
     return F.array_distinct(F.array_compact(F.array(as_decimal, plain.try_cast("double"))))
 
 
-def is_incidental(raw: Column, body: Column, start: Column) -> Column:
-    """Prose furniture, not a citation: small counts, years, month suffixes."""
+def is_incidental(raw: Column, before: Column) -> Column:
+    """Prose furniture, not a citation: small counts, years, month suffixes.
+
+    ``before`` is the text that precedes the number, its last characters at least.
+    """
     marked = raw.rlike(r"^[+-]") | raw.contains(".") | raw.contains(",")
     value = raw.try_cast("bigint")
-    begin = F.greatest(start - 6, F.lit(0))
-    near = F.lower(F.substring(body, begin + 1, start - begin))
-    month = near.rlike("|".join(C.MONTH_TOKENS))
+    month = F.lower(F.right(before, F.lit(MONTH_REACH))).rlike("|".join(C.MONTH_TOKENS))
     small = F.coalesce(F.abs(value) <= 10, F.lit(False))
     year = F.coalesce(value.between(1900, 2099) & (F.length(raw) == 4), F.lit(False))
     return F.when(marked, False).otherwise(small | year | month)
 
 
-def nearest_entity(body: Column, start: Column, entities: Column) -> Column:
-    """The entity mentioned last before ``start``; the longer name wins a tie."""
-    before = F.lower(F.substring(body, F.lit(1), start))
-    mirrored = F.reverse(before)
+def last_entity(low: Column, base: Column, entities: Column) -> Column:
+    """struct<at, size, name> of the entity mentioned last in ``low``, a part of the
+    lower-case body that starts at ``base``; the longer name wins a tie."""
+    mirrored = F.reverse(low)
 
     def place(name: Column) -> Column:
-        low = F.lower(name)
-        back = F.instr(mirrored, F.reverse(low))
-        at = F.when(back > 0, F.length(before) - back - F.length(low) + 1)
-        return F.struct(at.alias("at"), F.length(low).alias("size"), name.alias("name"))
+        wanted = F.lower(name)
+        back = F.instr(mirrored, F.reverse(wanted))
+        at = F.when(back > 0, base + F.length(low) - back - F.length(wanted) + 1)
+        return F.struct(at.alias("at"), F.length(wanted).alias("size"), name.alias("name"))
 
-    places = F.filter(F.transform(entities, place), lambda p: p["at"].isNotNull())
-    return F.array_max(places)["name"]
+    return F.array_max(
+        F.filter(F.transform(entities, place), lambda p: p["at"].isNotNull())
+    )
 
 
 def tolerance(value: Column) -> Column:
     return F.greatest(F.lit(0.15), F.abs(value) * 0.001)
 
 
+WALK = (
+    "struct<base:int, low:string, near:string, "
+    "owner:struct<at:int, size:int, name:string>, reason:string>"
+)
+
+
 def numeric_reason(body: Column, facts: Column, entities: Column) -> Column:
-    """Reason of the first number that no fact, or another entity's fact, backs."""
+    """Reason of the first number that no fact, or another entity's fact, backs.
 
-    def check(span: Column) -> Column:
-        raw, start = span["raw"], span["start"]
+    One walk along the body. It carries the end of the text so far, as long as
+    the longest entity name, the entity mentioned last, and the first reason, so
+    the work per number does not depend on the length of the body.
+    """
+    reach = F.coalesce(
+        F.array_max(F.transform(entities, lambda e: F.length(F.lower(e)))), F.lit(0)
+    )
+
+    def check(raw: Column, near: Column, owner: Column) -> Column:
         values = number_candidates(raw)
         backing = F.filter(
             facts,
             lambda f: F.exists(values, lambda v: F.abs(v - f["value"]) <= tolerance(f["value"])),
         )
-        owner = nearest_entity(body, start, entities)
         own = F.exists(backing, lambda f: f["entity"] == owner)
         return (
-            F.when(is_incidental(raw, body, start) | (F.size(values) == 0), None)
+            F.when(is_incidental(raw, near) | (F.size(values) == 0), None)
             .when(F.size(backing) == 0, F.format_string(UNKNOWN_NUMBER, raw))
             .when(
                 owner.isNotNull() & ~own,
@@ -124,8 +156,31 @@ def numeric_reason(body: Column, facts: Column, entities: Column) -> Column:
             )
         )
 
-    reasons = F.filter(F.transform(number_spans(body), check), lambda r: r.isNotNull())
-    return F.when(F.size(facts) > 0, F.get(reasons, F.lit(0)))
+    def step(state: Column, piece: Column) -> Column:
+        low = F.concat(state["low"], F.lower(piece["before"]))
+        near = F.concat(state["near"], piece["before"])
+        mentioned = last_entity(low, state["base"] - F.length(state["low"]), entities)
+        owner = F.coalesce(mentioned, state["owner"])
+        raw = piece["raw"]
+        walked = F.struct(
+            (state["base"] + F.length(F.lower(piece["before"])) + F.length(raw)).alias("base"),
+            # a name may end inside the number
+            F.concat(F.right(low, reach), F.lower(raw)).alias("low"),
+            F.right(F.concat(near, raw), F.lit(MONTH_REACH)).alias("near"),
+            owner.alias("owner"),
+            F.coalesce(state["reason"], check(raw, near, owner["name"])).alias("reason"),
+        )
+        return F.when(state["reason"].isNotNull(), state).otherwise(walked)
+
+    begin = F.struct(
+        F.lit(0).alias("base"), F.lit("").alias("low"), F.lit("").alias("near"),
+        F.lit(None).alias("owner"), F.lit(None).alias("reason"),
+    ).cast(WALK)
+    found = F.aggregate(
+        _numbers_only(number_pieces(body)), begin,
+        lambda state, piece: step(state, piece).cast(WALK), lambda state: state["reason"],
+    )
+    return F.when(F.size(facts) > 0, found)
 
 
 def causal_reason(body: Column, terms: Column) -> Column:

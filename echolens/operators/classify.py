@@ -116,20 +116,19 @@ def lexicon_classify(
 def _table_scores(
     df: DataFrame, lexicon: DataFrame, tokens: str, key: str | Sequence[str]
 ) -> DataFrame:
-    """Scores from a lexicon table of any size: repeats are merged per row.
+    """Scores from a lexicon table of any size, one row per word.
 
     Scores are summed as decimals, so the total does not depend on row order.
-    Reads ``df`` three times: pass a written table.
+    Reads ``df`` twice: pass a written table.
     """
     keys = row_keys(df, key)
-    uses = (
-        X.explode_terms(df, keys, F.col(tokens), "word")
-        .groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("n"))
-    )
-    known = lookup_join(uses, lexicon, "word", "inner", spread=keys)
+    words = X.explode_terms(df, keys, F.col(tokens), "word")
+    # looked up before anything is grouped: a lexicon of checked size is broadcast by
+    # the optimizer, and a larger one is a shuffle join that splits frequent words
+    known = words.join(lexicon.select("word", "score"), "word")
     totals = known.groupBy(*keys).agg(
-        F.sum(F.col("score").cast("decimal(18,9)") * F.col("n")).cast("double").alias("_total"),
-        F.sum("n").alias("_known"),
+        F.sum(F.col("score").cast("decimal(18,9)")).cast("double").alias("_total"),
+        F.count(F.lit(1)).alias("_known"),
     )
     score, oov = X.score_from_totals(
         F.coalesce("_total", F.lit(0.0)), F.coalesce("_known", F.lit(0)), F.size(tokens)

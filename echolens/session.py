@@ -71,14 +71,12 @@ def workspace(spark: SparkSession, name: str) -> str:
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Use every core on an input that arrives in few, large pieces.
+    """Deal rows out by ``keys``, whatever the size of the input.
 
-    A single small file is one task, however costly the work per row. Inputs
-    that already have a split per core are returned as they are, so large
-    tables are not shuffled.
+    A single small file is one task, however costly the work per row; adaptive
+    execution settles the number of tasks.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
+    return df.repartition(*keys)
 
 
 def durable(df: DataFrame) -> DataFrame:
