@@ -381,8 +381,9 @@ def distinctive_keywords_by_tier(spark, sf):
 def _terms_sql(terms: str, name: str, k: int, having: str = "") -> str:
     return f"""
 SELECT tier, {name}, count, rank FROM (SELECT tier, {name}, count(*) AS count,
-  row_number() OVER (PARTITION BY tier ORDER BY count(*) DESC, min(seq), {name}) AS rank
-  FROM (SELECT tier, seq, unnest({terms}) AS {name} FROM tiered) GROUP BY tier, {name})
+  row_number() OVER (PARTITION BY tier ORDER BY count(*) DESC, min([seq, place]), {name}) AS rank
+  FROM (SELECT tier, seq, unnest({terms}) AS {name}, generate_subscripts({terms}, 1) AS place
+    FROM tiered) GROUP BY tier, {name})
 WHERE rank <= {k} {having}"""
 
 

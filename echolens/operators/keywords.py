@@ -16,6 +16,8 @@ from echolens.operators.skew import HOT_SHARE, first_rows, lookup_join
 from echolens.session import durable
 
 TOKENS = "tokens_stemmed"
+# More than an array can have entries.
+PLACES_PER_ROW = 10_000_000_000
 
 
 # --- TF-IDF ------------------------------------------------------------------
@@ -167,7 +169,7 @@ def top_words(
     df: DataFrame, by: Sequence[str] = ("tier",), k: int = C.TOP_WORDS_PER_TIER,
     tokens: str = TOKENS,
 ) -> DataFrame:
-    """Most used words; ties keep first appearance, then the alphabet."""
+    """Most used words; ties keep first appearance, by row and place in it."""
     return _top_terms(df, F.col(tokens), "keyword", by, k)
 
 
@@ -183,10 +185,15 @@ def top_pairs(
 def _top_terms(
     df: DataFrame, terms: Column, name: str, by: Sequence[str], k: int
 ) -> DataFrame:
+    placed = df.select(*by, "seq", F.posexplode_outer(terms).alias("_pos", name))
+    # row and place in one decimal of 32 digits: wide enough for any bigint and int,
+    # and combined by hash before the shuffle, which a struct is not
+    per_row = F.lit(PLACES_PER_ROW).cast("decimal(11,0)")
+    seen = F.col("seq").cast("decimal(19,0)") * per_row + F.col("_pos").cast("decimal(10,0)")
     counts = (
-        explode_terms(df, [*by, "seq"], terms, name)
+        placed.filter(F.col(name).isNotNull())
         .groupBy(*by, name)
-        .agg(F.count(F.lit(1)).alias("count"), F.min("seq").alias("_seen"))
+        .agg(F.count(F.lit(1)).alias("count"), F.min(seen).alias("_seen"))
     )
     order = [F.col("count").desc(), F.col("_seen"), F.col(name)]
     return first_rows(counts, by, order, k).drop("_seen")
