@@ -270,6 +270,14 @@ def _cascade(spark, sf):
     )
 
 
+@register("escalated_rows", query("base", """
+SELECT comment_id, model, base_label, base_confidence FROM base
+WHERE base_label IS NULL OR base_confidence IS NULL OR base_confidence < 0.9"""))
+def escalated_rows(spark, sf):
+    rows = classify.escalated_rows(_base(spark, sf), 0.9)
+    return rows.select("comment_id", "model", "base_label", "base_confidence")
+
+
 @register("cascade", query("base", _CASCADE, second=_SECOND))
 def cascade(spark, sf):
     return _cascade(spark, sf)

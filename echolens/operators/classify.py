@@ -201,6 +201,17 @@ def is_ambiguous(confidence: Column, threshold: float) -> Column:
     return confidence < threshold
 
 
+def _is_kept(threshold: float) -> Column:
+    """The base answered and is confident; a missing confidence is not."""
+    sure = F.col("base_label").isNotNull() & ~is_ambiguous(F.col("base_confidence"), threshold)
+    return F.coalesce(sure, F.lit(False))
+
+
+def escalated_rows(base: DataFrame, threshold: float) -> DataFrame:
+    """The rows to ask a second opinion for: the base failed or is ambiguous."""
+    return base.filter(~_is_kept(threshold))
+
+
 def cascade(
     base: DataFrame, fallback: DataFrame | None, threshold: float | None,
     key: str = "comment_id",
@@ -232,7 +243,7 @@ def cascade(
             F.col("_answer.confidence").alias("_confidence"),
         )
     )
-    kept = F.col("base_label").isNotNull() & ~is_ambiguous(F.col("base_confidence"), threshold)
+    kept = _is_kept(threshold)
     answered = F.col("_label").isNotNull()
     rows = base.join(second, key, "left")
     return rows.select(
