@@ -73,10 +73,12 @@ def workspace(spark: SparkSession, name: str) -> str:
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Deal rows out by ``keys``, whatever the size of the input.
 
-    A single small file is one task, however costly the work per row; adaptive
-    execution settles the number of tasks.
+    A single small file is one task, however costly the work per row. The number
+    of tasks is that of the session's shuffles; adaptive execution would merge
+    them by bytes, which say little about the work on a text.
     """
-    return df.repartition(*keys)
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(tasks, *keys)
 
 
 def durable(df: DataFrame) -> DataFrame:
