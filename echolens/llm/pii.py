@@ -28,9 +28,10 @@ from pyspark.sql import functions as F
 from echolens.llm.common import durable, texts
 from echolens.llm.spans import CLOSE, OPEN, count_of, let, listed, marked, ordered, spans
 
-EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
+# loops over groups are possessive: nothing follows them, and the others recurse once per turn in Java
+EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]++)++"
 IP = r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+"
-CARD = r"[0-9](?:[\x20-]?[0-9])+"
+CARD = r"[0-9](?:[\x20-]?+[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 KINDS = ("email", "ip", "card", "phone", "context")
 # a word with a digit or an at sign, without the punctuation around it
