@@ -5,15 +5,18 @@ numbers, phone numbers) are the seeds. Every other word with a digit or an at si
 is a candidate, except those that a fixed form matched and its check refused
 (a number that fails the Luhn test, say): these are known not to be identifiers.
 
-A pattern is the word before an occurrence together with the occurrence's shape
-(runs of digits, of lower and of upper case letters, other characters kept). The
-graph of patterns and instances is scored in rounds. A pattern's confidence is
-the share of its distinct instances that are identifiers so far, refused ones and
-unknown ones counting against it; it is trusted from MIN_CONFIDENCE on and with
-MIN_SUPPORT identifiers. A candidate becomes an identifier when the mean
-confidence of its patterns, weighted by occurrences, reaches MIN_CONFIDENCE. It
-is then a seed of the next round. Occurrences of accepted candidates are spans of
-the kind ``context``.
+Patterns are lexical: the two words before an occurrence, the word before and the
+word after it, or the two words after it. A word is a run of letters; it is empty
+where the text ends or another number stands. The instance's own form is no part of
+a pattern but a loose check: patterns for words with an at sign and for words without
+one are told apart. The graph of patterns and instances is scored in rounds. A
+pattern's confidence is the share of its distinct instances that are identifiers so
+far, refused ones counting against it and unknown ones half as much; it is trusted
+from MIN_CONFIDENCE on and with MIN_SUPPORT identifiers. An occurrence has the
+confidence of its best trusted pattern, or none. A candidate becomes an identifier
+when the mean over its occurrences reaches MIN_CONFIDENCE. It is then a seed of the
+next round. Occurrences of accepted candidates are spans of the kind ``context``;
+a candidate that overlaps a fixed form is part of it and never one.
 
 Results in edge cases: a null or empty text has no spans; every row of the input
 gives one row, repeated ones too; an empty table gives an empty result; columns
@@ -22,10 +25,12 @@ other than ``doc_id`` and ``text`` are never read.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from echolens.llm.common import durable, texts
+from echolens.llm.common import durable, hot_join, texts
 from echolens.llm.spans import CLOSE, OPEN, count_of, let, listed, marked, ordered, spans
 
 # loops over groups are possessive: nothing follows them, and the others recurse once per turn in Java
@@ -37,6 +42,11 @@ KINDS = ("email", "ip", "card", "phone", "context")
 # a word with a digit or an at sign, without the punctuation around it
 CANDIDATE = r"[A-Za-z0-9+#][^\s\"'<>,;|()\[\]{}]*[0-9@][^\s\"'<>,;|()\[\]{}]*[A-Za-z0-9]"
 MIN_CONFIDENCE, MIN_SUPPORT, ROUNDS = 0.8, 5, 4
+UNKNOWN, ROUNDING = 0.5, 1e-9
+# the nearest two words on a side, the nearest one last or first
+BEFORE = r"(?:(\p{L}+)[^\p{L}0-9@]+)?(?<!\p{L})(\p{L}+)[^\p{L}0-9@]*$"
+AFTER = r"^[^\p{L}0-9@]*(\p{L}+)(?!\p{L})(?:[^\p{L}0-9@]+(\p{L}+))?"
+REACH = 60
 
 
 def _digits(body: Column) -> Column:
@@ -68,45 +78,57 @@ def _phone_ok(body: Column) -> Column:
     return F.length(_digits(body)).between(10, 15)
 
 
-def _context(marks: Column, base: Column, refused: Column) -> Column:
-    """Candidate occurrences with the word before them, base matches told apart.
+def _meets(s: Column, others: Column) -> Column:
+    return F.exists(others, lambda o: (o["first"] < s["last"]) & (s["first"] < o["last"]))
 
-    status: 1 inside a base span, -1 overlapping a refused match, 0 otherwise.
-    """
 
-    def meets(s: Column, others: Column) -> Column:
-        return F.exists(others, lambda o: (o["first"] < s["last"]) & (s["first"] < o["last"]))
+def _in_context(kind: str, marks: Column) -> Column:
+    """Spans of marked text with the two words before and after each."""
 
     def of(pieces: Column) -> Column:
-        # the word before a candidate ends the piece before its own
-        tail = lambda i: F.substring_index(F.right(F.get(pieces, i), F.lit(60)), CLOSE, -1)
-        word = lambda i: F.lower(F.element_at(F.split(F.rtrim(tail(i)), r"\s"), -1))
-        return F.transform(spans("context", marks), lambda s, i: F.struct(
-            s["first"].alias("first"), s["last"].alias("last"), s["body"].alias("body"),
-            word(i).alias("word"),
-            F.when(meets(s, base), 1).when(meets(s, refused), -1).otherwise(0).alias("status"),
+        # the words before a match end the piece before its own, those after it end its own
+        before = lambda i: F.substring_index(F.right(F.get(pieces, i), F.lit(REACH)), CLOSE, -1)
+        after = lambda i: F.left(F.substring_index(F.get(pieces, i + 1), CLOSE, -1), F.lit(REACH))
+        word = lambda side, pattern, n: F.lower(F.regexp_extract(side, pattern, n))
+        return F.transform(spans(kind, marks), lambda s, i: F.struct(
+            s["kind"].alias("kind"), s["first"].alias("first"), s["last"].alias("last"), s["body"].alias("body"),
+            word(before(i), BEFORE, 1).alias("b2"), word(before(i), BEFORE, 2).alias("b1"),
+            word(after(i), AFTER, 1).alias("a1"), word(after(i), AFTER, 2).alias("a2"),
         ))
 
-    kind = "array<struct<first:bigint,last:bigint,body:string,word:string,status:int>>"
-    return F.when(F.contains(marks, F.lit(OPEN)), let(F.split(marks, OPEN), of)).otherwise(F.array().cast(kind))
+    kind_of = "array<struct<kind:string,first:bigint,last:bigint,body:string,b2:string,b1:string,a1:string,a2:string>>"
+    return F.when(F.contains(marks, F.lit(OPEN)), let(F.split(marks, OPEN), of)).otherwise(F.array().cast(kind_of))
+
+
+def _with_status(found: Column, status: Callable[[Column], Column]) -> Column:
+    names = ("first", "last", "body", "b2", "b1", "a1", "a2")
+    return F.transform(found, lambda s: F.struct(*[s[n].alias(n) for n in names], status(s).alias("status")))
 
 
-def shape(body: Column) -> Column:
-    """Runs of digits as 9, of lower and upper case ASCII letters as a and A."""
-    out = F.regexp_replace(body, "[0-9]+", "9")
-    return F.regexp_replace(F.regexp_replace(out, "[a-z]+", "a"), "[A-Z]+", "A")
+def patterns_of(s: Column) -> Column:
+    """The patterns of an occurrence: at most three, each with at least one word next to it."""
+    loose = F.when(F.contains(s["body"], F.lit("@")), "@").otherwise("9")
+    b2, b1, a1, a2 = (s[n] for n in ("b2", "b1", "a1", "a2"))
+    return F.array_compact(F.array(
+        F.when(b1 != "", F.concat_ws(" ", loose, b2, b1, F.lit("_"))),
+        F.when((b1 != "") | (a1 != ""), F.concat_ws(" ", loose, b1, F.lit("_"), a1)),
+        F.when(a1 != "", F.concat_ws(" ", loose, F.lit("_"), a1, a2)),
+    ))
 
 
 def found_spans(docs: DataFrame) -> DataFrame:
-    """Per row: doc_id, ``base`` spans and ``near`` candidates, in one pass over the texts."""
+    """Per row: doc_id, ``base`` spans, and ``near``: base spans and candidates in their contexts.
+
+    status: 1 a base span, -1 a candidate overlapping a refused match, 0 any other candidate.
+    """
     text = F.col("text")
     marks = texts(docs).select(
         "doc_id",
-        spans("email", marked(text, EMAIL)).alias("email"),
-        spans("ip", marked(text, IP)).alias("ips"),
-        spans("card", marked(text, CARD)).alias("cards"),
-        spans("phone", marked(text, PHONE)).alias("phones"),
-        marked(text, CANDIDATE).alias("marks"),
+        _in_context("email", marked(text, EMAIL)).alias("email"),
+        _in_context("ip", marked(text, IP)).alias("ips"),
+        _in_context("card", marked(text, CARD)).alias("cards"),
+        _in_context("phone", marked(text, PHONE)).alias("phones"),
+        _in_context("context", marked(text, CANDIDATE)).alias("others"),
     )
     good = [
         F.filter("ips", lambda s: _ip_ok(s["body"])),
@@ -116,47 +138,60 @@ def found_spans(docs: DataFrame) -> DataFrame:
     # a number too short or long for its form is no refusal, only one that fails the check
     long_enough = F.filter("cards", lambda s: F.length(_digits(s["body"])).between(14, 19) & ~_card_ok(s["body"]))
     refused = F.concat(F.filter("ips", lambda s: ~_ip_ok(s["body"])), long_enough)
-    return marks.select("doc_id", "marks", F.concat("email", *good).alias("base"), refused.alias("refused")).select(
-        "doc_id", "base", _context(F.col("marks"), F.col("base"), F.col("refused")).alias("near")
+    parts = marks.select("doc_id", "others", F.concat("email", *good).alias("seeds"), refused.alias("refused"))
+    others = F.filter("others", lambda s: ~_meets(s, F.col("seeds")))
+    return parts.select(
+        "doc_id",
+        F.transform("seeds", lambda s: F.struct(*[s[n].alias(n) for n in ("kind", "first", "last", "body")])).alias("base"),
+        F.concat(
+            _with_status(F.col("seeds"), lambda s: F.lit(1)),
+            _with_status(others, lambda s: F.when(_meets(s, F.col("refused")), -1).otherwise(0)),
+        ).alias("near"),
     )
 
 
 def bootstrap(occurrences: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """(instance, score) of the candidates accepted, from all occurrences.
 
-    ``occurrences`` has instance, pattern and status. One row per pair of pattern
-    and instance is scored from, so a passage that a third of all documents share
-    counts once.
+    ``occurrences`` has instance, patterns and status. A pattern is scored from one
+    row per pair of pattern and instance, so a passage that a third of all documents
+    share counts once.
     """
     graph = durable(
-        occurrences.groupBy("pattern", "instance").agg(
+        occurrences.groupBy("instance", "patterns").agg(
             F.count(F.lit(1)).alias("n"), F.max("status").alias("best"), F.min("status").alias("worst")
         )
     )
-    known = graph.groupBy("instance").agg(
-        F.when(F.max("best") == 1, 1).when(F.min("worst") == -1, -1).otherwise(0).alias("status")
+    known = durable(graph.groupBy("instance").agg(
+        F.when(F.max("best") == 1, 1).when(F.min("worst") == -1, -1).otherwise(0).alias("status"),
+        F.sum("n").alias("total"),
+    ))
+    pairs = durable(graph.select("instance", F.explode("patterns").alias("pattern")).distinct())
+    open_ones = durable(
+        graph.select("instance", "patterns", "n").join(known.filter("status = 0").select("instance", "total"), "instance")
+        .withColumn("pattern", F.explode("patterns"))
     )
     accepted = None
     for _ in range(rounds):
-        state = known if accepted is None else known.join(
+        state = known.select("instance", "status") if accepted is None else known.join(
             accepted.select("instance", F.lit(1).alias("new")), "instance", "left"
         ).select("instance", F.coalesce("new", "status").alias("status"))
-        scored = graph.join(state, "instance")
-        patterns = scored.groupBy("pattern").agg(
-            F.sum((F.col("status") == 1).cast("long")).alias("hits"), F.count(F.lit(1)).alias("all")
-        ).select("pattern", (F.col("hits") / F.col("all")).alias("confidence"), "hits")
-        trusted = patterns.withColumn(
-            "confidence", F.when(F.col("hits") >= MIN_SUPPORT, F.col("confidence")).otherwise(0.0)
+        count = lambda status: F.sum((F.col("status") == status).cast("long"))
+        trusted = durable(
+            pairs.join(state, "instance").groupBy("pattern").agg(
+                count(1).alias("hits"), count(-1).alias("refused"), count(0).alias("unknown"), F.count(F.lit(1)).alias("all")
+            ).withColumn("confidence", F.col("hits") / (F.col("hits") + F.col("refused") + F.col("unknown") * UNKNOWN))
+            .filter((F.col("hits") >= MIN_SUPPORT) & (F.col("confidence") >= MIN_CONFIDENCE))
+            .select("pattern", "all", "confidence")
         )
-        graded = scored.filter("status = 0" if accepted is None else "status >= 0").join(trusted, "pattern")
-        score = F.sum(F.col("confidence") * F.col("n")) / F.sum("n")
-        fresh = graded.groupBy("instance").agg(score.alias("score")).filter(F.col("score") >= MIN_CONFIDENCE)
-        open_ones = known.filter("status = 0").select("instance")
+        best = hot_join(open_ones, trusted, "pattern", "all", ["confidence"]).groupBy(
+            "instance", "patterns", "n", "total"
+        ).agg(F.max("confidence").alias("confidence"))
+        score = F.sum(F.col("confidence") * F.col("n")) / F.first("total")
+        fresh = best.groupBy("instance").agg(score.alias("score")).filter(F.col("score") >= MIN_CONFIDENCE - ROUNDING)
         before = 0 if accepted is None else accepted.count()
-        merged = fresh.join(open_ones, "instance", "left_semi")
-        if accepted is not None:
-            merged = merged.unionByName(accepted).groupBy("instance").agg(F.max("score").alias("score"))
-        accepted = durable(merged)
+        # confidences only grow, so what was accepted is again
+        accepted = durable(fresh)
         if accepted.count() == before:
             break
     return accepted
@@ -168,10 +203,10 @@ def personal_spans(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     occurrences = durable(
         rows.select("row", F.explode("near").alias("s")).select(
             "row", "s.first", "s.last", "s.body", F.lower("s.body").alias("instance"),
-            F.concat_ws(" ", "s.word", shape(F.col("s.body"))).alias("pattern"), "s.status",
+            patterns_of(F.col("s")).alias("patterns"), "s.status",
         )
     )
-    accepted = bootstrap(occurrences.select("instance", "pattern", "status"), rounds)
+    accepted = bootstrap(occurrences.select("instance", "patterns", "status"), rounds)
     more = (
         occurrences.filter("status = 0").join(accepted.select("instance"), "instance", "left_semi")
         .groupBy("row").agg(F.collect_list(F.struct(F.lit("context").alias("kind"), "first", "last", "body")).alias("more"))
