@@ -15,7 +15,7 @@ far, refused ones counting against it and unknown ones half as much; it is trust
 from MIN_CONFIDENCE on and with MIN_SUPPORT identifiers. An occurrence has the
 confidence of its best trusted pattern, or none. A candidate becomes an identifier
 when the mean over its occurrences reaches MIN_CONFIDENCE. It is then a seed of the
-next round. Occurrences of accepted candidates are spans of the kind ``context``;
+next round, until a round accepts nothing new. Occurrences of accepted candidates are spans of the kind ``context``;
 a candidate that overlaps a fixed form is part of it and never one.
 
 Results in edge cases: a null or empty text has no spans; every row of the input
@@ -41,7 +41,9 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 KINDS = ("email", "ip", "card", "phone", "context")
 # a word with a digit or an at sign, without the punctuation around it
 CANDIDATE = r"[A-Za-z0-9+#][^\s\"'<>,;|()\[\]{}]*[0-9@][^\s\"'<>,;|()\[\]{}]*[A-Za-z0-9]"
-MIN_CONFIDENCE, MIN_SUPPORT, ROUNDS = 0.8, 5, 4
+MIN_CONFIDENCE, MIN_SUPPORT = 0.8, 5
+# rounds end when nothing new is accepted; so many are an error
+ROUNDS = 500
 UNKNOWN, ROUNDING = 0.5, 1e-9
 # the nearest two words on a side, the nearest one last or first
 BEFORE = r"(?:(\p{L}+)[^\p{L}0-9@]+)?(?<!\p{L})(\p{L}+)[^\p{L}0-9@]*$"
@@ -155,7 +157,7 @@ def bootstrap(occurrences: DataFrame, rounds: int = ROUNDS) -> DataFrame:
 
     ``occurrences`` has instance, patterns and status. A pattern is scored from one
     row per pair of pattern and instance, so a passage that a third of all documents
-    share counts once.
+    share counts once. Runs to the fixpoint; ``rounds`` only guards against no end.
     """
     graph = durable(
         occurrences.groupBy("instance", "patterns").agg(
@@ -193,8 +195,8 @@ def bootstrap(occurrences: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         # confidences only grow, so what was accepted is again
         accepted = durable(fresh)
         if accepted.count() == before:
-            break
-    return accepted
+            return accepted
+    raise RuntimeError(f"the bootstrap still accepts new instances after {rounds} rounds")
 
 
 def personal_spans(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
