@@ -2,11 +2,13 @@
 
 Each candidate merge, when its turn in the agenda comes, is skipped with
 probability ``dropout``, decided by a hash keyed with the seed, the text's stream,
-the part, and the candidate's place and lengths. A text's stream, one of
-``streams``, is a keyed hash of doc_id. So the same seed always gives the same
-segmentation, on any partitioning, while other seeds and streams vary it; with
-dropout 0 it is the model's own encoding. Parts that no merge can join are
-independent, so known parts of a stream are looked up in a bounded table.
+the place of the part in the text, the part, and the candidate's place and lengths.
+A text's stream is a keyed hash of doc_id; ``streams`` bounds their number if it is
+set. So the same seed always gives the same segmentation, on any partitioning, while
+other seeds, documents and places in a text vary it; with dropout 0 it is the
+model's own encoding. Parts that no merge can join are independent, so what a part
+gives when no merge is skipped, with the merges made on the way, is looked up in a
+bounded table; merges are only made anew where a draw skips one of these.
 
 Decoding joins the pieces. It gives back every text: a literal piece mark (U+2581),
 which the model itself would turn into a blank, is encoded as its bytes here.
@@ -32,7 +34,7 @@ from echolens.llm.packing import tokenizer_path
 from echolens.llm.pieces import SPACE, Pieces
 from echolens.llm.token_counts import MODEL
 
-DROPOUT, SEED, STREAMS = 0.1, 2024, 4
+DROPOUT, SEED, STREAMS = 0.1, 2024, None
 CACHED_CHUNKS, CACHED_PARTS = 250_000, 900_000
 _M64 = (1 << 64) - 1
 
@@ -43,58 +45,90 @@ class DropoutEncoder:
     def __init__(self, path: str, dropout: float = DROPOUT, seed: int = SEED):
         self.pieces = Pieces(path)
         self.dropout, self.seed = dropout, seed
-        self.known: dict[int, dict[str, bytes]] = {}
-        self.parts: dict[tuple[int, str], bytes] = {}
+        self.most = int(dropout * 2**32)
+        # parts of a chunk, with the merges that each makes when none is skipped
+        self.known: dict[str, list[tuple[str, int, list[int], bytes]]] = {}
+        self.parts: dict[str, tuple[str, int, list[int], bytes]] = {}
         self.mark = np.array([self.pieces.byte_ids[b] for b in SPACE.encode()], "<u4").tobytes()
 
-    def _encode(self, stream: int, chunk: str) -> bytes:
-        known = self.known[stream]
-        if sum(map(len, self.known.values())) > CACHED_CHUNKS:
-            known.clear()
+    def _learn(self, chunk: str) -> list[tuple[str, int, list[int], bytes]]:
+        """Each part of a chunk: itself, its hash, the candidates met without a skip, its ids without one."""
+        if len(self.known) > CACHED_CHUNKS:
+            self.known.clear()
         out = []
         for part in self.pieces.cut(chunk):
-            found = self.parts.get((stream, part))
+            found = self.parts.get(part)
             if found is None:
                 if len(self.parts) > CACHED_PARTS:
                     self.parts.clear()
-                symbols = self.pieces.merge(list(part), self._skip(stream, part))
-                found = self.parts[stream, part] = np.array(self.pieces.to_ids(symbols), "<u4").tobytes()
+                met: list[int] = []
+
+                def note(place: int, left: int, right: int, met: list[int] = met) -> bool:
+                    met.append(_candidate(place, left, right))
+                    return False
+
+                ids = self._ids(part, note)
+                own = xxhash.xxh3_64_intdigest(part.encode("utf-8"), self.seed & _M64)
+                found = self.parts[part] = (part, own, met, ids)
             out.append(found)
-        ids = known[chunk] = b"".join(out)
-        return ids
+        self.known[chunk] = out
+        return out
 
-    def _skip(self, stream: int, part: str) -> Callable[[int, int, int], bool] | None:
-        """The keyed decision on the candidates of a part of a text in a stream."""
-        if self.dropout <= 0:
-            return None
-        key = xxhash.xxh3_64_intdigest(part.encode("utf-8"), (self.seed * 0x9E3779B97F4A7C15 + stream) & _M64)
-        most = int(self.dropout * 2**32)
+    def _ids(self, part: str, skip: Callable[[int, int, int], bool] | None) -> bytes:
+        return np.array(self.pieces.to_ids(self.pieces.merge(list(part), skip)), "<u4").tobytes()
+
+    def _skip(self, key: int) -> Callable[[int, int, int], bool]:
+        """The keyed decision on the candidates of a part at its place in a text."""
+        most = self.most
 
         def skip(place: int, left: int, right: int) -> bool:
-            x = (key ^ (place * 0x2545F4914F6CDD1D + left * 0x9E3779B97F4A7C15 + right)) * 0xD6E8FEB86659FD93 & _M64
+            x = (key ^ _candidate(place, left, right)) * 0xD6E8FEB86659FD93 & _M64
             return ((x ^ (x >> 32)) * 0xD6E8FEB86659FD93 & _M64) >> 32 < most
 
         return skip
 
     def __call__(self, text: str, stream: int = 0) -> bytes:
-        known, encode = self.known.setdefault(stream, {}), self._encode
         if SPACE not in text:
-            return b"".join([known.get(c) or encode(stream, c) for c in Pieces.chunks(text)])
-        out = []
+            return self._encode(Pieces.chunks(text), stream, 0)[0]
+        out, at = [], 0
         for n, part in enumerate(text.split(SPACE)):
             # the blank in front belongs to the text's first part alone
             chunks = (Pieces.chunks(part) or [SPACE]) if not n else _without_front(part)
             if n:
                 out.append(self.mark)
-            out.extend(known.get(c) or encode(stream, c) for c in chunks)
+            ids, at = self._encode(chunks, stream, at)
+            out.append(ids)
         return b"".join(out)
 
+    def _encode(self, chunks: list[str], stream: int, at: int) -> tuple[bytes, int]:
+        """Ids of chunks whose first part is part ``at`` of the text, and the next part's number."""
+        known, learn, most = self.known, self._learn, self.most
+        base = (self.seed * 0x9E3779B97F4A7C15 + stream * 0xC2B2AE3D27D4EB4F) & _M64
+        out = []
+        for c in chunks:
+            for part, own, met, ids in known.get(c) or learn(c):
+                if met and most > 0:
+                    key = ((own ^ base) + at * 0x165667B19E3779F9) * 0xBF58476D1CE4E5B9 & _M64
+                    key ^= key >> 29
+                    for candidate in met:
+                        x = (key ^ candidate) * 0xD6E8FEB86659FD93 & _M64
+                        if ((x ^ (x >> 32)) * 0xD6E8FEB86659FD93 & _M64) >> 32 < most:
+                            ids = self._ids(part, self._skip(key))
+                            break
+                at += 1
+                out.append(ids)
+        return b"".join(out), at
+
     def decode(self, ids: bytes) -> str:
         raw = self.pieces.raw
         joined = b"".join([raw[i] for i in np.frombuffer(ids, "<u4").tolist()])
         return joined[1:].decode("utf-8")
 
 
+def _candidate(place: int, left: int, right: int) -> int:
+    return (place * 0x2545F4914F6CDD1D + left * 0x9E3779B97F4A7C15 + right) & _M64
+
+
 def _without_front(part: str) -> list[str]:
     """Chunks of a part that has no blank put in front."""
     chunks = Pieces.chunks(part)
@@ -117,7 +151,7 @@ def _encoder(path: str, dropout: float, seed: int) -> DropoutEncoder:
 
 
 def encoded(
-    docs: DataFrame, model: str | None = None, dropout: float = DROPOUT, seed: int = SEED, streams: int = STREAMS
+    docs: DataFrame, model: str | None = None, dropout: float = DROPOUT, seed: int = SEED, streams: int | None = STREAMS
 ) -> DataFrame:
     """doc_id, text and ids (little-endian 32-bit) of every row of ``docs``."""
     path = model or tokenizer_path(MODEL)
@@ -129,7 +163,9 @@ def encoded(
             ids = pa.array([encode(text, stream) for text, stream in pairs], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), ids], ["doc_id", "text", "ids"])
 
-    stream = F.coalesce(F.when(F.col("doc_id").isNotNull(), F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(streams))), F.lit(0))
+    own = F.xxhash64(F.lit(seed), "doc_id")
+    own = own if streams is None else F.pmod(own, F.lit(streams))
+    stream = F.coalesce(F.when(F.col("doc_id").isNotNull(), own), F.lit(0))
     return texts(docs).select("doc_id", "text", stream.cast("bigint").alias("stream")).mapInArrow(
         run, "doc_id bigint, text string, ids binary"
     )
@@ -148,7 +184,7 @@ def decoded(ids: Column, model: str | None = None) -> Column:
 
 
 def dropout_round_trip(
-    docs: DataFrame, model: str | None = None, dropout: float = DROPOUT, seed: int = SEED, streams: int = STREAMS
+    docs: DataFrame, model: str | None = None, dropout: float = DROPOUT, seed: int = SEED, streams: int | None = STREAMS
 ) -> DataFrame:
     """doc_id, n_tokens, ids_crc32, ids_sha256 and lossless of every row of ``docs``."""
     ids = encoded(docs, model, dropout, seed, streams)
