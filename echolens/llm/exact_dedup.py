@@ -7,7 +7,7 @@ shuffled), and the digests not found are appended in the same buckets.
 
 Results in edge cases: a null text counts as empty; rows without ``doc_id`` are
 counted in their group but another row stays if one has an id; rows that repeat
-a ``doc_id`` share its decision; an empty table gives an empty result; columns
+a ``doc_id`` share its decision, but ``drop_exact_duplicates`` goes by row; an empty table gives an empty result; columns
 other than ``doc_id`` and ``text`` are never read.
 """
 
@@ -18,16 +18,17 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from echolens.llm.common import durable, hot_join, texts
+from echolens.llm.common import durable, hot_join
 from echolens.session import workspace
 
 SPACES = r"[\x20\x09-\x0D]+"
+ROW = "_dedup_row"
 
 
-def digests(docs: DataFrame) -> DataFrame:
-    """doc_id and the SHA-256 of the text after joining white space, for every row."""
-    normal = F.regexp_replace("text", SPACES, " ")
-    return texts(docs).select("doc_id", F.sha2(normal.cast("binary"), 256).alias("digest"))
+def digests(docs: DataFrame, *more: str) -> DataFrame:
+    """doc_id, ``more`` and the SHA-256 of the text after joining white space, for every row."""
+    normal = F.regexp_replace(F.coalesce(F.col("text").cast("string"), F.lit("")), SPACES, " ")
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), *more, F.sha2(normal.cast("binary"), 256).alias("digest"))
 
 
 class DigestIndex:
@@ -88,6 +89,11 @@ def exact_duplicates(docs: DataFrame, index: DigestIndex | None = None, buckets:
 
 
 def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, of which no earlier copy exists."""
-    gone = exact_duplicates(docs).filter(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, docs["doc_id"].cast("bigint") == gone["doc_id"], "left_anti")
+    """One row per text, all columns: the smallest doc_id (null ones last), of equal ids the first row."""
+    rows = durable(docs.withColumn(ROW, F.monotonically_increasing_id()))
+    # of the same stored rows, so the ids are the same wherever they are read
+    keys = durable(digests(rows, ROW))
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", ROW)
+    first = keys.groupBy("digest").agg(F.min(order).alias("first")).select(F.col(f"first.{ROW}").alias(ROW))
+    gone = keys.select(ROW).join(first, ROW, "left_anti")
+    return rows.join(gone, ROW, "left_anti").drop(ROW)
