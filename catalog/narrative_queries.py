@@ -1,4 +1,4 @@
-"""Narratives, metric facts, claim audit and incremental runs."""
+"""Narratives, metric facts and claim audit."""
 
 from __future__ import annotations
 
@@ -11,13 +11,10 @@ from catalog.report_queries import (
     _board_sql, _delta_sql, _engagement_sql, _overall_sql, _themes_sql, _trend_sql, _videos_sql,
 )
 from catalog.sql import id_number, query, quoted, rnd, signed, strip
-from catalog.text_queries import _LEXICON_ROWS, _SCORED as _LEXICON_PARTS
 from echolens import constants as C
 from echolens.operators import audit, keywords, narrative, summary, tiers
 from echolens.plans import report
-from echolens.plans.analyze import AnalyzeOptions
-from echolens.session import durable, workspace
-from echolens.streaming import incremental
+from echolens.session import durable
 
 RUN = ["run_id"]
 
@@ -392,43 +389,3 @@ SELECT s.run_id, 'risk' AS section, 0 AS idx, CASE WHEN status = '{audit.STATUS_
 FROM states s LEFT JOIN conversations c ON s.conv_id = c.conv_id AND s.good = c.turn""", **_SELECTION))
 def chosen_narratives(spark, sf):
     return _selection(spark, sf)[1]
-
-
-# --- incremental runs --------------------------------------------------------------
-@register("incremental_analysis", query("tokenized", f"""
-SELECT 'c' || seq AS comment_id, sentiment_label, sentiment_confidence, sentiment_method
-FROM ({_LEXICON_ROWS})""", **_LEXICON_PARTS))
-def incremental_analysis(spark, sf):
-    """Posts land as files and are labeled batch by batch."""
-    base = workspace(spark, "incremental")
-    posts = V.posts(spark, sf).drop("sentiment_label", "sentiment_method", "run_id")
-    posts.write.json(f"{base}/landed")
-    options = AnalyzeOptions(stopwords=V.STOPWORDS, slang=V.SLANG, lexicon=V.LEXICON)
-    stream = incremental.landed_comments(spark, f"{base}/landed", files_per_batch=4)
-    incremental.incremental_analyze(
-        stream, f"{base}/out", f"{base}/progress", options
-    ).awaitTermination()
-    return incremental.current_results(spark, f"{base}/out").select(
-        "comment_id", "sentiment_label", "sentiment_confidence", "sentiment_method"
-    )
-
-
-@register("incremental_collection", """
-SELECT 'v' || user_id AS aweme_id, max(event_id) AS landed_at,
-  arg_max(event_type, event_id) AS caption FROM events GROUP BY user_id""")
-def incremental_collection(spark, sf):
-    """Collected videos land repeatedly; the last record of each one counts."""
-    base = workspace(spark, "collected")
-    rows = V.table(spark, sf, "events").select(
-        F.concat(F.lit("v"), F.col("user_id").cast("string")).alias("aweme_id"),
-        F.col("event_id").alias("landed_at"), F.col("event_type").alias("caption"),
-        F.array(F.col("props")).alias("comments"),
-    )
-    rows.write.json(f"{base}/landed")
-    stream = spark.readStream.schema(
-        "aweme_id string, landed_at bigint, caption string, comments array<string>"
-    ).json(f"{base}/landed")
-    incremental.incremental_collect(stream, f"{base}/out", f"{base}/progress").awaitTermination()
-    return incremental.current_videos(spark, f"{base}/out").select(
-        "aweme_id", "landed_at", "caption"
-    )

@@ -1,30 +1,35 @@
 """Incremental runs: newly landed files, each processed once.
 
-The reference table of finished work is the output itself, split by batch.
-Restarts replay a batch under the same number and overwrite its own folder, so
-output is complete and free of repeats after a failure.
+What is finished is kept as keyed state, one small value per comment, so a batch
+costs what it brings and never reads earlier output. Output is a log of batches
+(``log.BatchLog``): a restart replays a batch under the same number and overwrites
+its own folder, so output is complete and free of repeats after a failure.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Sequence
+from datetime import timedelta
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from echolens import schema as S
-from echolens.operators.classify import pending, reusable
-from echolens.operators.exclusion import analyzed_rows, mark_exclusions
+from echolens.operators.exclusion import INLINE_LIMIT, analyzed_rows, mark_exclusions
 from echolens.plans.analyze import AnalyzeOptions, label_rows
+from echolens.session import durable
 from echolens.sources.readers import last_wins
+from echolens.streaming.log import BatchLog
 
 FLAT_SCHEMA = (
     "comment_id string, video_id string, video_caption string, video_author_username string, "
     "is_reply boolean, parent_comment_id string, username string, text_raw string, "
     "create_time string, digg_count bigint, excluded boolean, exclude_reason string, seq bigint"
 )
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def landed_comments(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
@@ -35,90 +40,152 @@ def landed_comments(spark: SparkSession, path: str, files_per_batch: int = 1000)
     )
 
 
-def _previous(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
-    try:
-        rows = spark.read.parquet(path)
-    except AnalysisException as error:
-        # nothing written yet; any other error must not pass for an empty history
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
-    return rows.filter(F.col("batch_id") < batch_id)
-
-
 def _run_batches(
     stream: DataFrame, checkpoint: str, step: Callable[[DataFrame, int], None],
-    available_now: bool = True,
+    available_now: bool = True, mode: str = "append",
 ) -> StreamingQuery:
-    writer = stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
+    writer = stream.writeStream.outputMode(mode).foreachBatch(step).option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()
 
 
+def last_of_task(key: str, order: str):
+    """Of the rows that a task holds at once, the last one per key: what a hot key shuffles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column(key).dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+            place = batch.column(order).fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False)
+            by = np.lexsort((place, keys))
+            last = np.append(keys[by][1:] != keys[by][:-1], True) if len(by) else by
+            yield batch.take(pa.array(np.sort(by[last.astype(bool)])))
+
+    return run
+
+
+class Unfinished(StatefulProcessor):
+    """Passes on the last row of each comment whose result is not in the state, or of another mode.
+
+    State: mode and ``seq`` of the row that was passed on last. With ``forget_after``
+    a state lives that long; a comment that lands again later is labeled again, which
+    costs work but changes no result.
+    """
+
+    def __init__(self, hybrid: bool, forget_after: timedelta | None = None):
+        self.hybrid, self.forget_after = hybrid, forget_after
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        lives = None if self.forget_after is None else int(self.forget_after.total_seconds() * 1000)
+        self.done = handle.getValueState("done", "hybrid boolean, seq bigint", lives)
+
+    def handleInputRows(self, key, rows: Iterator[Row], timer_values) -> Iterator[Row]:
+        last = None
+        for row in rows:
+            if last is None or last.seq is None or (row.seq is not None and row.seq >= last.seq):
+                last = row
+        done = self.done.get()
+        if done is None or done[0] != self.hybrid:
+            self.done.update((self.hybrid, last.seq))
+            yield last
+
+    def close(self) -> None:
+        pass
+
+
+def unfinished(stream: DataFrame, hybrid: bool, forget_after: timedelta | None = None) -> DataFrame:
+    """Comments of a stream that need a result in this mode, each once."""
+    stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    few = stream.mapInArrow(last_of_task("comment_id", "seq"), stream.schema)
+    return few.groupBy("comment_id").transformWithState(
+        Unfinished(hybrid, forget_after), stream.schema, "Update",
+        "None" if forget_after is None else "ProcessingTime",
+    )
+
+
+def _analyzed(stream: DataFrame, accounts: DataFrame | Sequence[str]) -> DataFrame:
+    """Rows of a stream that are analyzed; long account lists and tables are anti-joined as static tables."""
+    if not isinstance(accounts, DataFrame) and len(accounts) <= INLINE_LIMIT:
+        return analyzed_rows(mark_exclusions(stream, accounts))
+    if not isinstance(accounts, DataFrame):
+        accounts = stream.sparkSession.createDataFrame([(name,) for name in accounts], "username string")
+    kept = analyzed_rows(mark_exclusions(stream, ()))
+    return kept.join(accounts.select("username").distinct(), "username", "left_anti").select(*stream.columns)
+
+
 def incremental_analyze(
     stream: DataFrame, output: str, checkpoint: str, options: AnalyzeOptions,
-    available_now: bool = True,
+    available_now: bool = True, forget_after: timedelta | None = None, compact_every: int | None = None,
 ) -> StreamingQuery:
     """Label comments not labeled yet in this mode, and append them.
 
     Comments of the uploader and of the excluded accounts are left out, as in a
-    batch run.
-
-    A comment labeled without a fallback is labeled again once there is one.
+    batch run. A comment labeled without a fallback is labeled again when it lands
+    once there is one, and the other way round. The checkpoint holds the state.
+    ``forget_after`` is for runs that go on: timers keep a query awake.
     """
+    if available_now and forget_after is not None:
+        raise ValueError("states with a lifetime need a query that goes on")
     hybrid = options.fallback is not None
     columns = [*S.FLAT_COLUMNS, *S.ANALYZED_COLUMNS]
+    kept = _analyzed(stream, options.exclude)
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        rows = last_wins(batch, ["comment_id"], "seq")
-        rows = analyzed_rows(mark_exclusions(rows, options.exclude))
-        done = _previous(spark, output, batch_id)
-        if done is not None:
-            # only ids of this batch, and of each the latest entry, decide
-            seen = done.select("comment_id", "hybrid_enabled", "batch_id").join(
-                rows.select("comment_id"), "comment_id", "left_semi"
-            )
-            rows = pending(rows, reusable(last_wins(seen, ["comment_id"], "batch_id"), hybrid))
-        labeled = label_rows(rows, options).select(*columns)
-        (
-            labeled.withColumn("hybrid_enabled", F.lit(hybrid))
-            .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id").parquet(output)
-        )
-
-    return _run_batches(stream, checkpoint, step, available_now)
+        # written once: the keyed state is asked once, however often the rows are read
+        labeled = label_rows(durable(batch), options).select(*columns)
+        log = results_log(batch.sparkSession, output)
+        log.append(labeled.withColumn("hybrid_enabled", F.lit(hybrid)), batch_id)
+        log.maybe_compact(batch_id, compact_every)
+
+    return _run_batches(unfinished(kept, hybrid, forget_after), checkpoint, step, available_now, "update")
+
+
+def results_log(spark: SparkSession, output: str) -> BatchLog:
+    return BatchLog(spark, output, "comment_id")
 
 
 def current_results(spark: SparkSession, output: str) -> DataFrame:
     """Latest result per comment."""
-    return last_wins(spark.read.parquet(output), ["comment_id"], "batch_id")
+    return results_log(spark, output).current()
 
 
 def incremental_collect(
     stream: DataFrame, output: str, checkpoint: str, key: str = "aweme_id",
-    order: str = "landed_at", available_now: bool = True,
+    order: str = "landed_at", available_now: bool = True, event_time: str | None = None,
+    delay: str | None = None, compact_every: int | None = None,
 ) -> StreamingQuery:
     """Append collected videos; within a batch the last record of a video wins.
 
     Across batches ``current_videos`` lets the later batch win.
+
+    With ``event_time`` and ``delay`` the log is fed by at-least-once delivery:
+    records (key and event time) that land again within the delay are dropped while
+    they stream, records older than the delay are late and left out (the query's
+    progress counts them), and the state stays bounded. Then ``current_videos``
+    needs ``order`` too, since records may land out of order.
     """
+    usable = stream.filter((F.coalesce(F.col(key), F.lit("")) != "") & F.col("comments").isNotNull())
+    if event_time is not None:
+        usable = usable.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key, event_time])
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        usable = batch.filter(
-            (F.coalesce(F.col(key), F.lit("")) != "") & F.col("comments").isNotNull()
-        )
-        (
-            last_wins(usable, [key], order)
-            .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id").parquet(output)
-        )
+        log = BatchLog(batch.sparkSession, output, key)
+        log.append(last_wins(batch, [key], order), batch_id)
+        log.maybe_compact(batch_id, compact_every)
+
+    return _run_batches(usable, checkpoint, step, available_now)
 
-    return _run_batches(stream, checkpoint, step, available_now)
 
+def current_videos(
+    spark: SparkSession, output: str, key: str = "aweme_id", order: str | None = None
+) -> DataFrame:
+    """The record of each video that counts: by ``order``, or else of the latest batch."""
+    return BatchLog(spark, output, key, [order] if order else []).current()
 
-def current_videos(spark: SparkSession, output: str, key: str = "aweme_id") -> DataFrame:
-    return last_wins(spark.read.parquet(output), [key], "batch_id")
+
+def late_records(query: StreamingQuery) -> int:
+    """Records that a query has left out because they were older than its delay."""
+    return sum(
+        operator["numRowsDroppedByWatermark"]
+        for progress in query.recentProgress for operator in progress["stateOperators"]
+    )
