@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from echolens import constants as C
 from echolens import schema as S
-from echolens.operators import classify, exclusion, keywords, summary
+from echolens.operators import classify, exclusion, keywords, learned, summary
 from echolens.session import durable
 
 
@@ -23,9 +23,9 @@ class AnalyzeOptions:
     slang: Mapping[str, str] = field(default_factory=lambda: C.SLANG)
     stems: object = None
     lexicon: Mapping[str, float] | DataFrame = field(default_factory=lambda: C.LEXICON)
-    # A prediction struct<label, score> column over text_raw; the built-in
-    # lexicon classifier is used without one.
-    scorer: Column | None = None
+    # A prediction struct<label, score> column over text_raw, or a fitted classifier;
+    # the built-in lexicon classifier is used without one.
+    scorer: Column | learned.LearnedScorer | None = None
     # Precomputed second opinions and the confidence below which they are asked.
     fallback: DataFrame | None = None
     threshold: float | None = None
@@ -44,6 +44,8 @@ def label_rows(rows: DataFrame, options: AnalyzeOptions) -> DataFrame:
         base = labeled.withColumnRenamed("sentiment_label", "base_label").withColumnRenamed(
             "sentiment_confidence", "base_confidence"
         ).drop("sentiment_method", "lexicon_score", "oov_ratio")
+    elif isinstance(options.scorer, learned.LearnedScorer):
+        base = options.scorer.predict(stemmed)
     else:
         scored = stemmed.withColumn("_prediction", options.scorer)
         base = classify.base_prediction(scored, F.col("_prediction")).drop("_prediction")
