@@ -9,8 +9,8 @@ from catalog.registry import register
 from catalog.sql import ISO, TIER_OF, query, strip
 from echolens.functions import text as X
 from echolens.operators import collect, ingest, mirror, sampling, skew
-from echolens.session import durable
-from echolens.sources import readers, writers
+from echolens.session import durable, workspace
+from echolens.sources import readers, split, writers
 
 SEED = 7
 SIZE = 150
@@ -417,3 +417,58 @@ def account_types(spark, sf):
             F.concat(F.lit("type "), (n % 9).cast("string"))).alias("account_type"),
     )
     return readers.account_types(videos)
+
+
+# --- files whose records do not end where lines do -----------------------------------
+SPLIT_BYTES = "256k"
+
+
+def _in_small_splits(spark, read):
+    """What ``read`` gives while files are cut into splits of ``SPLIT_BYTES``, written."""
+    names = {"spark.sql.files.maxPartitionBytes": SPLIT_BYTES, "spark.sql.files.openCostInBytes": "0"}
+    before = {name: spark.conf.get(name) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    try:
+        return durable(read())
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+@register("quoted_csv_round_trip", """
+SELECT doc_id, CAST(length(coalesce(text, '')) AS BIGINT) AS chars, sha256(coalesce(text, '')) AS digest
+FROM documents""")
+def quoted_csv_round_trip(spark, sf):
+    """Documents with line breaks, commas and quotes, through quoted CSV in many tasks."""
+    base = workspace(spark, "quoted")
+    text = F.coalesce("text", F.lit(""))
+    quoted = F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))
+    rows = V.table(spark, sf, "documents").select(F.concat_ws(",", F.col("doc_id").cast("string"), quoted).alias("value"))
+    header = F.when(F.monotonically_increasing_id() % (1 << 33) == 0, F.array(F.lit("url_or_id,account_type"), F.col("value")))
+    rows.select(F.explode(F.coalesce(header, F.array("value"))).alias("value")).write.text(f"{base}/csv")
+    back = _in_small_splits(spark, lambda: split.read_csv(spark, f"{base}/csv"))
+    cell = F.coalesce("account_type", F.lit(""))
+    return back.select(
+        F.col("url_or_id").cast("bigint").alias("doc_id"), F.length(cell).cast("bigint").alias("chars"),
+        F.sha2(cell, 256).alias("digest"),
+    )
+
+
+@register("json_array_round_trip", """
+SELECT doc_id, CAST(length(text) AS BIGINT) AS chars, sha256(text) AS digest, lang FROM documents""")
+def json_array_round_trip(spark, sf):
+    """Documents as nested objects of JSON arrays on one line, cut off before the last bracket, read in many tasks."""
+    base = workspace(spark, "arrays")
+    video = F.to_json(F.struct(
+        F.col("doc_id").cast("string").alias("aweme_id"), F.col("text").alias("caption"),
+        F.array(F.struct(F.col("lang").alias("comment_id"), F.lit("} ] \" {").alias("comment"))).alias("comments"),
+    ))
+    first = F.monotonically_increasing_id() % (1 << 33) == 0
+    rows = V.table(spark, sf, "documents").select(F.concat(F.when(first, "[").otherwise(","), video).alias("value"))
+    rows.write.option("lineSep", " ").text(f"{base}/json")
+    back = _in_small_splits(spark, lambda: readers.read_videos(spark, f"{base}/json", split=True))
+    return back.select(
+        F.col("aweme_id").cast("bigint").alias("doc_id"), F.length("caption").cast("bigint").alias("chars"),
+        F.sha2("caption", 256).alias("digest"), F.col("comments")[0]["comment_id"].alias("lang"),
+    )

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from echolens import constants as C
 from echolens import schema as S
 from echolens.functions.text import blank_to, stopwords_without_negations, strip
+from echolens.sources import split as split_files
 
 VIDEO_COLUMNS = ("url_or_id", "id_konten")
 # Up to this many file splits, their offsets are broadcast (tens of MB).
@@ -47,21 +48,26 @@ def number_rows(df: DataFrame, name: str) -> DataFrame:
 
 
 def read_mirror(
-    spark: SparkSession, paths: str | Sequence[str], multi_line: bool = True
+    spark: SparkSession, paths: str | Sequence[str], multi_line: bool = True, split: bool = False
 ) -> DataFrame:
     """Order mirror CSV -> (line, value, account_type, creator_username).
 
     Lines count from 2 as in the file with its header. ``multi_line`` allows
     line breaks inside quoted cells, at the price of one task per file; switch
-    it off for large files without such cells and they are split.
+    it off for large files without such cells and they are split. ``split`` reads
+    large files with such cells in many tasks.
     """
-    raw = (
-        spark.read.option("header", True)
-        .option("multiLine", multi_line)
-        .option("quote", '"')
-        .option("escape", '"')
-        .csv(list(paths) if not isinstance(paths, str) else paths)
-    )
+    paths = paths if isinstance(paths, str) else list(paths)
+    if split:
+        raw = split_files.read_csv(spark, paths)
+    else:
+        raw = (
+            spark.read.option("header", True)
+            .option("multiLine", multi_line)
+            .option("quote", '"')
+            .option("escape", '"')
+            .csv(paths)
+        )
     video = next((c for c in VIDEO_COLUMNS if c in raw.columns), None)
     if video is None:
         raise ValueError(
@@ -69,7 +75,7 @@ def read_mirror(
         )
     creator = next((c for c in CREATOR_COLUMNS if c in raw.columns), None)
     has_type = "account_type" in raw.columns
-    numbered = number_rows(raw, "_row")
+    numbered = raw if split else number_rows(raw, "_row")
     return numbered.select(
         (F.col("_row") + 2).alias("line"),
         strip(F.coalesce(F.col(video), F.lit(""))).alias("value"),
@@ -88,7 +94,8 @@ def read_video_text(
     """One row per video with its JSON text and position, for validation.
 
     A month file is one JSON array; ``lines`` reads JSON lines instead, which
-    split and are preferred for large inputs.
+    split and are preferred for large inputs. Arrays that need not be checked for
+    anything but their objects come in many tasks from ``split.read_json_objects``.
     """
     if lines:
         rows = number_rows(spark.read.text(paths), "video_no")
@@ -124,13 +131,18 @@ def file_layouts(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
 
 
 def read_videos(
-    spark: SparkSession, paths: str | Sequence[str], lines: bool | None = None
+    spark: SparkSession, paths: str | Sequence[str], lines: bool | None = None, split: bool = False
 ) -> DataFrame:
     """Nested videos with the explicit schema and a position column.
 
     ``lines`` says whether the files are JSON lines or one JSON array each;
-    by default they are looked at, and a mixture of both is an error.
+    by default they are looked at, and a mixture of both is an error. ``split``
+    reads large arrays in many tasks; then an array holds objects only.
     """
+    if split:
+        objects = split_files.read_json_objects(spark, paths)
+        video = F.from_json("body", S.VIDEO).alias("v")
+        return objects.select(video, F.col("number").alias("video_no")).select("v.*", "video_no")
     if lines is None:
         found = {r["opening"] for r in file_layouts(spark, paths).select("opening").distinct().collect()}
         if len(found & {"[", "{"}) > 1:
