@@ -425,7 +425,7 @@ SPLIT_BYTES = "256k"
 
 def _in_small_splits(spark, read):
     """What ``read`` gives while files are cut into splits of ``SPLIT_BYTES``, written."""
-    names = {"spark.sql.files.maxPartitionBytes": SPLIT_BYTES, "spark.sql.files.openCostInBytes": "0"}
+    names = {"spark.sql.files.maxPartitionBytes": SPLIT_BYTES, "spark.sql.files.openCostInBytes": "1k"}
     before = {name: spark.conf.get(name) for name in names}
     for name, value in names.items():
         spark.conf.set(name, value)
