@@ -19,6 +19,7 @@ other than ``doc_id`` and ``text`` (and the label) are never read.
 
 from __future__ import annotations
 
+import io
 import re
 import zlib
 from collections.abc import Iterator
@@ -350,10 +351,11 @@ def held_out(doc_id: Column, of: int = 3, remainder: int = 1) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % of == remainder, F.lit(False))
 
 
-def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, kept: Column, max_rows: int) -> list[tuple[str, int]]:
-    """At most ``max_rows`` (text, label) rows, the first by a hash of doc_id.
+def labelled(docs: DataFrame, labels: DataFrame, label: str, kept: Column, max_rows: int) -> DataFrame:
+    """doc_id, text, label of at most ``max_rows`` labelled documents, the first by a hash of doc_id.
 
-    ``max_rows`` bounds what reaches the driver, and the broadcast side of the join.
+    A repeated doc_id comes with all its rows. ``max_rows`` bounds the broadcast side
+    of the join.
     """
     chosen = (
         labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(label).cast("int").alias("label"))
@@ -361,15 +363,36 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, kept: Column,
         .groupBy("doc_id").agg(F.max("label").alias("label"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
     )
-    rows = texts(docs).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label")
-    first = {}  # a repeated doc_id counts once
-    for r in rows.sort("doc_id", "text").collect():
+    return texts(docs).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label")
+
+
+def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, kept: Column, max_rows: int) -> list[tuple[str, int]]:
+    """The rows of ``labelled`` in the driver, a repeated doc_id once."""
+    first = {}
+    for r in labelled(docs, labels, label, kept, max_rows).sort("doc_id", "text").collect():
         first.setdefault(r.doc_id, (r.text, int(r.label)))
     return list(first.values())
 
 
+def _trained(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The weights learnt from all rows of a task, as one record; none without rows."""
+    rows = pd.concat([*frames, pd.DataFrame({"doc_id": [], "text": [], "label": []})])
+    rows = rows.sort_values(["doc_id", "text"], kind="stable").drop_duplicates("doc_id")
+    params = train([(text, int(label)) for text, label in zip(rows["text"], rows["label"])])
+    if params is not None:
+        data = io.BytesIO()
+        np.savez(data, **params)
+        yield pd.DataFrame({"weights": [data.getvalue()]})
+
+
 def trained(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Params | None:
-    return train(labelled_rows(docs, labels, "toxic", ~held_out(F.col("doc_id")), max_rows))
+    """Trains in one task, on ``max_rows`` documents at most; only the weights reach the driver."""
+    rows = labelled(docs, labels, "toxic", ~held_out(F.col("doc_id")), max_rows)
+    found = rows.repartition(1).mapInPandas(_trained, "weights binary").first()
+    if found is None:
+        return None
+    with np.load(io.BytesIO(found["weights"])) as arrays:
+        return {name: arrays[name] for name in arrays.files}
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
