@@ -20,7 +20,6 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 from echolens import schema as S
 from echolens.operators.exclusion import INLINE_LIMIT, analyzed_rows, mark_exclusions
 from echolens.plans.analyze import AnalyzeOptions, label_rows
-from echolens.session import durable
 from echolens.sources.readers import last_wins
 from echolens.streaming.log import BatchLog
 
@@ -131,8 +130,8 @@ def incremental_analyze(
     kept = _analyzed(stream, options.exclude)
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        # written once: the keyed state is asked once, however often the rows are read
-        labeled = label_rows(durable(batch), options).select(*columns)
+        # the batch is read once: by the append, or by what label_rows writes
+        labeled = label_rows(batch, options).select(*columns)
         log = results_log(batch.sparkSession, output)
         log.append(labeled.withColumn("hybrid_enabled", F.lit(hybrid)), batch_id)
         log.maybe_compact(batch_id, compact_every)
