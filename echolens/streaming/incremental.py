@@ -168,7 +168,8 @@ def incremental_collect(
         usable = usable.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key, event_time])
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        log = BatchLog(batch.sparkSession, output, key)
+        # a compaction must keep the record that ``current_videos`` will count
+        log = BatchLog(batch.sparkSession, output, key, [order] if event_time else [])
         log.append(last_wins(batch, [key], order), batch_id)
         log.maybe_compact(batch_id, compact_every)
 
