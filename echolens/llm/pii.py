@@ -6,8 +6,8 @@ is a candidate, except those that a fixed form matched and its check refused
 (a number that fails the Luhn test, say): these are known not to be identifiers.
 
 Patterns are lexical: the two words before an occurrence, the word before and the
-word after it, or the two words after it. A word is a run of letters; it is empty
-where the text ends or another number stands. The instance's own form is no part of
+word after it, or the two words after it. A word is a whole run of letters, however far
+away; it is empty where the text ends, another number stands or another match of its kind. The instance's own form is no part of
 a pattern but a loose check: patterns for words with an at sign and for words without
 one are told apart. The graph of patterns and instances is scored in rounds. A
 pattern's confidence is the share of its distinct instances that are identifiers so
@@ -18,6 +18,9 @@ when the mean over its occurrences reaches MIN_CONFIDENCE. It is then a seed of
 next round, until a round accepts nothing new. Occurrences of accepted candidates are spans of the kind ``context``;
 a candidate that overlaps a fixed form is part of it and never one.
 
+Every pattern enters a run of letters or digits once, and overlaps are counted in sorted
+lists, so the work on a very long text grows with its length.
+
 Results in edge cases: a null or empty text has no spans; every row of the input
 gives one row, repeated ones too; an empty table gives an empty result; columns
 other than ``doc_id`` and ``text`` are never read.
@@ -31,24 +34,29 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from echolens.llm.common import durable, hot_join, texts
-from echolens.llm.spans import CLOSE, OPEN, count_of, let, listed, marked, ordered, spans
+from echolens.llm.spans import CLOSE, OPEN, count_of, let, listed, marked, meets, ordered, spans
 
 # loops over groups are possessive: nothing follows them, and the others recurse once per turn in Java
-EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]++)++"
-IP = r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+"
+# a run of letters or digits is entered once, at its start or where a match ended: a later start would fail alike
+EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
+IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?+[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 KINDS = ("email", "ip", "card", "phone", "context")
-# a word with a digit or an at sign, without the punctuation around it
-CANDIDATE = r"[A-Za-z0-9+#][^\s\"'<>,;|()\[\]{}]*[0-9@][^\s\"'<>,;|()\[\]{}]*[A-Za-z0-9]"
+# a word with a digit or an at sign, without the punctuation around it: from its first letter, digit, plus or number
+# sign to its last letter or digit, if a digit or an at sign stands between them
+BREAKS = r"\s\"'<>,;|()\[\]{}"
+FRONT = rf"(?<![^{BREAKS}])[^{BREAKS}A-Za-z0-9+#]*+"
+CANDIDATE = (
+    rf"(?=[A-Za-z0-9+#][^{BREAKS}0-9@]*+[0-9@][^{BREAKS}A-Za-z0-9]*+[A-Za-z0-9])"
+    rf"[A-Za-z0-9+#](?:[^{BREAKS}A-Za-z0-9]*+[A-Za-z0-9]++)++"
+)
 MIN_CONFIDENCE, MIN_SUPPORT = 0.8, 5
 # rounds end when nothing new is accepted; so many are an error
 ROUNDS = 500
 UNKNOWN, ROUNDING = 0.5, 1e-9
-# the nearest two words on a side, the nearest one last or first
-BEFORE = r"(?:(\p{L}+)[^\p{L}0-9@]+)?(?<!\p{L})(\p{L}+)[^\p{L}0-9@]*$"
-AFTER = r"^[^\p{L}0-9@]*(\p{L}+)(?!\p{L})(?:[^\p{L}0-9@]+(\p{L}+))?"
-REACH = 60
+# the nearest two words, from the match outwards
+WORDS = r"^[^\p{L}0-9@]*+(\p{L}++)(?:[^\p{L}0-9@]++(\p{L}++))?"
 
 
 def _digits(body: Column) -> Column:
@@ -80,22 +88,18 @@ def _phone_ok(body: Column) -> Column:
     return F.length(_digits(body)).between(10, 15)
 
 
-def _meets(s: Column, others: Column) -> Column:
-    return F.exists(others, lambda o: (o["first"] < s["last"]) & (s["first"] < o["last"]))
-
-
 def _in_context(kind: str, marks: Column) -> Column:
     """Spans of marked text with the two words before and after each."""
 
     def of(pieces: Column) -> Column:
         # the words before a match end the piece before its own, those after it end its own
-        before = lambda i: F.substring_index(F.right(F.get(pieces, i), F.lit(REACH)), CLOSE, -1)
-        after = lambda i: F.left(F.substring_index(F.get(pieces, i + 1), CLOSE, -1), F.lit(REACH))
-        word = lambda side, pattern, n: F.lower(F.regexp_extract(side, pattern, n))
+        before = lambda i: F.reverse(F.substring_index(F.get(pieces, i), CLOSE, -1))
+        after = lambda i: F.substring_index(F.get(pieces, i + 1), CLOSE, -1)
+        word = lambda side, n: F.lower(F.regexp_extract(side, WORDS, n))
         return F.transform(spans(kind, marks), lambda s, i: F.struct(
             s["kind"].alias("kind"), s["first"].alias("first"), s["last"].alias("last"), s["body"].alias("body"),
-            word(before(i), BEFORE, 1).alias("b2"), word(before(i), BEFORE, 2).alias("b1"),
-            word(after(i), AFTER, 1).alias("a1"), word(after(i), AFTER, 2).alias("a2"),
+            F.reverse(word(before(i), 2)).alias("b2"), F.reverse(word(before(i), 1)).alias("b1"),
+            word(after(i), 1).alias("a1"), word(after(i), 2).alias("a2"),
         ))
 
     kind_of = "array<struct<kind:string,first:bigint,last:bigint,body:string,b2:string,b1:string,a1:string,a2:string>>"
@@ -103,8 +107,9 @@ def _in_context(kind: str, marks: Column) -> Column:
 
 
 def _with_status(found: Column, status: Callable[[Column], Column]) -> Column:
+    """Spans with the status of their place in the list."""
     names = ("first", "last", "body", "b2", "b1", "a1", "a2")
-    return F.transform(found, lambda s: F.struct(*[s[n].alias(n) for n in names], status(s).alias("status")))
+    return F.transform(found, lambda s, i: F.struct(*[s[n].alias(n) for n in names], status(i).alias("status")))
 
 
 def patterns_of(s: Column) -> Column:
@@ -130,7 +135,7 @@ def found_spans(docs: DataFrame) -> DataFrame:
         _in_context("ip", marked(text, IP)).alias("ips"),
         _in_context("card", marked(text, CARD)).alias("cards"),
         _in_context("phone", marked(text, PHONE)).alias("phones"),
-        _in_context("context", marked(text, CANDIDATE)).alias("others"),
+        _in_context("context", marked(text, CANDIDATE, FRONT)).alias("others"),
     )
     good = [
         F.filter("ips", lambda s: _ip_ok(s["body"])),
@@ -141,13 +146,15 @@ def found_spans(docs: DataFrame) -> DataFrame:
     long_enough = F.filter("cards", lambda s: F.length(_digits(s["body"])).between(14, 19) & ~_card_ok(s["body"]))
     refused = F.concat(F.filter("ips", lambda s: ~_ip_ok(s["body"])), long_enough)
     parts = marks.select("doc_id", "others", F.concat("email", *good).alias("seeds"), refused.alias("refused"))
-    others = F.filter("others", lambda s: ~_meets(s, F.col("seeds")))
+    others = let(meets(F.col("others"), F.col("seeds")), lambda m: F.filter("others", lambda s, i: ~F.get(m, i)))
+    parts = parts.withColumn("others", others)
+    against = meets(F.col("others"), F.col("refused"))
     return parts.select(
         "doc_id",
         F.transform("seeds", lambda s: F.struct(*[s[n].alias(n) for n in ("kind", "first", "last", "body")])).alias("base"),
         F.concat(
             _with_status(F.col("seeds"), lambda s: F.lit(1)),
-            _with_status(others, lambda s: F.when(_meets(s, F.col("refused")), -1).otherwise(0)),
+            let(against, lambda m: _with_status(F.col("others"), lambda i: F.when(F.get(m, i), -1).otherwise(0))),
         ).alias("near"),
     )
 

@@ -52,10 +52,15 @@ def running_starts(lengths: Column) -> Column:
     return F.when(F.size(lengths) == 0, F.array().cast("array<bigint>")).otherwise(let(lengths, all_chunks))
 
 
-def marked(text: Column, pattern: str) -> Column:
-    """The text with every leftmost non-overlapping match between OPEN and CLOSE."""
+def marked(text: Column, pattern: str, front: str | None = None) -> Column:
+    """The text with every leftmost non-overlapping match between OPEN and CLOSE.
+
+    ``front`` is matched before each match and is no part of it.
+    """
     plain = F.translate(text, OPEN + CLOSE, OTHER * 2)
-    return F.regexp_replace(plain, f"(?:{pattern})", f"{OPEN}$0{CLOSE}")
+    if front is None:
+        return F.regexp_replace(plain, f"(?:{pattern})", f"{OPEN}$0{CLOSE}")
+    return F.regexp_replace(plain, f"({front})({pattern})", f"$1{OPEN}$2{CLOSE}")
 
 
 def spans(kind: str, marks: Column) -> Column:
@@ -81,6 +86,32 @@ def spans(kind: str, marks: Column) -> Column:
     ).otherwise(F.array().cast(f"array<{SPAN}>"))
 
 
+def _before(points: Column, places: Column) -> Column:
+    """For each of ``places`` (ascending), how many of ``points`` sort before it; both are structs of place and rank."""
+    event = lambda e, n: F.struct(e["place"].alias("place"), e["rank"].alias("rank"), F.lit(n).cast("bigint").alias("n"))
+    events = F.array_sort(F.concat(F.transform(points, lambda e: event(e, 1)), F.transform(places, lambda e: event(e, 0))))
+
+    def counted(all_events: Column) -> Column:
+        return let(running_starts(F.transform(all_events, lambda e: e["n"])), lambda sums: F.array_compact(
+            F.transform(all_events, lambda e, i: F.when(e["n"] == 0, F.get(sums, i)))
+        ))
+
+    return let(events, counted)
+
+
+def meets(found: Column, others: Column) -> Column:
+    """For each span of ``found`` (by place, none overlapping the next), whether it overlaps one of ``others``.
+
+    It does if more of the others begin before its end than end up to its start. All
+    are counted in two sorted lists, so the work grows with their sum, not product.
+    """
+    at = lambda place, rank: F.struct(place.alias("place"), F.lit(rank).alias("rank"))
+    begun = _before(F.transform(others, lambda o: at(o["first"], 1)), F.transform(found, lambda s: at(s["last"], 0)))
+    ended = _before(F.transform(others, lambda o: at(o["last"], 0)), F.transform(found, lambda s: at(s["first"], 1)))
+    none = F.transform(found, lambda s: F.lit(False))
+    return F.when(F.size(others) == 0, none).otherwise(F.zip_with(begun, ended, lambda b, e: b > e))
+
+
 def ordered(all_spans: Column, kinds: Sequence[str]) -> Column:
     """Spans by start, then in the order of ``kinds``, then by end."""
     rank = lambda k: F.array_position(F.array(*[F.lit(x) for x in kinds]), k)
