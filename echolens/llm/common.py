@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from echolens.session import durable
 
-__all__ = ["HOT_GROUP", "bounded", "durable", "hot_join", "table", "texts"]
+__all__ = ["HOT_GROUP", "bounded", "durable", "free_name", "hot_join", "table", "texts"]
 
 # Groups of at least 1/HOT_SHARE of the rows are looked up by broadcast, so a
 # broadcast table never has more than HOT_SHARE rows.
@@ -35,6 +35,14 @@ def texts(docs: DataFrame) -> DataFrame:
     )
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def hot_join(rows: DataFrame, groups: DataFrame, key: str, size: str, values: list[str]) -> DataFrame:
     """Attach the values of ``groups`` (one row per key, ``size`` rows each) to ``rows``.
 

@@ -18,11 +18,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from echolens.llm.common import durable, hot_join
+from echolens.llm.common import durable, free_name, hot_join
 from echolens.session import workspace
 
 SPACES = r"[\x20\x09-\x0D]+"
-ROW = "_dedup_row"
 
 
 def digests(docs: DataFrame, *more: str) -> DataFrame:
@@ -90,10 +89,11 @@ def exact_duplicates(docs: DataFrame, index: DigestIndex | None = None, buckets:
 
 def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
     """One row per text, all columns: the smallest doc_id (null ones last), of equal ids the first row."""
-    rows = durable(docs.withColumn(ROW, F.monotonically_increasing_id()))
+    row = free_name(docs, "dedup_row")
+    rows = durable(docs.withColumn(row, F.monotonically_increasing_id()))
     # of the same stored rows, so the ids are the same wherever they are read
-    keys = durable(digests(rows, ROW))
-    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", ROW)
-    first = keys.groupBy("digest").agg(F.min(order).alias("first")).select(F.col(f"first.{ROW}").alias(ROW))
-    gone = keys.select(ROW).join(first, ROW, "left_anti")
-    return rows.join(gone, ROW, "left_anti").drop(ROW)
+    keys = durable(digests(rows, row))
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", row)
+    first = keys.groupBy("digest").agg(F.min(order).alias("first")).select(F.col(f"first.{row}").alias(row))
+    gone = keys.select(row).join(first, row, "left_anti")
+    return rows.join(gone, row, "left_anti").drop(row)

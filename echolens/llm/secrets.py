@@ -10,13 +10,21 @@ characters are drawn at random from that alphabet:
 - Wald-Wolfowitz runs of the lower and upper half of the alphabet;
 - serial correlation of neighbouring codes.
 
-Fisher's sum of the three log p-values gives one p-value per candidate. Within
-each stratum of encoding and length the Benjamini-Hochberg procedure at FDR
-rejects the candidates that are not random; the strata's thresholds come from
-counts over all documents, so the share of true random strings among the rejected
-is held at FDR in every length. The survivors long enough for the tests to have
-power against prose (MIN_LENGTH by encoding) are spans of the kind ``random``.
-Strings of one case without digits have no encoding and are never taken.
+Fisher's sum of the three log p-values gives one p-value per candidate; below
+MIN_RANDOM the string is not random and no secret.
+
+What passes is held against the null hypothesis that it is written language: words,
+names in camel case or capitals, paths, numbers and dates. That model is fixed: a
+chain over the classes of characters (small, capital, digit, sign) and the letters'
+frequencies in English, with small and capital letters in either role. The
+likelihood ratio of the random alphabet and that model has a mean of at most 1 under
+the null, so its inverse, times the number of alphabets, is a p-value; it shrinks
+with every character that language would not choose, so it is aware of the length.
+Within each stratum of encoding and length the Benjamini-Hochberg procedure at FDR
+rejects language; the strata's thresholds come from counts over all documents. The
+rate bounds the false secrets among those reported. No length beyond MIN_RUN decides.
+Rejected candidates are spans of the kind ``random``. Strings of one case without
+digits have no encoding and are never taken.
 
 Results in edge cases: a null or empty text has no spans; every row of the input
 gives one row, repeated ones too; an empty table gives an empty result; columns
@@ -25,32 +33,49 @@ other than ``doc_id`` and ``text`` are never read.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from echolens.llm.common import durable, texts
+from echolens.llm.common import durable, free_name, texts
 from echolens.llm.spans import count_of, let, listed, marked, ordered, spans
 
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
-MIN_RUN = 20
+MIN_RUN = 16
 RUN = rf"[A-Za-z0-9+/_-]{{{MIN_RUN},}}={{0,2}}"
 KINDS = ("assign", "access", "hex", "random")
-FDR = 0.01
-# fixed values: symbols of each encoding in the order of their codes, and the
-# length from which its tests tell random strings from prose
+FDR, MIN_RANDOM = 0.01, 0.001
+# fixed values: symbols of each encoding in the order of their codes
 ALPHABETS = {
-    "hex": ("0123456789abcdef", 24),
-    "base32": ("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 32),
-    "base36": ("0123456789abcdefghijklmnopqrstuvwxyz", 28),
-    "base62": ("0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", 24),
-    "base64": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", 24),
+    "hex": "0123456789abcdef",
+    "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
+    "base36": "0123456789abcdefghijklmnopqrstuvwxyz",
+    "base62": "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz",
+    "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
 }
+# hex and base36 in small and in capital letters count as two
+CHOICES = len(ALPHABETS) + 2
+# fixed values: percent of each letter from a to z in English
+LETTERS = (
+    8.17, 1.49, 2.78, 4.25, 12.70, 2.23, 2.02, 6.09, 6.97, 0.15, 0.77, 4.03, 2.41,
+    6.75, 7.51, 1.93, 0.10, 5.99, 6.33, 9.06, 2.76, 0.98, 2.36, 0.15, 1.97, 0.07,
+)
+# a part of the letters is drawn evenly, for names and other languages
+EVEN = 0.1
+# chances of a small letter, capital, digit or sign after each of these and at the start
+AFTER = (
+    (0.86, 0.07, 0.03, 0.04), (0.50, 0.42, 0.03, 0.05), (0.10, 0.10, 0.62, 0.18), (0.60, 0.20, 0.18, 0.02),
+    (0.50, 0.30, 0.15, 0.05),
+)
+CAPITALS = (1, 0, 2, 3, 4)
+SYMBOLS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/-_"
 
 
 def _encoding(body: Column) -> Column:
-    """The narrowest alphabet that holds the string, or null for plain words and numbers."""
+    """The narrowest alphabet that holds the string, or null for numbers and words of one case."""
     has = lambda p: body.rlike(p)
     digit, lower, upper = has("[0-9]"), has("[a-z]"), has("[A-Z]")
     return (
@@ -59,8 +84,8 @@ def _encoding(body: Column) -> Column:
         .when(has("^[A-Z2-7]+$") & digit, "base32")
         .when(has("^[0-9a-z]+$") & digit & lower, "base36")
         .when(has("^[0-9A-Z]+$") & digit & upper, "base36")
-        .when(has("^[0-9A-Za-z]+$") & digit & lower & upper, "base62")
-        .when(has("^[0-9A-Za-z+/_-]+$") & digit & lower & upper, "base64")
+        .when(has("^[0-9A-Za-z]+$") & lower & upper, "base62")
+        .when(has("^[0-9A-Za-z+/_-]+$") & lower & upper, "base64")
     )
 
 
@@ -70,7 +95,7 @@ def _codes(body: Column, encoding: Column) -> Column:
         encoding.isin("hex", "base36"), F.lower(body)
     ).otherwise(F.translate(body, "-_", "+/"))
     letters = F.split(plain, "")
-    alphabet = F.coalesce(*[F.when(encoding == e, F.lit(a)) for e, (a, _) in ALPHABETS.items()])
+    alphabet = F.coalesce(*[F.when(encoding == e, F.lit(a)) for e, a in ALPHABETS.items()])
     return let(alphabet, lambda a: F.transform(letters, lambda c: F.call_function("instr", a, c).cast("double") - 1))
 
 
@@ -134,15 +159,45 @@ def _battery(codes: Column, size: Column) -> Column:
     return F.when(F.size(codes) >= 2, let(codes, tests))
 
 
+def _numbers(values) -> Column:
+    return F.array(*[F.lit(float(v)) for v in values])
+
+
+def _language(body: Column) -> Column:
+    """Log-likelihood of a string under the model of written language, of the better of its two roles."""
+    total = sum(LETTERS)
+    letters = [math.log((1 - EVEN) * f / total + EVEN / 26) for f in LETTERS]
+    symbols = _numbers(letters * 2 + [math.log(0.1)] * 10 + [math.log(0.25)] * 4)
+    small = _numbers(math.log(x) for row in AFTER for x in row)
+    capital = _numbers(math.log(AFTER[CAPITALS[i]][CAPITALS[j]]) for i in range(5) for j in range(4))
+    at = F.transform(F.split(body, ""), lambda c: F.call_function("instr", F.lit(SYMBOLS), c) - 1)
+    zero = F.lit(0.0)
+
+    def step(s: Column, x: Column) -> Column:
+        own = F.when(x < 26, 0).when(x < 52, 1).when(x < 62, 2).otherwise(3)
+        return let(F.struct(own.alias("own"), F.get(symbols, x).alias("p")), lambda v: F.struct(
+            v["own"].alias("before"),
+            (s["small"] + v["p"] + F.get(small, s["before"] * 4 + v["own"])).alias("small"),
+            (s["capital"] + v["p"] + F.get(capital, s["before"] * 4 + v["own"])).alias("capital"),
+        ))
+
+    begin = F.struct(F.lit(4).alias("before"), zero.alias("small"), zero.alias("capital"))
+    return F.aggregate(at, begin, step, lambda s: F.greatest(s["small"], s["capital"]))
+
+
 def candidates(found: DataFrame) -> DataFrame:
-    """Rows of runs with ``body``: encoding, length and the battery's p-value."""
+    """Rows of runs with ``body``: encoding, length, the battery's p-value and that of written language."""
     body = F.regexp_replace("body", "=+$", "")
-    size = F.coalesce(*[F.when(F.col("encoding") == e, F.lit(float(len(a)))) for e, (a, _) in ALPHABETS.items()])
+    per_encoding = lambda of: F.coalesce(*[F.when(F.col("encoding") == e, F.lit(float(of(a)))) for e, a in ALPHABETS.items()])
+    # both forms of base64 count, so its strings are drawn from two more signs
+    drawn = per_encoding(lambda a: math.log(len(a) + (2 if "+" in a else 0)))
+    log_ratio = _language(F.col("plain")) + drawn * F.col("length") + math.log(CHOICES)
     return (
         found.withColumn("plain", body).withColumn("encoding", _encoding(F.col("plain")))
         .filter("encoding is not null")
         .withColumn("length", F.length("plain"))
-        .withColumn("p", _battery(_codes(F.col("plain"), F.col("encoding")), size))
+        .withColumn("p_random", _battery(_codes(F.col("plain"), F.col("encoding")), per_encoding(len)))
+        .withColumn("p", F.exp(F.least(log_ratio, F.lit(0.0))))
     )
 
 
@@ -152,7 +207,7 @@ def _stratum() -> list[Column]:
 
 
 def thresholds(tested: DataFrame, fdr: float = FDR) -> DataFrame:
-    """Per stratum, the largest p-value that Benjamini-Hochberg rejects.
+    """Per stratum, the largest p-value of written language that Benjamini-Hochberg rejects.
 
     Equal p-values are counted first, on a scale of 400 steps of the logarithm, so a
     stratum is a short list however many candidates it has. A step is rejected as
@@ -204,12 +259,11 @@ def secret_spans(docs: DataFrame, fdr: float = FDR) -> DataFrame:
         candidates(rows.select("row", F.explode("runs").alias("s")).select("row", "s.*"))
     )
     cut = thresholds(tested, fdr)
-    least = F.coalesce(*[F.when(F.col("encoding") == e, F.lit(n)) for e, (_, n) in ALPHABETS.items()])
     step = F.ceil(F.log10(F.greatest("p", F.lit(1e-20))) * 20)
     kept = (
-        tested.filter(F.col("length") >= least).withColumn("size_class", _stratum()[1])
-        .join(F.broadcast(cut), ["encoding", "size_class"], "left")  # one row per stratum
-        .filter(F.col("cut").isNull() | (step > F.col("cut")))
+        tested.filter(F.col("p_random") >= MIN_RANDOM).withColumn("size_class", _stratum()[1])
+        .join(F.broadcast(cut), ["encoding", "size_class"])  # one row per stratum
+        .filter(step <= F.col("cut"))
         .groupBy("row").agg(F.collect_list(F.struct("kind", "first", "last", "body")).alias("more"))
     )
     more = F.coalesce("more", F.array().cast("array<struct<kind:string,first:bigint,last:bigint,body:string>>"))
@@ -239,15 +293,16 @@ def redact(docs: DataFrame, fdr: float = FDR, mark: str = "[SECRET]") -> DataFra
     found = secret_spans(docs, fdr).filter(F.size("spans") > 0).groupBy("key").agg(
         F.max(F.array_distinct(F.transform("spans", lambda s: s["body"]))).alias("bodies")
     )
-    keyed = docs.withColumn("_row_key", row_key(docs))
-    joined = keyed.join(found.withColumnRenamed("key", "_row_key").withColumnRenamed("bodies", "_bodies"), "_row_key", "left")
+    key, bodies = free_name(docs, "row_key"), free_name(docs, "bodies")
+    keyed = docs.withColumn(key, row_key(docs))
+    joined = keyed.join(found.select(F.col("key").alias(key), F.col("bodies").alias(bodies)), key, "left")
     longest_first = F.array_sort(
-        F.col("_bodies"), lambda a, b: F.length(b) - F.length(a)
+        F.col(bodies), lambda a, b: F.length(b) - F.length(a)
     )
     clean = F.aggregate(longest_first, docs["text"], lambda t, b: F.replace(t, b, F.lit(mark)))
-    out = joined.withColumn("text", F.when(F.col("_bodies").isNull(), docs["text"]).otherwise(clean))
+    out = joined.withColumn("text", F.when(F.col(bodies).isNull(), docs["text"]).otherwise(clean))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        size = F.when(F.col("_bodies").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(kind))
+        size = F.when(F.col(bodies).isNull(), F.col("n_chars")).otherwise(F.length("text").cast(kind))
         out = out.withColumn("n_chars", size)
     return out.select(*docs.columns)
