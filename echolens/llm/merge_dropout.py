@@ -6,9 +6,13 @@ the place of the part in the text, the part, and the candidate's place and lengt
 A text's stream is a keyed hash of doc_id; ``streams`` bounds their number if it is
 set. So the same seed always gives the same segmentation, on any partitioning, while
 other seeds, documents and places in a text vary it; with dropout 0 it is the
-model's own encoding. Parts that no merge can join are independent, so what a part
-gives when no merge is skipped, with the merges made on the way, is looked up in a
-bounded table; merges are only made anew where a draw skips one of these.
+model's own encoding. Parts that no merge can join are independent. What a part gives
+depends on its draws alone, so its agenda is kept as a decision trie: a node is the
+candidate whose turn it is, its two branches are the agenda after the skip and after
+the merge, a leaf holds the ids. All places of a block walk their tries together, a
+level at a time with one hash for each, and merges are made only for a branch that
+was not taken before. Tries are held in flat arrays up to HELD entries, then begun
+anew; the result does not depend on what is held.
 
 Decoding joins the pieces. It gives back every text: a literal piece mark (U+2581),
 which the model itself would turn into a blank, is encoded as its bytes here.
@@ -20,7 +24,9 @@ gives an empty result; columns other than ``doc_id`` and ``text`` are never read
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from array import array
+from collections.abc import Iterator, Sequence
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -35,7 +41,11 @@ from echolens.llm.pieces import SPACE, Pieces
 from echolens.llm.token_counts import MODEL
 
 DROPOUT, SEED, STREAMS = 0.1, 2024, None
-CACHED_CHUNKS, CACHED_PARTS = 250_000, 900_000
+# entries of the tries, parts and chunks held at a time, chunks encoded at a time
+HELD, BLOCK = 3_000_000, 100_000
+# longer parts are merged anew each time
+LONGEST_HELD = 200
+OPEN_BRANCH = 2**31 - 1
 _M64 = (1 << 64) - 1
 
 
@@ -46,78 +56,156 @@ class DropoutEncoder:
         self.pieces = Pieces(path)
         self.dropout, self.seed = dropout, seed
         self.most = int(dropout * 2**32)
-        # parts of a chunk, with the merges that each makes when none is skipped
-        self.known: dict[str, list[tuple[str, int, list[int], bytes]]] = {}
-        self.parts: dict[str, tuple[str, int, list[int], bytes]] = {}
-        self.mark = np.array([self.pieces.byte_ids[b] for b in SPACE.encode()], "<u4").tobytes()
-
-    def _learn(self, chunk: str) -> list[tuple[str, int, list[int], bytes]]:
-        """Each part of a chunk: itself, its hash, the candidates met without a skip, its ids without one."""
-        if len(self.known) > CACHED_CHUNKS:
-            self.known.clear()
-        out = []
+        self.mark = [self.pieces.byte_ids[b] for b in SPACE.encode()]
+        self._begin()
+
+    def _begin(self) -> None:
+        """Empty tables. The empty chunk, which no text gives, stands for a literal piece mark."""
+        self.known: dict[str, int] = {"": 0}
+        self.numbers: dict[str, int] = {}
+        self.parts: list[str] = []
+        self.characters = 0
+        # chunks: where their parts begin; parts: hash and root; nodes: candidate and branches; leaves: their ids
+        self.chunk_from, self.chunk_parts = array("q", [0]), array("q")
+        self.own, self.root = array("Q"), array("i")
+        self.candidate, self.merged, self.skipped = array("Q"), array("i"), array("i")
+        self.leaf_from, self.pool = array("q", [0]), array("I")
+        self.parts.append("")
+        self.own.append(0)
+        self.root.append(self._leaf(self.mark))
+        self.chunk_parts.append(0)
+        self.chunk_from.append(1)
+
+    def _held(self) -> int:
+        return len(self.candidate) + len(self.pool) + 8 * (len(self.parts) + len(self.known)) + self.characters
+
+    def _learn(self, chunk: str) -> int:
+        """The number of a chunk; its parts are cut and get empty tries."""
+        found = self.known.get(chunk)
+        if found is not None:
+            return found
         for part in self.pieces.cut(chunk):
-            found = self.parts.get(part)
-            if found is None:
-                if len(self.parts) > CACHED_PARTS:
-                    self.parts.clear()
-                met: list[int] = []
-
-                def note(place: int, left: int, right: int, met: list[int] = met) -> bool:
-                    met.append(_candidate(place, left, right))
-                    return False
-
-                ids = self._ids(part, note)
-                own = xxhash.xxh3_64_intdigest(part.encode("utf-8"), self.seed & _M64)
-                found = self.parts[part] = (part, own, met, ids)
-            out.append(found)
-        self.known[chunk] = out
-        return out
-
-    def _ids(self, part: str, skip: Callable[[int, int, int], bool] | None) -> bytes:
-        return np.array(self.pieces.to_ids(self.pieces.merge(list(part), skip)), "<u4").tobytes()
-
-    def _skip(self, key: int) -> Callable[[int, int, int], bool]:
-        """The keyed decision on the candidates of a part at its place in a text."""
-        most = self.most
+            number = self.numbers.get(part)
+            if number is None:
+                number = self.numbers[part] = len(self.parts)
+                self.parts.append(part)
+                self.characters += len(part)
+                self.own.append(xxhash.xxh3_64_intdigest(part.encode("utf-8"), self.seed & _M64))
+                self.root.append(OPEN_BRANCH)
+            self.chunk_parts.append(number)
+        self.characters += len(chunk)
+        self.known[chunk] = len(self.chunk_from) - 1
+        self.chunk_from.append(len(self.chunk_parts))
+        return self.known[chunk]
+
+    def _leaf(self, ids: Sequence[int]) -> int:
+        self.pool.extend(ids)
+        self.leaf_from.append(len(self.pool))
+        return 1 - len(self.leaf_from)
+
+    def _resolve(self, part: int, key: int) -> int:
+        """The leaf of a part at its place, by its trie or by merges that lengthen it."""
+        node = self.root[part]
+        while 0 <= node < OPEN_BRANCH:
+            skipped = _draw(key, self.candidate[node]) < self.most
+            node = self.skipped[node] if skipped else self.merged[node]
+        if node < 0:
+            return node
+        text = self.parts[part]
+        hold = len(text) <= LONGEST_HELD
+        taken: list[tuple[int, bool]] = []
 
         def skip(place: int, left: int, right: int) -> bool:
-            x = (key ^ _candidate(place, left, right)) * 0xD6E8FEB86659FD93 & _M64
-            return ((x ^ (x >> 32)) * 0xD6E8FEB86659FD93 & _M64) >> 32 < most
-
-        return skip
+            candidate = _candidate(place, left, right)
+            skipped = _draw(key, candidate) < self.most
+            if hold:
+                taken.append((candidate, skipped))
+            return skipped
+
+        leaf = self._leaf(self.pieces.to_ids(self.pieces.merge(list(text), skip)))
+        if hold:
+            table, at = self.root, part
+            for candidate, skipped in taken:
+                if table[at] == OPEN_BRANCH:
+                    table[at] = len(self.candidate)
+                    self.candidate.append(candidate)
+                    self.merged.append(OPEN_BRANCH)
+                    self.skipped.append(OPEN_BRANCH)
+                table, at = (self.skipped if skipped else self.merged), table[at]
+            table[at] = leaf
+        return leaf
 
     def __call__(self, text: str, stream: int = 0) -> bytes:
-        if SPACE not in text:
-            return self._encode(Pieces.chunks(text), stream, 0)[0]
-        out, at = [], 0
-        for n, part in enumerate(text.split(SPACE)):
-            # the blank in front belongs to the text's first part alone
-            chunks = (Pieces.chunks(part) or [SPACE]) if not n else _without_front(part)
-            if n:
-                out.append(self.mark)
-            ids, at = self._encode(chunks, stream, at)
-            out.append(ids)
-        return b"".join(out)
-
-    def _encode(self, chunks: list[str], stream: int, at: int) -> tuple[bytes, int]:
-        """Ids of chunks whose first part is part ``at`` of the text, and the next part's number."""
-        known, learn, most = self.known, self._learn, self.most
-        base = (self.seed * 0x9E3779B97F4A7C15 + stream * 0xC2B2AE3D27D4EB4F) & _M64
-        out = []
-        for c in chunks:
-            for part, own, met, ids in known.get(c) or learn(c):
-                if met and most > 0:
-                    key = ((own ^ base) + at * 0x165667B19E3779F9) * 0xBF58476D1CE4E5B9 & _M64
-                    key ^= key >> 29
-                    for candidate in met:
-                        x = (key ^ candidate) * 0xD6E8FEB86659FD93 & _M64
-                        if ((x ^ (x >> 32)) * 0xD6E8FEB86659FD93 & _M64) >> 32 < most:
-                            ids = self._ids(part, self._skip(key))
-                            break
-                at += 1
-                out.append(ids)
-        return b"".join(out), at
+        return self.encode([text], [stream])[0].tobytes()
+
+    def encode(self, texts: Sequence[str], streams: Sequence[int]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, and the number of ids of each text."""
+        counts = np.zeros(len(texts), np.int64)
+        base = np.array(
+            [(self.seed * 0x9E3779B97F4A7C15 + s * 0xC2B2AE3D27D4EB4F) & _M64 for s in streams], np.uint64
+        ).reshape(-1)
+        out: list[np.ndarray] = []
+        codes, owners, at = [], [], np.zeros(len(texts), np.uint64)
+
+        def flush() -> None:
+            if codes:
+                out.append(self._block(np.array(codes, np.int64), np.repeat(*np.array(owners).T), base, at, counts))
+                codes.clear()
+                owners.clear()
+            if self._held() > HELD:
+                self._begin()
+
+        for n, text in enumerate(texts):
+            chunks = _all_chunks(text)
+            while block := list(islice(chunks, BLOCK)):
+                found = list(map(self.known.get, block))
+                if None in found:
+                    found = [self._learn(c) if f is None else f for c, f in zip(block, found)]
+                codes.extend(found)
+                owners.append((n, len(found)))
+                if len(codes) >= BLOCK:
+                    flush()
+        flush()
+        return (np.concatenate(out) if out else np.empty(0, "<u4")), counts
+
+    def _block(
+        self, codes: np.ndarray, owner: np.ndarray, base: np.ndarray, at: np.ndarray, counts: np.ndarray
+    ) -> np.ndarray:
+        """Ids of chunks; moves the next part's number and the count of ids of their texts on."""
+        first = np.array(self.chunk_from)
+        size = first[codes + 1] - first[codes]
+        parts = np.array(self.chunk_parts)[_ragged(first[codes], size)]
+        owner = np.repeat(owner, size)
+        # the number of each part in its text; a literal mark has none
+        counted = (parts != 0).astype(np.int64)
+        before = np.cumsum(counted) - counted
+        begins = np.flatnonzero(np.diff(owner, prepend=-1))
+        sizes = np.diff(np.append(begins, len(owner)))
+        place = (before - np.repeat(before[begins], sizes)).astype(np.uint64) + at[owner]
+        at[owner[begins]] += np.add.reduceat(counted, begins).astype(np.uint64)
+
+        key = ((np.array(self.own)[parts] ^ base[owner]) + place * np.uint64(0x165667B19E3779F9)) * np.uint64(
+            0xBF58476D1CE4E5B9
+        )
+        key ^= key >> np.uint64(29)
+        node = np.array(self.root)[parts]
+        candidate, merged, skipped = np.array(self.candidate), np.array(self.merged), np.array(self.skipped)
+        walking = np.flatnonzero((node >= 0) & (node < OPEN_BRANCH))
+        while walking.size:
+            here = node[walking]
+            x = (key[walking] ^ candidate[here]) * np.uint64(0xD6E8FEB86659FD93)
+            x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+            after = np.where((x >> np.uint64(32)) < np.uint64(self.most), skipped[here], merged[here])
+            node[walking] = after
+            walking = walking[(after >= 0) & (after < OPEN_BRANCH)]
+        for i in np.flatnonzero(node == OPEN_BRANCH).tolist():
+            node[i] = self._resolve(int(parts[i]), int(key[i]))
+
+        leaf = -node.astype(np.int64) - 1
+        ends = np.array(self.leaf_from)
+        lengths = ends[leaf + 1] - ends[leaf]
+        counts[owner[begins]] += np.add.reduceat(lengths, begins)
+        return np.array(self.pool, "<u4")[_ragged(ends[leaf], lengths)]
 
     def decode(self, ids: bytes) -> str:
         raw = self.pieces.raw
@@ -125,6 +213,31 @@ class DropoutEncoder:
         return joined[1:].decode("utf-8")
 
 
+def _ragged(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """first, first + 1, ... of ``size`` numbers, for every entry in a row."""
+    ends = np.cumsum(size)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - (ends - size), size)
+
+
+def _draw(key: int, candidate: int) -> int:
+    x = (key ^ candidate) * 0xD6E8FEB86659FD93 & _M64
+    return ((x ^ (x >> 32)) * 0xD6E8FEB86659FD93 & _M64) >> 32
+
+
+def _all_chunks(text: str) -> Iterator[str]:
+    """Chunks of a text, an empty one for a literal piece mark."""
+    if SPACE not in text:
+        yield from Pieces.each_chunk(text)
+        return
+    for n, part in enumerate(text.split(SPACE)):
+        # the blank in front belongs to the text's first part alone
+        if n:
+            yield ""
+            yield from _without_front(part)
+        else:
+            yield from Pieces.chunks(part) or [SPACE]
+
+
 def _candidate(place: int, left: int, right: int) -> int:
     return (place * 0x2545F4914F6CDD1D + left * 0x9E3779B97F4A7C15 + right) & _M64
 
@@ -159,8 +272,11 @@ def encoded(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _encoder(path, dropout, seed)
         for batch in batches:
-            pairs = zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())
-            ids = pa.array([encode(text, stream) for text, stream in pairs], pa.binary())
+            found, counts = encode.encode(batch.column(1).to_pylist(), batch.column(2).to_pylist())
+            ends = np.concatenate([[0], np.cumsum(counts)]) * 4
+            ids = pa.Array.from_buffers(
+                pa.large_binary(), len(counts), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(found)]
+            ).cast(pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), ids], ["doc_id", "text", "ids"])
 
     own = F.xxhash64(F.lit(seed), "doc_id")

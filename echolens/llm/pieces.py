@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import heapq
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 SPACE = "▁"
 SHORT, NEVER = 40, float("-inf")
+LONG_TEXT = 1_000_000
 # A piece never continues after a blank that follows other characters, and no piece
 # of several characters holds a line feed; so texts are cut there.
 _CHUNKS = re.compile(rf"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+")
@@ -42,6 +43,13 @@ class Pieces:
         """Parts of a text, a blank put in front, that are encoded one by one."""
         return _CHUNKS.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
+    @staticmethod
+    def each_chunk(text: str) -> Iterator[str]:
+        """The same chunks, one at a time where the text is long."""
+        if len(text) <= LONG_TEXT:
+            return iter(Pieces.chunks(text))
+        return (m.group() for m in _CHUNKS.finditer(SPACE + text.replace(" ", SPACE)))
+
     def cut(self, chunk: str) -> list[str]:
         """Parts of a chunk between neighbours that stand together in no piece.
 
