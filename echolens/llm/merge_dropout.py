@@ -42,7 +42,7 @@ from echolens.llm.token_counts import MODEL
 
 DROPOUT, SEED, STREAMS = 0.1, 2024, None
 # entries of the tries, parts and chunks held at a time, chunks encoded at a time
-HELD, BLOCK = 3_000_000, 100_000
+HELD, BLOCK = 20_000_000, 100_000
 # longer parts are merged anew each time
 LONGEST_HELD = 200
 OPEN_BRANCH = 2**31 - 1
@@ -114,10 +114,12 @@ class DropoutEncoder:
         text = self.parts[part]
         hold = len(text) <= LONGEST_HELD
         taken: list[tuple[int, bool]] = []
+        most = self.most
 
         def skip(place: int, left: int, right: int) -> bool:
-            candidate = _candidate(place, left, right)
-            skipped = _draw(key, candidate) < self.most
+            candidate = (place * 0x2545F4914F6CDD1D + left * 0x9E3779B97F4A7C15 + right) & _M64
+            x = (key ^ candidate) * 0xD6E8FEB86659FD93 & _M64
+            skipped = ((x ^ (x >> 32)) * 0xD6E8FEB86659FD93 & _M64) >> 32 < most
             if hold:
                 taken.append((candidate, skipped))
             return skipped
@@ -125,13 +127,14 @@ class DropoutEncoder:
         leaf = self._leaf(self.pieces.to_ids(self.pieces.merge(list(text), skip)))
         if hold:
             table, at = self.root, part
+            candidates, merges, skips = self.candidate, self.merged, self.skipped
             for candidate, skipped in taken:
                 if table[at] == OPEN_BRANCH:
-                    table[at] = len(self.candidate)
-                    self.candidate.append(candidate)
-                    self.merged.append(OPEN_BRANCH)
-                    self.skipped.append(OPEN_BRANCH)
-                table, at = (self.skipped if skipped else self.merged), table[at]
+                    table[at] = len(candidates)
+                    candidates.append(candidate)
+                    merges.append(OPEN_BRANCH)
+                    skips.append(OPEN_BRANCH)
+                table, at = (skips if skipped else merges), table[at]
             table[at] = leaf
         return leaf
 
@@ -172,9 +175,9 @@ class DropoutEncoder:
         self, codes: np.ndarray, owner: np.ndarray, base: np.ndarray, at: np.ndarray, counts: np.ndarray
     ) -> np.ndarray:
         """Ids of chunks; moves the next part's number and the count of ids of their texts on."""
-        first = np.array(self.chunk_from)
+        first = _view(self.chunk_from)
         size = first[codes + 1] - first[codes]
-        parts = np.array(self.chunk_parts)[_ragged(first[codes], size)]
+        parts = _view(self.chunk_parts)[_ragged(first[codes], size)]
         owner = np.repeat(owner, size)
         # the number of each part in its text; a literal mark has none
         counted = (parts != 0).astype(np.int64)
@@ -184,12 +187,12 @@ class DropoutEncoder:
         place = (before - np.repeat(before[begins], sizes)).astype(np.uint64) + at[owner]
         at[owner[begins]] += np.add.reduceat(counted, begins).astype(np.uint64)
 
-        key = ((np.array(self.own)[parts] ^ base[owner]) + place * np.uint64(0x165667B19E3779F9)) * np.uint64(
+        key = ((_view(self.own)[parts] ^ base[owner]) + place * np.uint64(0x165667B19E3779F9)) * np.uint64(
             0xBF58476D1CE4E5B9
         )
         key ^= key >> np.uint64(29)
-        node = np.array(self.root)[parts]
-        candidate, merged, skipped = np.array(self.candidate), np.array(self.merged), np.array(self.skipped)
+        node = _view(self.root)[parts]
+        candidate, merged, skipped = _view(self.candidate), _view(self.merged), _view(self.skipped)
         walking = np.flatnonzero((node >= 0) & (node < OPEN_BRANCH))
         while walking.size:
             here = node[walking]
@@ -198,14 +201,15 @@ class DropoutEncoder:
             after = np.where((x >> np.uint64(32)) < np.uint64(self.most), skipped[here], merged[here])
             node[walking] = after
             walking = walking[(after >= 0) & (after < OPEN_BRANCH)]
+        del candidate, merged, skipped  # arrays that are read cannot grow
         for i in np.flatnonzero(node == OPEN_BRANCH).tolist():
             node[i] = self._resolve(int(parts[i]), int(key[i]))
 
         leaf = -node.astype(np.int64) - 1
-        ends = np.array(self.leaf_from)
+        ends = _view(self.leaf_from)
         lengths = ends[leaf + 1] - ends[leaf]
         counts[owner[begins]] += np.add.reduceat(lengths, begins)
-        return np.array(self.pool, "<u4")[_ragged(ends[leaf], lengths)]
+        return _view(self.pool)[_ragged(ends[leaf], lengths)]
 
     def decode(self, ids: bytes) -> str:
         raw = self.pieces.raw
@@ -213,6 +217,10 @@ class DropoutEncoder:
         return joined[1:].decode("utf-8")
 
 
+def _view(numbers: array) -> np.ndarray:
+    return np.frombuffer(numbers, numbers.typecode) if len(numbers) else np.empty(0, numbers.typecode)
+
+
 def _ragged(first: np.ndarray, size: np.ndarray) -> np.ndarray:
     """first, first + 1, ... of ``size`` numbers, for every entry in a row."""
     ends = np.cumsum(size)
@@ -238,10 +246,6 @@ def _all_chunks(text: str) -> Iterator[str]:
             yield from Pieces.chunks(part) or [SPACE]
 
 
-def _candidate(place: int, left: int, right: int) -> int:
-    return (place * 0x2545F4914F6CDD1D + left * 0x9E3779B97F4A7C15 + right) & _M64
-
-
 def _without_front(part: str) -> list[str]:
     """Chunks of a part that has no blank put in front."""
     chunks = Pieces.chunks(part)
