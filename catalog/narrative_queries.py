@@ -14,7 +14,8 @@ from catalog.sql import id_number, query, quoted, rnd, signed, strip
 from echolens import constants as C
 from echolens.operators import audit, keywords, narrative, summary, tiers
 from echolens.plans import report
-from echolens.session import durable
+from echolens.session import durable, workspace
+from echolens.streaming.log import BatchLog
 
 RUN = ["run_id"]
 
@@ -389,3 +390,46 @@ SELECT s.run_id, 'risk' AS section, 0 AS idx, CASE WHEN status = '{audit.STATUS_
 FROM states s LEFT JOIN conversations c ON s.conv_id = c.conv_id AND s.good = c.turn""", **_SELECTION))
 def chosen_narratives(spark, sf):
     return _selection(spark, sf)[1]
+
+
+def _reuse_input(spark, sf, second):
+    """Runs of the conversations; in the second batch every third run has another fact and all have new candidates."""
+    talk = V.table(spark, sf, "conversations").filter("turn = 0")
+    conv, name = F.col("conv_id"), F.col("conv_id").cast("string").alias("run_id")
+    changed = F.when(conv % 3 == 0, 1_000_000) if second else F.lit(0)
+    runs = talk.select(
+        name, F.lit(100).alias("classified_total"), F.lit(True).alias("configured"), (conv % 9 == 0).alias("disabled")
+    )
+    facts = talk.select(
+        name, F.lit(0).alias("ord"), F.lit("overall").alias("entity"), F.lit("conv").alias("field"),
+        (conv + F.coalesce(changed, F.lit(0))).cast("double").alias("value"),
+    )
+    # a number that is no fact: the candidates of every fifth run fail
+    body = F.when(conv % 5 == 0, "77.7").otherwise("plain")
+    item = F.array(F.struct(F.lit("second" if second else "first").alias("title"), body.alias("body")))
+    candidates = talk.select(name, F.lit(1).alias("attempt"), F.to_json(F.struct(
+        *[item.alias(s) for s in audit.SECTIONS]
+    )).alias("narrative"))
+    own = talk.select(
+        name, F.lit("risk").alias("section"), F.lit(0).alias("idx"), F.lit("own").alias("title"), F.lit("own text").alias("body")
+    )
+    terms = talk.select(name, F.lit("").alias("term")).filter("term <> ''")
+    return runs, candidates, facts, terms, own
+
+
+@register("reused_narratives", query("", """
+SELECT run_id, status, title, count(*) AS claims FROM told JOIN sections USING (kind) GROUP BY ALL""", told=f"""
+SELECT '' || conv_id AS run_id, CASE WHEN conv_id % 9 = 0 THEN '{audit.STATUS_DISABLED}'
+    WHEN conv_id % 5 = 0 THEN '{audit.STATUS_FALLBACK}' ELSE '{audit.STATUS_ACCEPTED}' END AS status,
+  CASE WHEN conv_id % 9 = 0 OR conv_id % 5 = 0 THEN 'own' WHEN conv_id % 3 = 0 THEN 'second' ELSE 'first' END AS title,
+  CASE WHEN conv_id % 9 = 0 OR conv_id % 5 = 0 THEN 'own' ELSE 'told' END AS kind
+FROM conversations WHERE turn = 0""", sections=f"""
+SELECT unnest([{", ".join(["'told'"] * len(audit.SECTIONS))}, 'own']) AS kind"""))
+def reused_narratives(spark, sf):
+    """Two batches of runs over one store of accepted narratives; the rows of the second."""
+    store = BatchLog(spark, workspace(spark, "narratives"), "fingerprint")
+    report.reused_narratives(*_reuse_input(spark, sf, False), store, 0)
+    states, told = report.reused_narratives(*_reuse_input(spark, sf, True), store, 1)
+    return told.join(states.select("run_id", "status"), "run_id").groupBy("run_id", "status", "title").agg(
+        F.count(F.lit(1)).alias("claims")
+    )

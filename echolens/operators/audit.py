@@ -311,6 +311,15 @@ def candidate_claims(candidates: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 # --- selection ---------------------------------------------------------------
+def closed_reason() -> Column:
+    """Why a run takes no candidate at all; null when it may."""
+    return (
+        F.when(F.col("disabled"), STATUS_DISABLED)
+        .when(~F.col("configured"), STATUS_NOT_CONFIGURED)
+        .when(F.col("classified_total") <= C.MIN_NARRATIVE_VOLUME, STATUS_BELOW_VOLUME)
+    )
+
+
 def select_narratives(
     runs: DataFrame, claims: DataFrame, judged: DataFrame, fallback: DataFrame,
 ) -> tuple[DataFrame, DataFrame]:
@@ -327,9 +336,7 @@ def select_narratives(
     )
     rows = runs.join(best, RUN, "left")
     status = (
-        F.when(F.col("disabled"), STATUS_DISABLED)
-        .when(~F.col("configured"), STATUS_NOT_CONFIGURED)
-        .when(F.col("classified_total") <= C.MIN_NARRATIVE_VOLUME, STATUS_BELOW_VOLUME)
+        F.when(closed_reason().isNotNull(), closed_reason())
         .when(F.col("attempt").isNotNull(), STATUS_ACCEPTED)
         .otherwise(STATUS_FALLBACK)
     )

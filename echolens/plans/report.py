@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from echolens.operators import audit, keywords, narrative, ranking, summary, tiers
 from echolens.session import durable
+from echolens.streaming.log import BatchLog
 
 
 def metric_tables(df: DataFrame, by: Sequence[str] = ("run_id",)) -> dict[str, DataFrame]:
@@ -91,6 +92,51 @@ def audited_narratives(
     return audit.select_narratives(runs, claims, both, fallback)
 
 
+def reused_narratives(
+    runs: DataFrame, candidates: DataFrame, facts: DataFrame, terms: DataFrame, fallback: DataFrame,
+    store: BatchLog, batch_id: int, fresh: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """``audited_narratives``, but a run whose facts are known keeps the narrative accepted for them.
+
+    ``store`` is a log keyed by ``fingerprint``. Runs that may take a candidate and whose
+    fingerprint the store holds are neither audited nor stored again; ``fresh`` audits all.
+    What the others have accepted is published as batch ``batch_id`` in one commit: readers
+    see all of it or nothing, and publishing a batch again replaces it. Of several runs with
+    the same facts, the first one's narrative is stored. A run without facts is never reused.
+    """
+    prints = narrative.fingerprint(facts, [audit.RUN])
+    eligible = runs.filter(audit.closed_reason().isNull()).select(audit.RUN)
+    held = None if fresh else store.current(batch_id - 1)
+    kept = None
+    if held is not None:
+        # runs and stored narratives are one short row each
+        kept = durable(eligible.join(prints, audit.RUN).join(
+            held.select("fingerprint", "claims"), "fingerprint"
+        ).select(audit.RUN, "claims"))
+    rest = (lambda df: df) if kept is None else (lambda df: df.join(kept.select(audit.RUN), audit.RUN, "left_anti"))
+    states, told = map(durable, audited_narratives(
+        rest(runs), rest(candidates), rest(facts), rest(terms), rest(fallback)
+    ))
+    claim = F.struct("section", "idx", "title", "body")
+    accepted = (
+        told.join(states.filter("source = 'llm'").select(audit.RUN), audit.RUN, "left_semi")
+        .groupBy(audit.RUN).agg(F.array_sort(F.collect_list(claim)).alias("claims"))
+        .join(prints, audit.RUN)
+    )
+    store.append(accepted.groupBy("fingerprint").agg(F.min_by("claims", audit.RUN).alias("claims")), batch_id)
+    if kept is None:
+        return states, told
+    none = {"attempt": F.lit(None).cast(states.schema["attempt"].dataType), "reject_reason": F.lit(None).cast("string")}
+    known = kept.select(
+        audit.RUN, F.lit(audit.STATUS_ACCEPTED).alias("status"), F.lit("llm").alias("source"),
+        *[v.alias(k) for k, v in none.items()],
+    )
+    return (
+        states.unionByName(known.select(*states.columns)),
+        told.unionByName(kept.select(audit.RUN, F.inline("claims")).select(*told.columns)),
+    )
+
+
 def report_tables(
     analyzed: DataFrame, accounts: DataFrame | None, by: Sequence[str] = ("run_id",),
     population_videos: int | None = None, **themes,
