@@ -169,35 +169,39 @@ def tier_deep_dive(
     themes: Mapping[str, Sequence[str]] = C.THEMES, titles: Mapping[str, str] = C.THEME_TITLES,
     minimum: int = C.MIN_KEYWORD_DOCS,
 ) -> DataFrame:
-    """One row per tier with themes, keywords and examples as short lists.
+    """One row per tier with themes, keywords and examples as short lists."""
+    return nested_dive(
+        tier_totals(tiered, accounts, by), tier_themes(tiered, by, themes, titles),
+        K.keywords_by_tier(tiered, by, minimum=minimum), tier_examples(tiered, by), by,
+    )
+
+
+def nested_dive(
+    totals: DataFrame, themes: DataFrame, keywords: DataFrame, examples: DataFrame, by: Sequence[str] = (),
+    narrative: DataFrame | None = None,
+) -> DataFrame:
+    """The deep dive from tables of tiers that are there already, with the tiers' narrative if it is given.
 
     Every list is a top-k of fixed length, so the nested row stays small.
     """
     keys = [*by, "tier"]
 
-    def listed(df: DataFrame, name: str, fields: Sequence[str]) -> DataFrame:
-        ordered = F.array_sort(F.collect_list(F.struct("rank", *fields)))
+    def listed(df: DataFrame, name: str, fields: Sequence[str], order: str = "rank") -> DataFrame:
+        ordered = F.array_sort(F.collect_list(F.struct(order, *fields)))
         return df.groupBy(*keys).agg(
-            F.transform(ordered, lambda r: r.dropFields("rank")).alias(name)
+            F.transform(ordered, lambda r: r.dropFields(order)).alias(name)
         )
 
-    theme_rows = listed(
-        tier_themes(tiered, by, themes, titles), "themes",
-        ["theme", "label", "count", "share_pct"],
-    )
-    keyword_rows = listed(
-        K.keywords_by_tier(tiered, by, minimum=minimum), "keywords",
-        ["keyword", "score", "count", "share_pct"],
-    )
-    example_rows = listed(
-        tier_examples(tiered, by), "examples",
-        ["username", "text_raw", "digg_count", "create_time", "sentiment_label"],
-    )
     rows = (
-        tier_totals(tiered, accounts, by)
-        .join(theme_rows, keys, "left")
-        .join(keyword_rows, keys, "left")
-        .join(example_rows, keys, "left")
+        totals
+        .join(listed(themes, "themes", ["theme", "label", "count", "share_pct"]), keys, "left")
+        .join(listed(keywords, "keywords", ["keyword", "score", "count", "share_pct"]), keys, "left")
+        .join(
+            listed(examples, "examples", ["username", "text_raw", "digg_count", "create_time", "sentiment_label"]),
+            keys, "left",
+        )
     )
+    if narrative is not None:
+        rows = rows.join(listed(narrative, "narrative", ["title", "body"], "idx"), keys, "left")
     short = F.coalesce(F.size("examples"), F.lit(0)) < C.TIER_EXAMPLES_SHORT
     return rows.withColumn("examples_short", short)

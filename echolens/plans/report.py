@@ -51,6 +51,9 @@ def tier_tables(
     by = list(by)
     totals = durable(tiers.tier_totals(tiered, accounts, by))
     found = durable(tiers.tier_themes(tiered, by, **themes))
+    words = durable(keywords.keywords_by_tier(tiered, by))
+    examples = durable(ranking.tier_examples(tiered, by))
+    told = durable(narrative.tier_narrative(totals, found, by))
     return {
         "tier_breakdown": tiers.tier_breakdown(tiered, accounts, by),
         "tier_overview": tiers.overall_summary(tiered, accounts, by),
@@ -58,10 +61,11 @@ def tier_tables(
         "tier_totals": totals,
         "tier_words": keywords.top_words(tiered, [*by, "tier"]),
         "tier_pairs": keywords.top_pairs(tiered, [*by, "tier"]),
-        "tier_keywords": keywords.keywords_by_tier(tiered, by),
+        "tier_keywords": words,
         "tier_themes": found,
-        "tier_examples": ranking.tier_examples(tiered, by),
-        "tier_narrative": narrative.tier_narrative(totals, found, by),
+        "tier_examples": examples,
+        "tier_narrative": told,
+        "tier_deep_dive": tiers.nested_dive(totals, found, words, examples, by, told),
     }
 
 
