@@ -64,8 +64,9 @@ def id_number(value: Column) -> Column:
 
 
 def signed(value: Column, digits: int = 1) -> Column:
-    """``%+.1f`` of the exactly rounded value."""
-    return F.format_string(f"%+.{digits}f", round_exact(value, digits))
+    """``%+.1f`` of the exactly rounded value; a negative zero, as a rounded share may be, has no sign."""
+    plain = value.cast("double") + F.lit(0.0)
+    return F.format_string(f"%+.{digits}f", round_exact(plain, digits))
 
 
 def duration_text(videos: Column) -> Column:
