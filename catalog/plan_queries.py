@@ -17,12 +17,12 @@ from echolens.plans.sample import sample_mirror
 EXCLUDED = ("user5", "user14", "user200")
 
 
-def _sections(spark, sf):
+def _section(spark, sf, name):
     flat = V.posts(spark, sf).drop("sentiment_label", "sentiment_method", "run_id")
     options = A.AnalyzeOptions(
         exclude=EXCLUDED, stopwords=V.STOPWORDS, slang=V.SLANG, lexicon=V.LEXICON
     )
-    return A.analyze(flat, options)
+    return A.analyze(flat, options, only=[name])[name]
 
 
 _KEPT = f"""
@@ -35,7 +35,7 @@ _LABELED = f"SELECT k.*, l.* EXCLUDE (seq) FROM kept k JOIN ({_LEXICON_ROWS}) l
 SELECT comment_id, video_id, username, array_to_string(tokens, ' ') AS tokens, sentiment_label,
   sentiment_confidence, sentiment_method FROM labeled""", **_SCORED, kept=_KEPT, labeled=_LABELED))
 def analyzed_comments(spark, sf):
-    rows = _sections(spark, sf)["comments"]
+    rows = _section(spark, sf, "comments")
     return rows.select(
         "comment_id", "video_id", "username",
         F.array_join("tokens_stemmed", " ").alias("tokens"),
@@ -46,7 +46,7 @@ def analyzed_comments(spark, sf):
 @register("analysis_summary", query(
     "tokenized", _summary_sql("labeled"), **_SCORED, kept=_KEPT, labeled=_LABELED))
 def analysis_summary(spark, sf):
-    return _sections(spark, sf)["sentiment_summary"]
+    return _section(spark, sf, "sentiment_summary")
 
 
 @register("analysis_keywords", query(
@@ -54,7 +54,7 @@ def analysis_summary(spark, sf):
     all_tokens="SELECT * FROM tokenized", kept=_KEPT,
     **{k: v.replace("FROM tokenized", "FROM kept") for k, v in _TFIDF_PARTS.items()}))
 def analysis_keywords(spark, sf):
-    return _sections(spark, sf)["keywords"].filter("scope = 'overall'")
+    return _section(spark, sf, "keywords").filter("scope = 'overall'")
 
 
 @register("sample_plan", query("firsts tier_spine", """

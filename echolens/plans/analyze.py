@@ -53,11 +53,15 @@ def label_rows(rows: DataFrame, options: AnalyzeOptions) -> DataFrame:
 
 
 def analyze(
-    flat: DataFrame, options: AnalyzeOptions, log: DataFrame | None = None
+    flat: DataFrame, options: AnalyzeOptions, log: DataFrame | None = None,
+    only: Sequence[str] | None = None,
 ) -> dict[str, DataFrame]:
-    """All sections of an analysis run.
+    """All sections of an analysis run, or those named in ``only``.
 
-    The analyzed table is written once and read by every section. With a log of
+    Keywords run work while they are defined, so a caller of other sections names them.
+
+    The analyzed table is written once and read by every section; a single section
+    that reads it once gets the rows themselves. With a log of
     earlier results, finished comments of the same mode are reused and only the
     rest is processed.
     """
@@ -70,18 +74,24 @@ def analyze(
         done = classify.reusable(log, hybrid=options.fallback is not None)
         fresh = label_rows(classify.pending(kept, done), options)
         rows = fresh.select(*columns).unionByName(classify.finished(kept, done).select(*columns))
-    analyzed = durable(rows)
+    read_once = only is not None and len(only) == 1 and only[0] != "keywords"
+    analyzed = rows if read_once else durable(rows)
+    sections = {
+        "meta": lambda: summary.run_meta(marked),
+        "method_breakdown": lambda: summary.method_breakdown(analyzed),
+        "sentiment_summary": lambda: summary.sentiment_summary(analyzed),
+        "keywords": lambda: _keywords(analyzed),
+        "per_video": lambda: summary.per_video(analyzed),
+        "comments": lambda: analyzed,
+        "top_accounts": lambda: exclusion.top_accounts(marked),
+        "failure_gate": lambda: classify.failure_gate(analyzed),
+    }
+    return {name: sections[name]() for name in (sections if only is None else only)}
+
+
+def _keywords(analyzed: DataFrame) -> DataFrame:
     overall = keywords.tfidf_keywords(analyzed).withColumn("scope", F.lit("overall"))
     by_label = keywords.tfidf_keywords(analyzed, ["sentiment_label"], k=10).withColumnRenamed(
         "sentiment_label", "scope"
     )
-    return {
-        "meta": summary.run_meta(marked),
-        "method_breakdown": summary.method_breakdown(analyzed),
-        "sentiment_summary": summary.sentiment_summary(analyzed),
-        "keywords": overall.unionByName(by_label),
-        "per_video": summary.per_video(analyzed),
-        "comments": analyzed,
-        "top_accounts": exclusion.top_accounts(marked),
-        "failure_gate": classify.failure_gate(analyzed),
-    }
+    return overall.unionByName(by_label)
