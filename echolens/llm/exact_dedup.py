@@ -7,7 +7,7 @@ shuffled), and the digests not found are appended in the same buckets.
 
 Results in edge cases: a null text counts as empty; rows without ``doc_id`` are
 counted in their group but another row stays if one has an id; rows that repeat
-a ``doc_id`` share its decision, but ``drop_exact_duplicates`` goes by row; an empty table gives an empty result; columns
+a ``doc_id`` share its decision, but ``drop_exact_duplicates`` keeps one row of them; an empty table gives an empty result; columns
 other than ``doc_id`` and ``text`` are never read.
 """
 
@@ -54,12 +54,14 @@ class DigestIndex:
         return first.join(self.table().hint("merge"), "digest", "left_anti")
 
     def append(self, batch: DataFrame) -> None:
-        """Add the digests of ``batch`` (doc_id, digest) that are new.
+        """Add the digests of ``batch`` (doc_id, digest) that are new."""
+        self.add(durable(self.missing(batch)))
 
-        The new digests are dealt to the buckets first, so that each bucket gets
-        one more file.
+    def add(self, new: DataFrame) -> None:
+        """Append ``new`` digests (digest, keep_id).
+
+        They are dealt to the buckets first, so that each bucket gets one more file.
         """
-        new = durable(self.missing(batch))
         new.repartition(self.buckets, "digest").write.mode("append").format("parquet").bucketBy(
             self.buckets, "digest"
         ).sortBy("digest").option("path", self.path).saveAsTable(self.name)
@@ -87,13 +89,22 @@ def exact_duplicates(docs: DataFrame, index: DigestIndex | None = None, buckets:
     )
 
 
-def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
-    """One row per text, all columns: the smallest doc_id (null ones last), of equal ids the first row."""
+def drop_exact_duplicates(docs: DataFrame, index: DigestIndex | None = None, buckets: int = 64) -> DataFrame:
+    """One row per text, all columns: the smallest doc_id (null ones last), of equal ids the first row.
+
+    By the digest index like ``exact_duplicates``: of a text that ``index`` holds from
+    earlier arrivals, no row stays.
+    """
+    spark = docs.sparkSession
+    if index is None:
+        index = DigestIndex(spark, workspace(spark, "digest-index"), buckets)
     row = free_name(docs, "dedup_row")
     rows = durable(docs.withColumn(row, F.monotonically_increasing_id()))
     # of the same stored rows, so the ids are the same wherever they are read
     keys = durable(digests(rows, row))
-    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", row)
-    first = keys.groupBy("digest").agg(F.min(order).alias("first")).select(F.col(f"first.{row}").alias(row))
-    gone = keys.select(row).join(first, row, "left_anti")
-    return rows.join(gone, row, "left_anti").drop(row)
+    new = durable(index.missing(keys))
+    index.add(new)
+    # several rows may have the id that stays, or no row of the text an id
+    named = keys.groupBy("digest", "doc_id").agg(F.min(row).alias(row))
+    kept = named.join(new, (named.digest == new.digest) & named.doc_id.eqNullSafe(new.keep_id), "left_semi").select(row)
+    return rows.join(kept, row, "left_semi").drop(row)
