@@ -15,8 +15,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Rows of a file that a compaction writes, at most about.
-FILE_ROWS = 5_000_000
+# Bytes that a task of a compaction reads, and of its file, at most about.
+FILE_BYTES = 64 << 20
 
 
 class BatchLog:
@@ -82,11 +82,25 @@ class BatchLog:
             log = log.filter(F.col("batch_id") <= upto)
         return log if found is None else found.unionByName(log, allowMissingColumns=True)
 
-    def current(self, upto: int | None = None) -> DataFrame | None:
-        """The row of each key that counts, with its batch_id."""
+    def _bytes(self, upto: int) -> int:
+        """Bytes of the folders that a compaction up to ``upto`` reads."""
+        base = max((n for n in self.compactions() if n <= upto), default=None)
+        folders = [] if base is None else [f"{self.path}/_compacted/upto={base}"]
+        folders += [f"{self.path}/batch_id={n}" for n in self.batches() if (base is None or n > base) and n <= upto]
+        size = 0
+        for folder in folders:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+            files = path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+            size += files.getContentSummary(path).getLength()
+        return size
+
+    def current(self, upto: int | None = None, parts: int | None = None) -> DataFrame | None:
+        """The row of each key that counts, with its batch_id; dealt to ``parts`` tasks by key if given."""
         rows = self.rows(upto)
         if rows is None:
             return None
+        if parts is not None:
+            rows = rows.repartition(parts, self.key)
         rest = [c for c in rows.columns if c != self.key]
         best = F.max_by(F.struct(*rest), F.struct(*self.order, "batch_id")).alias("_row")
         return rows.groupBy(self.key).agg(best).select(self.key, "_row.*").select(*rows.columns)
@@ -94,15 +108,15 @@ class BatchLog:
     def compact(self, upto: int) -> None:
         """Fold the batches up to ``upto`` into one table.
 
-        Files are sized by rows, so their number does not depend on the number of
-        batches. Folders that the previous compaction replaced are deleted.
+        Tasks and files are sized by bytes, so their number does not depend on the number
+        of batches, and rows are shuffled once. Folders that the previous compaction
+        replaced are deleted.
         """
         before = [n for n in self.compactions() if n < upto]
-        rows = self.current(upto)
+        rows = self.current(upto, 1 + self._bytes(upto) // FILE_BYTES)
         if rows is None:
             return
-        files = 1 + rows.count() // FILE_ROWS
-        rows.repartition(files, self.key).write.mode("overwrite").parquet(f"{self.path}/_compacted/upto={upto}")
+        rows.write.mode("overwrite").parquet(f"{self.path}/_compacted/upto={upto}")
         if before:
             for n in self.batches():
                 if n <= before[-1]:
