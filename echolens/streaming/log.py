@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 # Bytes that a task of a compaction reads, and of its file, at most about.
 FILE_BYTES = 64 << 20
+# Batches that may follow a compacted table, in units of the compaction interval.
+TAIL = 32
 
 
 class BatchLog:
@@ -82,14 +84,15 @@ class BatchLog:
             log = log.filter(F.col("batch_id") <= upto)
         return log if found is None else found.unionByName(log, allowMissingColumns=True)
 
-    def _bytes(self, upto: int) -> int:
-        """Bytes of the folders that a compaction up to ``upto`` reads."""
+    def _tail(self, upto: int) -> tuple[int | None, list[int]]:
+        """The compacted table that counts, and the batches after it."""
         base = max((n for n in self.compactions() if n <= upto), default=None)
-        folders = [] if base is None else [f"{self.path}/_compacted/upto={base}"]
-        folders += [f"{self.path}/batch_id={n}" for n in self.batches() if (base is None or n > base) and n <= upto]
+        return base, [n for n in self.batches() if (base is None or n > base) and n <= upto]
+
+    def _bytes(self, folders: Sequence[str]) -> int:
         size = 0
         for folder in folders:
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{folder}")
             files = path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
             size += files.getContentSummary(path).getLength()
         return size
@@ -113,7 +116,9 @@ class BatchLog:
         replaced are deleted.
         """
         before = [n for n in self.compactions() if n < upto]
-        rows = self.current(upto, 1 + self._bytes(upto) // FILE_BYTES)
+        base, tail = self._tail(upto)
+        size = self._bytes([f"_compacted/upto={base}"] * (base is not None) + [f"batch_id={n}" for n in tail])
+        rows = self.current(upto, 1 + size // FILE_BYTES)
         if rows is None:
             return
         rows.write.mode("overwrite").parquet(f"{self.path}/_compacted/upto={upto}")
@@ -125,6 +130,16 @@ class BatchLog:
                 self._delete(f"{self.path}/_compacted/upto={n}")
 
     def maybe_compact(self, batch_id: int, every: int | None) -> None:
-        """After each ``every`` batches."""
-        if every and (batch_id + 1) % every == 0:
-            self.compact(batch_id)
+        """After each ``every`` batches, if those since the last compaction weigh as much as its table.
+
+        So a byte that is appended costs two bytes written again at most, however many
+        batches there are. ``TAIL`` intervals without a compaction are folded anyway,
+        which bounds the number of folders.
+        """
+        if not every or (batch_id + 1) % every:
+            return
+        base, tail = self._tail(batch_id)
+        if base is not None and len(tail) < TAIL * every:
+            if self._bytes([f"batch_id={n}" for n in tail]) < self._bytes([f"_compacted/upto={base}"]):
+                return
+        self.compact(batch_id)
