@@ -3,12 +3,15 @@
 A document has a score linear in simple measures of its whole text; of a pair, the
 one labelled 1 is preferred with the logistic probability of the difference of
 scores. The weights minimise the logistic loss on the feature differences of
-pairs of training rows with different labels, plus a ridge, by Newton steps in
-numpy. The cut is the quantile of the training scores that leaves the share
-labelled 1 above it; a logistic map sends the cut to 0.7.
+pairs of training rows with different labels, plus a ridge, by Newton steps. The
+cut is the quantile of the training scores that leaves the share labelled 1 above
+it; a logistic map sends the cut to 0.7.
 
-The rows learnt from are at most ``max_rows``, the first by a hash of doc_id; every
-row labelled 0 among them is paired with PARTNERS rows labelled 1 and the reverse.
+Every labelled row outside the held-out part is learnt from. Their measures are
+dealt to blocks by a hash of doc_id, and within a block every row is paired with
+PARTNERS rows of the other label; rows of a rare label go to several blocks, with
+as much less weight. Each Newton step, the cut and the map are sums or counts over
+all blocks or rows, added up by Spark: only sums, of a fixed number, reach the driver.
 
 Results in edge cases: a null or empty text has the measures of no characters;
 without labels of both kinds the score is 0.5 for all; repeated labels count once,
@@ -26,10 +29,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from echolens.llm.common import texts
-from echolens.llm.toxicity import held_out, labelled_rows
+from echolens.llm.common import durable, texts
+from echolens.llm.toxicity import held_out
 
-MAX_ROWS, PARTNERS, RIDGE = 6000, 8, 1e-3
+PARTNERS, RIDGE, STEPS, SEED = 8, 1e-3, 25, 3
+# Rows of the frequent label and, at least about, of the rare one in a block.
+BLOCK, RARE = 4096, 64
+BINS, FEW = 1000, 10_000
 CUT = 0.7
 _CLASSES = {  # fixed byte classes
     "upper": b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", "lower": b"abcdefghijklmnopqrstuvwxyz",
@@ -66,56 +72,171 @@ def measures(text: str) -> np.ndarray:
 class Ranker:
     """Weights of the measures, and the logistic map of the scores."""
 
-    def __init__(self, texts_: list[str], labels: list[int], ridge: float = RIDGE, seed: int = 3):
-        x, y = np.stack([measures(t) for t in texts_]), np.array(labels) > 0
-        self.mean, self.scale = x.mean(0), x.std(0) + 1e-6
-        z = self._inputs(x)
-        rng = np.random.default_rng(seed)
-        good, bad = np.flatnonzero(y), np.flatnonzero(~y)
-        better = np.concatenate([rng.choice(good, len(bad) * PARTNERS), np.repeat(good, PARTNERS)])
-        worse = np.concatenate([np.repeat(bad, PARTNERS), rng.choice(bad, len(good) * PARTNERS)])
-        d = z[better] - z[worse]
-        self.w = np.zeros(d.shape[1])
-        for _ in range(25):
-            p = 1 / (1 + np.exp(np.clip(d @ self.w, -40, 40)))
-            grad = -(d * p[:, None]).mean(0) + ridge * self.w
-            hess = (d * (p * (1 - p))[:, None]).T @ d / len(d) + ridge * np.eye(len(self.w))
-            move = np.linalg.solve(hess, grad)
-            self.w -= move
-            if np.abs(move).max() < 1e-6:
-                break
-        scores = z @ self.w
-        self.cut = float(np.quantile(scores, 1 - y.mean()))
-        self.slope = self._slope(scores - self.cut, y)
+    def __init__(self, mean: np.ndarray, scale: np.ndarray):
+        self.mean, self.scale = mean, scale
+        self.w, self.cut, self.slope = np.zeros(2 * FEATURES), 0.0, 1.0
 
-    def _inputs(self, x: np.ndarray) -> np.ndarray:
+    def inputs(self, x: np.ndarray) -> np.ndarray:
         z = np.clip((x - self.mean) / self.scale, -8, 8)
         return np.concatenate([z, np.abs(z)], axis=1)
 
-    @staticmethod
-    def _slope(distance: np.ndarray, y: np.ndarray) -> float:
-        """Slope of the logistic map through (cut, CUT) with the least logistic loss."""
-        base, grid = np.log(CUT / (1 - CUT)), np.geomspace(0.05, 20, 60)
-        loss = [np.logaddexp(0, -np.where(y, 1, -1) * (base + s * distance)).mean() for s in grid]
-        return float(grid[int(np.argmin(loss))])
-
     def __call__(self, texts_: list[str]) -> np.ndarray:
-        scores = self._inputs(np.stack([measures(t) for t in texts_])) @ self.w
+        scores = self.inputs(np.stack([measures(t) for t in texts_])) @ self.w
         at = np.log(CUT / (1 - CUT)) + self.slope * (scores - self.cut)
         return 1 / (1 + np.exp(-np.clip(at, -50, 50)))
 
 
-def trained(docs: DataFrame, labels: DataFrame, learn: Column, max_rows: int = MAX_ROWS) -> Ranker | None:
-    rows = labelled_rows(docs, labels, "quality", learn, max_rows)
-    if len({label > 0 for _, label in rows}) < 2:
+def learnt_rows(docs: DataFrame, labels: DataFrame, learn: Column) -> DataFrame:
+    """doc_id, y, x (measures) of every labelled row to learn from, a repeated doc_id once."""
+
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield pd.Series([measures(t) for t in batch], dtype=object)
+
+    run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
+    known = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy(
+        F.col("doc_id").cast("bigint").alias("doc_id")
+    ).agg((F.max("quality") > 0).alias("y"))
+    rows = texts(docs).filter(learn).join(known, "doc_id")
+    measured = rows.select("doc_id", "y", F.pandas_udf(run, "array<double>")("text").alias("x"))
+    return measured.groupBy("doc_id").agg(F.first("y").alias("y"), F.min("x").alias("x"))
+
+
+def blocks(rows: DataFrame, good: int, bad: int, ranker: Ranker) -> DataFrame:
+    """The rows as records of inputs, labels and weights, a block each."""
+    rare, n = min(good, bad), 1 + max(good, bad) // BLOCK
+    copies = min(n, max(1, -(-RARE * n // rare)))
+    times = F.when(F.col("y") == F.lit(good <= bad), F.lit(copies)).otherwise(F.lit(1))
+    dealt = rows.select("y", "x", times.alias("times"), F.explode(F.sequence(F.lit(0), times - 1)).alias("i"), F.xxhash64("doc_id").alias("h"))
+
+    def pack(block: pd.DataFrame) -> pd.DataFrame:
+        block = block.sort_values("h", kind="stable")
+        z = ranker.inputs(np.stack(list(block["x"])))
+        y, share = block["y"].to_numpy(bool), 1 / block["times"].to_numpy(float)
+        return pd.DataFrame({"z": [z.tobytes()], "y": [y.tobytes()], "share": [share.tobytes()]})
+
+    block = F.pmod(F.col("h") + F.col("i"), F.lit(n)).alias("block")
+    return dealt.select(block, "h", "y", "x", "times").groupBy("block").applyInPandas(
+        pack, "z binary, y binary, share binary"
+    )
+
+
+def _pairs(z: bytes, y: bytes, share: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Differences of inputs, better less worse, and the weights of the pairs of a block."""
+    y, share = np.frombuffer(y, bool), np.frombuffer(share)
+    z = np.frombuffer(z).reshape(len(y), -1)
+    good, bad = np.flatnonzero(y), np.flatnonzero(~y)
+    if not len(good) or not len(bad):
+        return np.empty((0, z.shape[1])), np.empty(0)
+    rng = np.random.default_rng(SEED)
+    own_bad, own_good = np.tile(bad, PARTNERS), np.repeat(good, PARTNERS)
+    better = np.concatenate([rng.choice(good, len(own_bad)), own_good])
+    worse = np.concatenate([own_bad, rng.choice(bad, len(own_good))])
+    return z[better] - z[worse], share[np.concatenate([own_bad, own_good])]
+
+
+def _summed(table: DataFrame, sums, size: int) -> np.ndarray:
+    """``sums`` of each batch of records, an array of ``size`` numbers, added up over all tasks."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(size)
+        for frame in frames:
+            total += sums(frame)
+        yield pd.DataFrame({"sums": [total]})
+
+    parts = table.mapInPandas(run, "sums array<double>").select(F.posexplode("sums"))
+    total = np.zeros(size)
+    for row in parts.groupBy("pos").agg(F.sum("col").alias("total")).collect():
+        total[row["pos"]] = row["total"]
+    return total
+
+
+def _fit(table: DataFrame, w: np.ndarray) -> np.ndarray:
+    """Newton steps on the loss of the pairs of all blocks."""
+    size = len(w)
+    for _ in range(STEPS):
+
+        def sums(frame: pd.DataFrame, w: np.ndarray = w) -> np.ndarray:
+            total = np.zeros(1 + size + size * size)
+            for z, y, share in zip(frame["z"], frame["y"], frame["share"]):
+                d, weight = _pairs(z, y, share)
+                p = 1 / (1 + np.exp(np.clip(d @ w, -40, 40)))
+                total[0] += weight.sum()
+                total[1 : 1 + size] -= (weight * p) @ d
+                total[1 + size :] += ((d * (weight * p * (1 - p))[:, None]).T @ d).ravel()
+            return total
+
+        total = _summed(table, sums, 1 + size + size * size)
+        grad = total[1 : 1 + size] / total[0] + RIDGE * w
+        hess = total[1 + size :].reshape(size, size) / total[0] + RIDGE * np.eye(size)
+        move = np.linalg.solve(hess, grad)
+        w = w - move
+        if np.abs(move).max() < 1e-6:
+            break
+    return w
+
+
+def kth(scores: DataFrame, k: int) -> float:
+    """The ``k``-th smallest score, from 0: ranges are counted until one holds few rows."""
+    score = F.col("score")
+    low, high = scores.agg(F.min(score), F.max(score)).first()
+    skipped = 0
+    while low < high:
+        bin_ = F.least(F.floor((score - low) / (high - low) * BINS), F.lit(BINS - 1))
+        inside = scores.filter(score.between(low, high)).withColumn("bin", bin_)
+        for row in inside.groupBy("bin").agg(F.count(F.lit(1)).alias("n"), F.min(score).alias("a"), F.max(score).alias("b")).sort("bin").collect():
+            if k < skipped + row["n"]:
+                break
+            skipped += row["n"]
+        if row["n"] <= FEW:
+            values = inside.filter(F.col("bin") == row["bin"]).select(score).sort(score).collect()
+            return values[k - skipped][0]
+        low, high = row["a"], row["b"]
+    return low
+
+
+def _slope(scores: DataFrame, cut: float) -> float:
+    """Slope of the logistic map through (cut, CUT) with the least logistic loss over all rows."""
+    base, grid = np.log(CUT / (1 - CUT)), np.geomspace(0.05, 20, 60)
+
+    def sums(frame: pd.DataFrame) -> np.ndarray:
+        distance, sign = frame["score"].to_numpy() - cut, np.where(frame["y"].to_numpy(bool), 1, -1)
+        return np.array([np.logaddexp(0, -sign * (base + s * distance)).sum() for s in grid])
+
+    return float(grid[int(np.argmin(_summed(scores, sums, len(grid))))])
+
+
+def trained(docs: DataFrame, labels: DataFrame, learn: Column) -> Ranker | None:
+    rows = durable(learnt_rows(docs, labels, learn))
+    x = [F.col("x")[i] for i in range(FEATURES)]
+    found = rows.agg(
+        F.count_if("y"), F.count_if(~F.col("y")), F.array(*map(F.avg, x)), F.array(*map(F.stddev_pop, x))
+    ).first()
+    good, bad = found[0], found[1]
+    if not good or not bad:
         return None
-    return Ranker([t for t, _ in rows], [label for _, label in rows])
+    ranker = Ranker(np.array(found[2]), np.array(found[3]) + 1e-6)
+    ranker.w = _fit(durable(blocks(rows, good, bad, ranker)), ranker.w)
+
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield pd.Series(ranker.inputs(np.stack(list(batch))) @ ranker.w if len(batch) else np.empty(0))
+
+    score.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
+    scores = durable(rows.select("y", F.pandas_udf(score, "double")("x").alias("score")))
+    place = (good + bad - 1) * (bad / (good + bad))
+    low = int(place)
+    ranker.cut = kth(scores, low)
+    if place > low:
+        ranker.cut += (place - low) * (kth(scores, low + 1) - ranker.cut)
+    ranker.slope = _slope(scores, ranker.cut)
+    return ranker
 
 
-def quality(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
+def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted of every row of ``docs``."""
     out = held_out(F.col("doc_id"), 4, 2)
-    ranker = trained(docs, labels, ~out, max_rows)
+    ranker = trained(docs, labels, ~out)
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
