@@ -12,10 +12,13 @@ from echolens.functions.numbers import pct, round_exact
 from echolens.functions.text import (
     bigrams, drop_words, explode_terms, stopwords_without_negations, theme_pattern,
 )
-from echolens.operators.skew import HOT_SHARE, first_rows, lookup_join
+from echolens.operators.postings import terms_and_lengths
+from echolens.operators.skew import first_rows, lookup_join
 from echolens.session import durable
 
 TOKENS = "tokens_stemmed"
+# Terms in more than this share of the documents are scored first.
+FREQUENT_SHARE = 1e-3
 # More than an array can have entries.
 PLACES_PER_ROW = 10_000_000_000
 
@@ -23,7 +26,7 @@ PLACES_PER_ROW = 10_000_000_000
 # --- TF-IDF ------------------------------------------------------------------
 def tfidf_keywords(
     df: DataFrame, by: Sequence[str] = (), k: int = 20, doc: str = "seq",
-    tokens: str = TOKENS, hot_share: float = HOT_SHARE,
+    tokens: str = TOKENS, hot_share: float = FREQUENT_SHARE,
 ) -> DataFrame:
     """Top unigrams and bigrams by summed, length-normalised TF-IDF.
 
@@ -31,62 +34,64 @@ def tfidf_keywords(
     group is a corpus of its own. ``count`` is the raw term frequency. Ties in
     the score are alphabetical.
 
-    Three passes over the tokens, each shuffling terms once, already combined:
-    document frequencies, then document lengths, then the sums. Documents are
-    hash-partitioned by group and id before their terms are exploded, so counting terms
-    per document needs no shuffle of the much larger exploded rows. Frequent
-    terms are looked up by broadcast and never meet in one task. An empty marker
-    term occurs once per document, so its frequency is the corpus size.
+    Words are written once, ``df`` is read once. ``postings`` counts every term's
+    documents and sums every document's length. A document adds at most 1 to a
+    term's score, which so never exceeds its number of documents: terms in more than
+    ``hot_share`` of the documents are scored first, and where the ``k``-th best of
+    them is not above all that were left out, every term of the group is scored.
     """
     joined = F.array_join(F.col(tokens), " ")
-    docs = df.filter(F.trim(joined) != "").select(
-        *by, doc, F.regexp_extract_all(joined, F.lit(f"{C.WORD}+"), 0).alias("_words")
-    ).repartition(*by, doc)
-    words = F.col("_words")
-    marked = F.concat(F.array(F.lit("")), words, bigrams(words))
-    tf = _term_counts(docs, [*by, doc], marked)
-    # written once: it is read for the corpus size, the frequent terms and idf
-    stats = durable(tf.groupBy(*by, "keyword").agg(F.count(F.lit(1)).alias("_df")))
-    corpus = stats.filter("keyword = ''").select(
-        *by, F.col("_df").alias("_docs"), F.col("_df").alias("_load")
-    )
-    if by:
-        sized = lookup_join(stats, corpus, by, "inner", weight="_load", spread=["keyword"])
-    else:
-        sized = stats.withColumn("_docs", corpus.select("_docs").scalar())
-    idf = sized.select(*by, "keyword", "_df", _idf("_df").alias("_idf"))
-    weight = F.col("_tf") * F.col("_idf")
-    lengths = (
-        lookup_join(
-            tf.filter("keyword <> ''"), idf, [*by, "keyword"], weight="_df",
-            hot_share=hot_share, spread=[doc],
-        )
-        .groupBy(*by, doc).agg(F.sqrt(F.sum(weight * weight)).alias("_length"))
-    )
-    terms = _term_counts(
-        docs.join(lengths, [*by, doc]), [*by, doc, "_length"], F.concat(words, bigrams(words))
-    )
-    sums = terms.groupBy(*by, "keyword").agg(
-        F.sum(F.col("_tf") / F.col("_length")).alias("_sum"),
-        F.count(F.lit(1)).alias("_df"), F.sum("_tf").alias("count"),
-    )
-    if by:
-        sums = lookup_join(sums, corpus, by, "inner", weight="_load", spread=["keyword"])
-    else:
-        sums = sums.withColumn("_docs", corpus.select("_docs").scalar())
-    scores = sums.select(*by, "keyword", "count", (F.col("_sum") * _idf("_df")).alias("_score"))
-    # the sum of doubles depends on row order in its last digits only
-    order = [F.round("_score", 9).desc(), F.col("keyword")]
-    return first_rows(scores, by, order, k).select(
+    groups = list(by) or ["_all"]
+    # rows are filtered after the write: before it, the optimizer would run the text
+    # stages a second time, below the shuffle that they follow
+    docs = durable(df.withColumn("_all", F.lit(0)).select(
+        *groups, F.col(doc).alias("_doc"),
+        F.regexp_extract_all(joined, F.lit(f"{C.WORD}+"), 0).alias("_words"),
+        (F.trim(joined) != "").alias("_some"),
+    )).filter("_some").drop("_some")
+    repeats = docs.groupBy(*groups, "_doc").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    if not repeats.isEmpty():
+        # one document; an empty word keeps its texts apart
+        texts = F.flatten(F.collect_list(F.concat(F.array(F.lit("")), "_words")))
+        docs = durable(docs.groupBy(*groups, "_doc").agg(texts.alias("_words")))
+    corpus = durable(docs.groupBy(*groups).agg(F.count(F.lit(1)).alias("_docs")))
+    sized = docs.join(corpus, groups)
+    best = durable(_best_terms(sized, groups, k, hot_share))
+    bound = F.col("_docs") * hot_share
+    sure = best.filter(F.col("rank") == k).join(corpus, groups).filter(F.col("_score") > bound + 1e-6)
+    open_groups = corpus.filter(bound >= 1).join(sure, groups, "left_anti").select(*groups)
+    if not open_groups.isEmpty():
+        every = _best_terms(sized.join(open_groups, groups, "left_semi"), groups, k, 0.0)
+        best = best.join(open_groups, groups, "left_anti").unionByName(every)
+    return best.select(
         *by, "rank", "keyword", round_exact(F.col("_score"), 4).alias("score"), "count"
     )
 
 
-def _term_counts(docs: DataFrame, keys: Sequence[str], terms: Column) -> DataFrame:
-    return (
-        explode_terms(docs, keys, terms, "keyword")
-        .groupBy(*keys, "keyword").agg(F.count(F.lit(1)).alias("_tf"))
+def _best_terms(docs: DataFrame, by: Sequence[str], k: int, least: float) -> DataFrame:
+    """Best terms of those in more than ``least`` of a group's documents."""
+    stats = durable(terms_and_lengths(docs, by, least))
+    lengths = stats.filter("keyword IS NULL").select(
+        *[F.col(c).alias(f"_of_{c}") for c in by], F.col("_doc").alias("_of_doc"),
+        (1 / F.sqrt("_value")).alias("_unit"),
+    )
+    same = F.col("_doc").eqNullSafe(F.col("_of_doc"))
+    for c in by:
+        same = same & (F.col(c) == F.col(f"_of_{c}"))
+    words = F.col("_words")
+    rows = explode_terms(
+        docs.join(lengths, same), [*by, "_unit"], F.concat(words, bigrams(words)), "keyword"
     )
+    idf = stats.filter("keyword IS NOT NULL").select(*by, "keyword", _idf("_value").alias("_idf"))
+    totals = [F.sum("_unit").alias("_sum"), F.count(F.lit(1)).alias("count")]
+    if least > 0:
+        # no more than 1 / least times the terms of a mean document
+        sums = rows.join(F.broadcast(idf), [*by, "keyword"]).groupBy(*by, "keyword", "_idf").agg(*totals)
+    else:
+        sums = rows.groupBy(*by, "keyword").agg(*totals).join(idf, [*by, "keyword"])
+    scores = sums.select(*by, "keyword", "count", (F.col("_sum") * F.col("_idf")).alias("_score"))
+    # the sum of doubles depends on row order in its last digits only
+    return first_rows(scores, by, [F.round("_score", 9).desc(), F.col("keyword")], k)
 
 
 def _idf(frequency: str) -> Column:
