@@ -54,7 +54,7 @@ def analysis_summary(spark, sf):
     all_tokens="SELECT * FROM tokenized", kept=_KEPT,
     **{k: v.replace("FROM tokenized", "FROM kept") for k, v in _TFIDF_PARTS.items()}))
 def analysis_keywords(spark, sf):
-    return _section(spark, sf, "keywords").filter("scope = 'overall'")
+    return _section(spark, sf, "overall_keywords")
 
 
 @register("sample_plan", query("firsts tier_spine", """

@@ -58,7 +58,8 @@ def analyze(
 ) -> dict[str, DataFrame]:
     """All sections of an analysis run, or those named in ``only``.
 
-    Keywords run work while they are defined, so a caller of other sections names them.
+    Keywords run work while they are defined, so a caller of other sections names them;
+    ``overall_keywords`` and ``label_keywords`` are the two parts of that section.
 
     The analyzed table is written once and read by every section; a single section
     that reads it once gets the rows themselves. With a log of
@@ -80,18 +81,24 @@ def analyze(
         "meta": lambda: summary.run_meta(marked),
         "method_breakdown": lambda: summary.method_breakdown(analyzed),
         "sentiment_summary": lambda: summary.sentiment_summary(analyzed),
-        "keywords": lambda: _keywords(analyzed),
+        "keywords": lambda: _overall(analyzed).unionByName(_by_label(analyzed)),
         "per_video": lambda: summary.per_video(analyzed),
         "comments": lambda: analyzed,
         "top_accounts": lambda: exclusion.top_accounts(marked),
         "failure_gate": lambda: classify.failure_gate(analyzed),
     }
-    return {name: sections[name]() for name in (sections if only is None else only)}
+    parts = {
+        "overall_keywords": lambda: _overall(analyzed),
+        "label_keywords": lambda: _by_label(analyzed),
+    }
+    named = {**sections, **parts}
+    return {name: named[name]() for name in (sections if only is None else only)}
+
+
+def _overall(analyzed: DataFrame) -> DataFrame:
+    return keywords.tfidf_keywords(analyzed).withColumn("scope", F.lit("overall"))
 
 
-def _keywords(analyzed: DataFrame) -> DataFrame:
-    overall = keywords.tfidf_keywords(analyzed).withColumn("scope", F.lit("overall"))
-    by_label = keywords.tfidf_keywords(analyzed, ["sentiment_label"], k=10).withColumnRenamed(
-        "sentiment_label", "scope"
-    )
-    return overall.unionByName(by_label)
+def _by_label(analyzed: DataFrame) -> DataFrame:
+    by_label = keywords.tfidf_keywords(analyzed, ["sentiment_label"], k=10)
+    return by_label.withColumnRenamed("sentiment_label", "scope")
