@@ -83,10 +83,18 @@ def clean(text: Column) -> Column:
     return F.trim(F.regexp_replace(no_mentions, rf"{C.SPACE}+", " "))
 
 
-def normalize(text: Column, slang: Mapping[str, str] = C.SLANG) -> Column:
-    """Shorten runs of three or more equal characters, then map slang words."""
+def normalize(
+    text: Column, slang: Mapping[str, str] = C.SLANG, cleaned: bool = False
+) -> Column:
+    """Shorten runs of three or more equal characters, then map slang words.
+
+    ``cleaned`` text comes from ``clean``: its words stand between single blanks, which
+    shortening leaves as they are.
+    """
     short = F.regexp_replace(F.coalesce(text, F.lit("")), r"(?d)(.)\1{2,}", "$1$1")
-    words = F.split(F.trim(F.regexp_replace(short, rf"{C.SPACE}+", " ")), " ")
+    if not cleaned:
+        short = F.trim(F.regexp_replace(short, rf"{C.SPACE}+", " "))
+    words = F.split(short, " ")
     if not slang:
         return F.array_join(words, " ")
     lookup = literal_map(slang)
@@ -144,13 +152,26 @@ def bigrams(tokens: Column) -> Column:
 
 
 # --- lexicon -----------------------------------------------------------------
-def lexicon_score(tokens: Column, lexicon: Mapping[str, float]) -> tuple[Column, Column]:
-    """Mean score of the known tokens and share of unknown ones, four decimals."""
+def known_tokens(tokens: Column, lexicon: Mapping[str, float]) -> Column:
+    """The tokens that the lexicon has, in order."""
     words = sorted(lexicon)
+    return F.filter(tokens, lambda t: t.isin(words))
+
+
+def known_total(known: Column, lexicon: Mapping[str, float]) -> Column:
+    """Sum of the scores of known tokens, in their order."""
     lookup = literal_map({w: float(s) for w, s in lexicon.items()})
-    known = F.filter(tokens, lambda t: t.isin(words))
-    total = F.aggregate(known, F.lit(0.0), lambda acc, t: acc + F.element_at(lookup, t))
-    return score_from_totals(total, F.size(known), F.size(tokens))
+    return F.aggregate(known, F.lit(0.0), lambda acc, t: acc + F.element_at(lookup, t))
+
+
+def lexicon_score(tokens: Column, lexicon: Mapping[str, float]) -> tuple[Column, Column]:
+    """Mean score of the known tokens and share of unknown ones, four decimals.
+
+    Rounding names its argument many times; over many rows, ``classify.lexicon_classify``
+    gives each costly step a column of its own.
+    """
+    known = known_tokens(tokens, lexicon)
+    return score_from_totals(known_total(known, lexicon), F.size(known), F.size(tokens))
 
 
 def score_from_totals(total: Column, known: Column, size: Column) -> tuple[Column, Column]:

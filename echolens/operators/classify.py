@@ -35,7 +35,7 @@ def preprocess(
         .withColumn("_low", X.lower_text(X.without_emoji(F.col(text))))
         .withColumn("text_clean", X.clean(X.fold_exceptions(F.col("_low"))))
     )
-    tokens = X.drop_words(X.tokenize(X.normalize(F.col("text_clean"), slang)), listed)
+    tokens = X.drop_words(X.tokenize(X.normalize(F.col("text_clean"), slang, cleaned=True)), listed)
     return steps.withColumn("tokens_stemmed", tokens).drop("_low")
 
 
@@ -104,8 +104,17 @@ def lexicon_classify(
     if isinstance(lexicon, DataFrame):
         scored = _table_scores(df, lexicon, tokens, key)
     else:
-        score, oov = X.lexicon_score(F.col(tokens), lexicon)
-        scored = df.withColumn("lexicon_score", score).withColumn("oov_ratio", oov)
+        # one column per costly step: the rounding would repeat it for each mention
+        counted = (
+            df.withColumn("_hits", X.known_tokens(F.col(tokens), lexicon))
+            .withColumn("_total", X.known_total(F.col("_hits"), lexicon))
+            .withColumn("_known", F.size("_hits")).withColumn("_size", F.size(tokens))
+        )
+        score, oov = X.score_from_totals(F.col("_total"), F.col("_known"), F.col("_size"))
+        scored = (
+            counted.withColumn("lexicon_score", score).withColumn("oov_ratio", oov)
+            .drop("_hits", "_total", "_known", "_size")
+        )
     return (
         scored.withColumn("sentiment_label", X.lexicon_label(F.col("lexicon_score"), band))
         .withColumn("sentiment_confidence", X.lexicon_confidence(F.col("lexicon_score"), band))
