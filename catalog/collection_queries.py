@@ -423,9 +423,20 @@ def account_types(spark, sf):
 SPLIT_BYTES = "256k"
 
 
-def _in_small_splits(spark, read):
-    """What ``read`` gives while files are cut into splits of ``SPLIT_BYTES``, written."""
-    names = {"spark.sql.files.maxPartitionBytes": SPLIT_BYTES, "spark.sql.files.openCostInBytes": "1k"}
+# Beyond this many splits they grow with the files: what a task reports goes to the driver.
+MAX_SPLITS = 2000
+
+
+def _split_bytes(spark, path):
+    """``SPLIT_BYTES``, or what cuts the files of ``path`` into ``MAX_SPLITS``."""
+    total = spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0] or 0
+    return max(int(SPLIT_BYTES.removesuffix("k")) << 10, -(-total // MAX_SPLITS))
+
+
+def _in_small_splits(spark, path, read):
+    """What ``read`` gives while files are cut into small splits, written."""
+    size = f"{_split_bytes(spark, path)}b"
+    names = {"spark.sql.files.maxPartitionBytes": size, "spark.sql.files.openCostInBytes": "1k"}
     before = {name: spark.conf.get(name) for name in names}
     for name, value in names.items():
         spark.conf.set(name, value)
@@ -447,7 +458,7 @@ def quoted_csv_round_trip(spark, sf):
     rows = V.table(spark, sf, "documents").select(F.concat_ws(",", F.col("doc_id").cast("string"), quoted).alias("value"))
     header = F.when(F.monotonically_increasing_id() % (1 << 33) == 0, F.array(F.lit("url_or_id,account_type"), F.col("value")))
     rows.select(F.explode(F.coalesce(header, F.array("value"))).alias("value")).write.text(f"{base}/csv")
-    back = _in_small_splits(spark, lambda: split.read_csv(spark, f"{base}/csv"))
+    back = _in_small_splits(spark, f"{base}/csv", lambda: split.read_csv(spark, f"{base}/csv"))
     cell = F.coalesce("account_type", F.lit(""))
     return back.select(
         F.col("url_or_id").cast("bigint").alias("doc_id"), F.length(cell).cast("bigint").alias("chars"),
@@ -467,7 +478,9 @@ def json_array_round_trip(spark, sf):
     first = F.monotonically_increasing_id() % (1 << 33) == 0
     rows = V.table(spark, sf, "documents").select(F.concat(F.when(first, "[").otherwise(","), video).alias("value"))
     rows.write.option("lineSep", " ").text(f"{base}/json")
-    back = _in_small_splits(spark, lambda: readers.read_videos(spark, f"{base}/json", split=True))
+    back = _in_small_splits(
+        spark, f"{base}/json", lambda: readers.read_videos(spark, f"{base}/json", split=True)
+    )
     return back.select(
         F.col("aweme_id").cast("bigint").alias("doc_id"), F.length("caption").cast("bigint").alias("chars"),
         F.sha2("caption", 256).alias("digest"), F.col("comments")[0]["comment_id"].alias("lang"),

@@ -49,36 +49,42 @@ def _pieces(spark: SparkSession, paths: str | Sequence[str], ends_in: str) -> Da
 
 def _csv_steps(pieces: DataFrame) -> DataFrame:
     """end0/end1: whether a line that begins outside/inside of a quoted cell ends inside of one."""
-    line = F.col("value")
-    rest = F.regexp_replace(line, _REST_OF_CELL, "")
+    rest = F.col("_rest")
     # what follows the closing quote belongs to the same cell up to the next comma
     after = F.regexp_replace(rest, r'^"[^,]*+,?', "")
     closes = F.startswith(rest, F.lit('"'))
-    return pieces.select(
-        "*", F.rlike(line, F.lit(_OPEN_CELL)).cast("int").alias("end0"),
+    return pieces.withColumn("_rest", F.regexp_replace("value", _REST_OF_CELL, "")).select(
+        *pieces.columns, F.rlike("value", F.lit(_OPEN_CELL)).cast("int").alias("end0"),
         F.when(closes, F.rlike(after, F.lit(_OPEN_CELL)).cast("int")).otherwise(1).alias("end1"),
         F.lit(0).cast("bigint").alias("depth0"), F.lit(0).cast("bigint").alias("depth1"),
     )
 
 
 def _json_steps(pieces: DataFrame) -> DataFrame:
-    """end0/end1: whether a piece that begins outside/inside of a string ends inside of one; change of depth."""
+    """end0/end1: whether a piece that begins outside/inside of a string ends inside of one; change of depth.
 
-    def outside(text: Column) -> tuple[Column, Column]:
-        bare = F.regexp_replace(text, _STRING, "")
-        opened = F.rlike(bare, F.lit(_OPEN_STRING))
-        bare = F.regexp_replace(bare, _OPEN_STRING, "")
-        size = lambda chars: F.length(bare) - F.length(F.translate(bare, chars, ""))
+    Each pattern runs once per piece: its result is a column, since several read it.
+    """
+    bare = lambda text: F.regexp_replace(text, _STRING, "")
+    opened = lambda i: F.rlike(f"_bare{i}", F.lit(_OPEN_STRING))
+    outer = lambda i: F.regexp_replace(f"_bare{i}", _OPEN_STRING, "")
+    read = (
+        pieces.withColumn("_rest", F.regexp_replace("value", _REST_OF_STRING, ""))
+        .withColumns({"_bare0": bare(F.col("value")), "_bare1": bare(F.substr("_rest", F.lit(2)))})
+        .withColumns({f"_opened{i}": opened(i) for i in (0, 1)} | {f"_outer{i}": outer(i) for i in (0, 1)})
+    )
+
+    def depth(i: int) -> Column:
+        text = F.col(f"_outer{i}")
+        size = lambda chars: F.length(text) - F.length(F.translate(text, chars, ""))
         # the brace at the end of the piece closes unless it stands in a string
-        return opened.cast("int"), (size("{[") - size("]}") - F.when(opened, 0).otherwise(1)).cast("bigint")
+        return (size("{[") - size("]}") - F.when(F.col(f"_opened{i}"), 0).otherwise(1)).cast("bigint")
 
-    rest = F.regexp_replace("value", _REST_OF_STRING, "")
-    closes = F.startswith(rest, F.lit('"'))
-    end0, depth0 = outside(F.col("value"))
-    end1, depth1 = outside(F.substr(rest, F.lit(2)))
-    return pieces.select(
-        "*", end0.alias("end0"), F.when(closes, end1).otherwise(1).alias("end1"), depth0.alias("depth0"),
-        F.when(closes, depth1).otherwise(0).cast("bigint").alias("depth1"),
+    closes = F.startswith("_rest", F.lit('"'))
+    return read.select(
+        *pieces.columns, F.col("_opened0").cast("int").alias("end0"),
+        F.when(closes, F.col("_opened1").cast("int")).otherwise(1).alias("end1"), depth(0).alias("depth0"),
+        F.when(closes, depth(1)).otherwise(0).cast("bigint").alias("depth1"),
     )
 
 
