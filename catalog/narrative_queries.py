@@ -177,27 +177,43 @@ SELECT DISTINCT lower(theme) AS term FROM themes UNION SELECT DISTINCT lower(key
 _FACT_VIEWS = "tiered tier_posts tier_spine accounts"
 
 
-def _evidence(spark, sf):
-    dim = V.whole_run(V.accounts(spark, sf))
-    rows = tiered = V.whole_run(V.durable_tiers(spark, sf))
+def _themes(tiered):
     themes = durable(tiers.tier_themes(tiered, RUN, V.THEMES, V.THEME_TITLES))
-    named = themes.withColumn("label", F.col("theme"))
-    facts = narrative.metric_facts(
+    return themes.withColumn("label", F.col("theme"))
+
+
+def _facts(spark, sf, rows, themes):
+    return narrative.metric_facts(
         summary.overall_metrics(rows, RUN), summary.data_quality(rows, RUN),
-        tiers.tier_totals(tiered, dim, RUN), named, RUN,
+        tiers.tier_totals(rows, V.whole_run(V.accounts(spark, sf)), RUN), themes, RUN,
     )
-    terms = narrative.causal_terms(named, keywords.keywords_by_tier(tiered, RUN), RUN)
-    return facts, terms
+
+
+def _terms(rows, themes):
+    # the distinctive words run work while they are defined
+    return narrative.causal_terms(themes, keywords.keywords_by_tier(rows, RUN), RUN)
+
+
+def _evidence(spark, sf):
+    rows = V.whole_run(V.durable_tiers(spark, sf))
+    themes = _themes(rows)
+    return _facts(spark, sf, rows, themes), _terms(rows, themes)
+
+
+def _facts_only(spark, sf):
+    rows = V.whole_run(V.durable_tiers(spark, sf))
+    return _facts(spark, sf, rows, _themes(rows))
 
 
 @register("metric_facts", query(_FACT_VIEWS, "SELECT * FROM facts", **_FACT_PARTS))
 def metric_facts(spark, sf):
-    return _evidence(spark, sf)[0]
+    return _facts_only(spark, sf)
 
 
 @register("causal_terms", query(_FACT_VIEWS, "SELECT 'all' AS run_id, term FROM terms", **_FACT_PARTS))
 def causal_terms(spark, sf):
-    return _evidence(spark, sf)[1]
+    rows = V.whole_run(V.durable_tiers(spark, sf))
+    return _terms(rows, _themes(rows))
 
 
 @register("metrics_fingerprint", query(_FACT_VIEWS, f"""
@@ -205,7 +221,7 @@ SELECT run_id, sha256(string_agg(line, chr(10) ORDER BY line)) AS fingerprint FR
   SELECT run_id, entity || '|' || field || '|' || format('{{:.4f}}', {rnd("value", 4)}) AS line
   FROM facts) GROUP BY run_id""", **_FACT_PARTS))
 def metrics_fingerprint(spark, sf):
-    return narrative.fingerprint(_evidence(spark, sf)[0], RUN)
+    return narrative.fingerprint(_facts_only(spark, sf), RUN)
 
 
 # --- claim audit -----------------------------------------------------------------

@@ -475,7 +475,7 @@ ON v.tier = c.tier)"""
 @register("tier_breakdown", query(
     "tiered tier_spine accounts", _BREAKDOWN, video_counts=_VIDEO_COUNTS))
 def tier_breakdown(spark, sf):
-    return tiers.tier_breakdown(V.durable_tiers(spark, sf), V.accounts(spark, sf))
+    return tiers.tier_breakdown(V.durable_tiers(spark, sf, text=True), V.accounts(spark, sf))
 
 
 @register("tier_overview", query("tier_posts tier_spine accounts", """
@@ -536,7 +536,8 @@ LEFT JOIN (SELECT tier, list(keyword ORDER BY rank) AS kw FROM ({_BY_TIER}) GROU
     themes=_themes_sql("tiered", "tier, "), **_BY_TIER_PARTS))
 def tier_deep_dive(spark, sf):
     rows = tiers.tier_deep_dive(
-        V.durable_tiers(spark, sf), V.accounts(spark, sf), themes=V.THEMES, titles=V.THEME_TITLES
+        V.durable_tiers(spark, sf, text=True), V.accounts(spark, sf), themes=V.THEMES,
+        titles=V.THEME_TITLES,
     )
     text = lambda c: c.cast("string")
     return rows.select(

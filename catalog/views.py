@@ -82,9 +82,17 @@ def tokenized(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify.preprocess(posts(spark, sf_dir), STOPWORDS, SLANG)
 
 
-def durable_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _narrow(rows: DataFrame, text: bool) -> DataFrame:
+    """Without the texts between the stages, and the raw one unless it is asked for.
+
+    What is written is not pruned by what its readers want.
+    """
+    return rows.drop("emoji_found", "text_clean", *([] if text else ["text_raw"]))
+
+
+def durable_tokens(spark: SparkSession, sf_dir: str, text: bool = False) -> DataFrame:
     """Tokens written once, for operators that read them several times."""
-    return durable(tokenized(spark, sf_dir))
+    return durable(_narrow(tokenized(spark, sf_dir), text))
 
 
 def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,8 +170,8 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def durable_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return durable(tiered(spark, sf_dir))
+def durable_tiers(spark: SparkSession, sf_dir: str, text: bool = False) -> DataFrame:
+    return durable(_narrow(tiered(spark, sf_dir), text))
 
 
 def order_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
