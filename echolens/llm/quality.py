@@ -7,7 +7,8 @@ pairs of training rows with different labels, plus a ridge, by Newton steps. The
 cut is the quantile of the training scores that leaves the share labelled 1 above
 it; a logistic map sends the cut to 0.7.
 
-Every labelled row outside the held-out part is learnt from. Their measures are
+Every row is measured once; the measures are written, and labels, training and scores
+go by them. Every labelled row outside the held-out part is learnt from. Their measures are
 dealt to blocks by a hash of doc_id, and within a block every row is paired with
 PARTNERS rows of the other label; rows of a rare label go to several blocks, with
 as much less weight. Each Newton step, the cut and the map are sums or counts over
@@ -80,26 +81,42 @@ class Ranker:
         z = np.clip((x - self.mean) / self.scale, -8, 8)
         return np.concatenate([z, np.abs(z)], axis=1)
 
-    def __call__(self, texts_: list[str]) -> np.ndarray:
-        scores = self.inputs(np.stack([measures(t) for t in texts_])) @ self.w
+    def scores(self, x: list[np.ndarray]) -> np.ndarray:
+        return self.inputs(np.stack(x)) @ self.w
+
+    def __call__(self, x: list[np.ndarray]) -> np.ndarray:
+        scores = self.scores(x)
         at = np.log(CUT / (1 - CUT)) + self.slope * (scores - self.cut)
         return 1 / (1 + np.exp(-np.clip(at, -50, 50)))
 
 
-def learnt_rows(docs: DataFrame, labels: DataFrame, learn: Column) -> DataFrame:
-    """doc_id, y, x (measures) of every labelled row to learn from, a repeated doc_id once."""
+def _per_batch(fn, kind: str, column: str) -> Column:
+    """``fn`` of each batch of a column, a value for every row."""
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
-            yield pd.Series([measures(t) for t in batch], dtype=object)
+            yield pd.Series(list(fn(list(batch))) if len(batch) else [], dtype=object)
 
     run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
+    return F.pandas_udf(run, kind)(column)
+
+
+def measured(docs: DataFrame) -> DataFrame:
+    """doc_id and x (measures) of every row; what follows needs no text."""
+    return texts(docs).select("doc_id", _per_batch(lambda rows: map(measures, rows), "array<double>", "text").alias("x"))
+
+
+def labelled(rows: DataFrame, labels: DataFrame, learn: Column) -> DataFrame:
+    """doc_id, y, x of every labelled row to learn from, a repeated doc_id once."""
     known = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy(
         F.col("doc_id").cast("bigint").alias("doc_id")
     ).agg((F.max("quality") > 0).alias("y"))
-    rows = texts(docs).filter(learn).join(known, "doc_id")
-    measured = rows.select("doc_id", "y", F.pandas_udf(run, "array<double>")("text").alias("x"))
-    return measured.groupBy("doc_id").agg(F.first("y").alias("y"), F.min("x").alias("x"))
+    return rows.filter(learn).join(known, "doc_id").groupBy("doc_id").agg(F.first("y").alias("y"), F.min("x").alias("x"))
+
+
+def learnt_rows(docs: DataFrame, labels: DataFrame, learn: Column) -> DataFrame:
+    """The labelled rows of ``docs``; measures meet the labels, so that no text is shuffled."""
+    return labelled(measured(docs), labels, learn)
 
 
 def blocks(rows: DataFrame, good: int, bad: int, ranker: Ranker) -> DataFrame:
@@ -206,8 +223,9 @@ def _slope(scores: DataFrame, cut: float) -> float:
     return float(grid[int(np.argmin(_summed(scores, sums, len(grid))))])
 
 
-def trained(docs: DataFrame, labels: DataFrame, learn: Column) -> Ranker | None:
-    rows = durable(learnt_rows(docs, labels, learn))
+def trained(rows: DataFrame, labels: DataFrame, learn: Column) -> Ranker | None:
+    """The ranker of measured rows."""
+    rows = durable(labelled(rows, labels, learn))
     x = [F.col("x")[i] for i in range(FEATURES)]
     found = rows.agg(
         F.count_if("y"), F.count_if(~F.col("y")), F.array(*map(F.avg, x)), F.array(*map(F.stddev_pop, x))
@@ -218,12 +236,7 @@ def trained(docs: DataFrame, labels: DataFrame, learn: Column) -> Ranker | None:
     ranker = Ranker(np.array(found[2]), np.array(found[3]) + 1e-6)
     ranker.w = _fit(durable(blocks(rows, good, bad, ranker)), ranker.w)
 
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            yield pd.Series(ranker.inputs(np.stack(list(batch))) @ ranker.w if len(batch) else np.empty(0))
-
-    score.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    scores = durable(rows.select("y", F.pandas_udf(score, "double")("x").alias("score")))
+    scores = durable(rows.select("y", _per_batch(ranker.scores, "double", "x").alias("score")))
     place = (good + bad - 1) * (bad / (good + bad))
     low = int(place)
     ranker.cut = kth(scores, low)
@@ -236,14 +249,9 @@ def trained(docs: DataFrame, labels: DataFrame, learn: Column) -> Ranker | None:
 def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted of every row of ``docs``."""
     out = held_out(F.col("doc_id"), 4, 2)
-    ranker = trained(docs, labels, ~out)
-
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            yield pd.Series(ranker(list(batch)) if len(batch) else np.empty(0))
-
-    run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    score = F.lit(0.5) if ranker is None else F.pandas_udf(run, "double")("text")
-    return texts(docs).select("doc_id", score.alias("score")).select(
+    rows = durable(measured(docs))
+    ranker = trained(rows, labels, ~out)
+    score = F.lit(0.5) if ranker is None else _per_batch(ranker, "double", "x")
+    return rows.select("doc_id", score.alias("score")).select(
         "doc_id", out.alias("held_out"), "score", (F.col("score") >= CUT).cast("int").alias("predicted")
     )
