@@ -11,8 +11,10 @@ depends on its draws alone, so its agenda is kept as a decision trie: a node is
 candidate whose turn it is, its two branches are the agenda after the skip and after
 the merge, a leaf holds the ids. All places of a block walk their tries together, a
 level at a time with one hash for each, and merges are made only for a branch that
-was not taken before. Tries are held in flat arrays up to HELD entries, then begun
-anew; the result does not depend on what is held.
+was not taken before, for all such places of a block together, a merge of each at a
+time. A part gets its trie in the second block where it comes: most distinct parts
+come once. Tries are held in flat arrays up to HELD entries, then
+begun anew; the result does not depend on what is held.
 
 Decoding joins the pieces. It gives back every text: a literal piece mark (U+2581),
 which the model itself would turn into a blank, is encoded as its bytes here.
@@ -25,7 +27,7 @@ gives an empty result; columns other than ``doc_id`` and ``text`` are never read
 from __future__ import annotations
 
 from array import array
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from itertools import islice
 
 import numpy as np
@@ -37,7 +39,7 @@ from pyspark.sql import functions as F
 
 from echolens.llm.common import texts
 from echolens.llm.packing import tokenizer_path
-from echolens.llm.pieces import SPACE, Pieces
+from echolens.llm.pieces import SHORT, SPACE, Pieces
 from echolens.llm.token_counts import MODEL
 
 DROPOUT, SEED, STREAMS = 0.1, 2024, None
@@ -46,14 +48,128 @@ HELD, BLOCK = 20_000_000, 100_000
 # longer parts are merged anew each time
 LONGEST_HELD = 200
 OPEN_BRANCH = 2**31 - 1
+# parts merged together, and the widths they are laid out in
+TOGETHER, WIDTHS = 20_000, (4, 7, 10, 14, 20, 28, SHORT)
 _M64 = (1 << 64) - 1
 
 
+class ManyMerges:
+    """Merges of many short parts, one of each part at a time: ``Pieces.merge`` in numpy.
+
+    Symbols are numbered; a symbol stands in the column of its first character, so the
+    next one follows at its length. ``rank`` orders the scores, -1 where no piece is.
+    """
+
+    def __init__(self, pieces: Pieces):
+        names = sorted(set(pieces.ids) | {c for p in pieces.ids for c in p})
+        number = {s: n for n, s in enumerate(names)}
+        self.none, self.base = len(names), len(names) + 1
+        self.size = np.array([len(s) for s in names] + [0], np.int64)
+        self.of_char = np.full(max(ord(s) for s in names if len(s) == 1) + 2, self.none, np.int32)
+        for s, n in number.items():
+            if len(s) == 1:
+                self.of_char[ord(s)] = n
+        ids = [pieces.to_ids([s]) for s in names]
+        self.ids_from = np.cumsum([0, *map(len, ids)])
+        self.ids = np.array([i for x in ids for i in x], np.uint32)
+        order = {x: n for n, x in enumerate(sorted(set(pieces.scores.values())))}
+        found = []
+        for p, x in pieces.scores.items():
+            for i in range(1, len(p)):
+                left, right = number.get(p[:i]), number.get(p[i:])
+                if left is not None and right is not None:
+                    found.append((left * self.base + right, order[x], number[p]))
+        keys, rank, merged = np.array(found, np.int64).reshape(-1, 3).T
+        # a table with room, filled by hash, the next free place on a clash
+        bits = max(4, int(4 * len(keys)).bit_length())
+        self.shift, self.last = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys = np.full(1 << bits, -1, np.int64)
+        self.rank, self.merged = np.full(1 << bits, -1, np.int32), np.full(1 << bits, self.none, np.int32)
+        left, at = np.arange(len(keys)), self._place(keys)
+        while left.size:
+            free = self.keys[at] < 0
+            self.keys[at[free]] = keys[left[free]]
+            done = self.keys[at] == keys[left]
+            self.rank[at[done]], self.merged[at[done]] = rank[left[done]], merged[left[done]]
+            left, at = left[~done], (at[~done] + 1) & self.last
+
+    def _place(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def _pairs(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank and number of the piece that two symbols make."""
+        keys = left.astype(np.int64) * self.base + right
+        at = self._place(keys)
+        held = self.keys[at]
+        look = np.flatnonzero((held != keys) & (held >= 0))
+        while look.size:
+            at[look] = (at[look] + 1) & self.last
+            held = self.keys[at[look]]
+            look = look[(held != keys[look]) & (held >= 0)]
+        # a free place has neither
+        return self.rank[at], self.merged[at]
+
+    def numbers(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols of the characters of all parts in a row, and the length of each part."""
+        points = np.frombuffer("".join(parts).encode("utf-32-le", "surrogatepass"), np.uint32)
+        return self.of_char[np.minimum(points, len(self.of_char) - 1)], np.array(list(map(len, parts)), np.int64)
+
+    def merge(
+        self, chars: np.ndarray, sizes: np.ndarray, keys: np.ndarray, most: int
+    ) -> tuple[np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Ids of all parts in a row, the number of ids of each, and the draws: part, candidate, skipped."""
+        n, width = len(sizes), int(sizes.max()) + 1
+        inside = np.arange(width) < sizes[:, None]
+        symbols = np.full((n, width), self.none, np.int32)
+        symbols[inside] = chars
+        rank, into = np.full((n, width), -1, np.int32), np.full((n, width), self.none, np.int32)
+        pairs = np.zeros_like(inside)
+        pairs[:, :-1] = inside[:, 1:]
+        rank[pairs], into[pairs] = self._pairs(symbols[pairs], symbols[:, 1:][pairs[:, :-1]])
+        # before the first symbol stands the last column, which never holds one
+        before = np.tile(np.append(width - 1, np.arange(width - 1)), (n, 1))
+        flat, score, piece, front = symbols.ravel(), rank.ravel(), into.ravel(), before.ravel()
+        size, active, draws = self.size, np.arange(n), []
+        while active.size:
+            place = rank[active].argmax(1)
+            row = active * width
+            live = score[row + place] >= 0
+            active, place, row = active[live], place[live], row[live]
+            here = row + place
+            left = size[flat[here]]
+            there = here + left
+            right = size[flat[there]]
+            candidate = (
+                place.astype(np.uint64) * np.uint64(0x2545F4914F6CDD1D)
+                + left.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + right.astype(np.uint64)
+            )
+            x = (keys[active] ^ candidate) * np.uint64(0xD6E8FEB86659FD93)
+            x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+            skipped = (x >> np.uint64(32)) < np.uint64(most)
+            draws.append((active, candidate, skipped))
+            score[here[skipped]] = -1
+            go = ~skipped
+            here, there, row, place = here[go], there[go], row[go], place[go]
+            both = piece[here]
+            flat[here], flat[there], score[there] = both, self.none, -1
+            after = there + right[go]
+            front[after] = place
+            score[here], piece[here] = self._pairs(both, flat[after])
+            previous = row + front[here]
+            score[previous], piece[previous] = self._pairs(flat[previous], both)
+        kept = symbols != self.none
+        final = flat[kept.ravel()]
+        lengths = self.ids_from[final + 1] - self.ids_from[final]
+        counts = np.add.reduceat(lengths, np.cumsum(kept.sum(1)) - kept.sum(1))
+        return self.ids[_ragged(self.ids_from[final], lengths)], counts, tuple(map(np.concatenate, zip(*draws)))
+
+
 class DropoutEncoder:
     """Ids of texts as little-endian 32-bit bytes."""
 
     def __init__(self, path: str, dropout: float = DROPOUT, seed: int = SEED):
         self.pieces = Pieces(path)
+        self.many = ManyMerges(self.pieces)
         self.dropout, self.seed = dropout, seed
         self.most = int(dropout * 2**32)
         self.mark = [self.pieces.byte_ids[b] for b in SPACE.encode()]
@@ -67,12 +183,13 @@ class DropoutEncoder:
         self.characters = 0
         # chunks: where their parts begin; parts: hash and root; nodes: candidate and branches; leaves: their ids
         self.chunk_from, self.chunk_parts = array("q", [0]), array("q")
-        self.own, self.root = array("Q"), array("i")
+        self.own, self.root, self.again = array("Q"), array("i"), bytearray()
         self.candidate, self.merged, self.skipped = array("Q"), array("i"), array("i")
         self.leaf_from, self.pool = array("q", [0]), array("I")
         self.parts.append("")
         self.own.append(0)
         self.root.append(self._leaf(self.mark))
+        self.again.append(0)
         self.chunk_parts.append(0)
         self.chunk_from.append(1)
 
@@ -92,6 +209,7 @@ class DropoutEncoder:
                 self.characters += len(part)
                 self.own.append(xxhash.xxh3_64_intdigest(part.encode("utf-8"), self.seed & _M64))
                 self.root.append(OPEN_BRANCH)
+                self.again.append(0)
             self.chunk_parts.append(number)
         self.characters += len(chunk)
         self.known[chunk] = len(self.chunk_from) - 1
@@ -126,18 +244,58 @@ class DropoutEncoder:
 
         leaf = self._leaf(self.pieces.to_ids(self.pieces.merge(list(text), skip)))
         if hold:
-            table, at = self.root, part
-            candidates, merges, skips = self.candidate, self.merged, self.skipped
-            for candidate, skipped in taken:
-                if table[at] == OPEN_BRANCH:
-                    table[at] = len(candidates)
-                    candidates.append(candidate)
-                    merges.append(OPEN_BRANCH)
-                    skips.append(OPEN_BRANCH)
-                table, at = (skips if skipped else merges), table[at]
-            table[at] = leaf
+            self._hold(part, taken, leaf)
         return leaf
 
+    def _hold(self, part: int, taken: Iterable[tuple[int, bool]], leaf: int) -> None:
+        """Lengthen a part's trie by a path of draws."""
+        table, at = self.root, part
+        candidates, merges, skips = self.candidate, self.merged, self.skipped
+        for candidate, skipped in taken:
+            if table[at] == OPEN_BRANCH:
+                table[at] = len(candidates)
+                candidates.append(candidate)
+                merges.append(OPEN_BRANCH)
+                skips.append(OPEN_BRANCH)
+            table, at = (skips if skipped else merges), table[at]
+        table[at] = leaf
+
+    def _resolve_many(self, open_: np.ndarray, parts: np.ndarray, key: np.ndarray, node: np.ndarray) -> None:
+        """Leaves of the short parts among the ``open_`` places, by merges of all of them together."""
+        texts = [self.parts[p] for p in parts[open_].tolist()]
+        sizes = np.array(list(map(len, texts)), np.int64)
+        again = np.frombuffer(self.again, np.uint8)
+        seen = (again[parts[open_]] > 0) & (sizes <= LONGEST_HELD)
+        again[parts[open_]] = 1
+        del again  # an array that is read cannot grow
+        below = 1
+        for width in WIDTHS:
+            rows = np.flatnonzero((sizes > below) & (sizes <= width))
+            below = width
+            for begin in range(0, len(rows), TOGETHER):
+                some = rows[begin : begin + TOGETHER]
+                chars, lengths = self.many.numbers([texts[i] for i in some.tolist()])
+                known = np.logical_and.reduceat(chars != self.many.none, np.cumsum(lengths) - lengths)
+                chars, lengths, some = chars[np.repeat(known, lengths)], lengths[known], some[known]
+                if not len(some):
+                    continue
+                places = open_[some]
+                ids, counts, (owner, candidate, skipped) = self.many.merge(chars, lengths, key[places], self.most)
+                first = len(self.leaf_from) - 1
+                ends = len(self.pool) + np.cumsum(counts)
+                self.pool.frombytes(ids.tobytes())
+                self.leaf_from.frombytes(ends.tobytes())
+                node[places] = -1 - (first + np.arange(len(some)))
+                held = seen[some]
+                order = np.flatnonzero(held[owner])
+                order = order[np.argsort(owner[order], kind="stable")]
+                held = np.flatnonzero(held)
+                cuts = np.searchsorted(owner[order], np.append(held, len(some))).tolist()
+                taken = list(zip(candidate[order].tolist(), skipped[order].tolist()))
+                numbers = parts[places].tolist()
+                for n, row in enumerate(held.tolist()):
+                    self._hold(numbers[row], taken[cuts[n] : cuts[n + 1]], -1 - (first + row))
+
     def __call__(self, text: str, stream: int = 0) -> bytes:
         return self.encode([text], [stream])[0].tobytes()
 
@@ -202,6 +360,7 @@ class DropoutEncoder:
             node[walking] = after
             walking = walking[(after >= 0) & (after < OPEN_BRANCH)]
         del candidate, merged, skipped  # arrays that are read cannot grow
+        self._resolve_many(np.flatnonzero(node == OPEN_BRANCH), parts, key, node)
         for i in np.flatnonzero(node == OPEN_BRANCH).tolist():
             node[i] = self._resolve(int(parts[i]), int(key[i]))
 
