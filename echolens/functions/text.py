@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,12 +25,23 @@ def blank_to(text: Column, default: str) -> Column:
 
 
 # --- cleaning stages ---------------------------------------------------------
+# A pattern costs some 50 to 100 ns per character, a look for a few bytes about 1: a stage
+# asks first whether its pattern can match at all.
+def _may_hold_emoji(text: Column) -> Column:
+    """Whether a character of U+2000 to U+2FFF or U+1F000 to U+1FFFF, as all emoji are, occurs."""
+    raw = text.cast("binary")
+    return F.contains(raw, F.unhex(F.lit("E2"))) | F.contains(raw, F.unhex(F.lit("F09F")))
+
+
 def emoji_found(text: Column) -> Column:
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(C.EMOJI_PATTERN), 0)
+    whole = F.coalesce(text, F.lit(""))
+    found = F.regexp_extract_all(whole, F.lit(C.EMOJI_PATTERN), 0)
+    return F.when(_may_hold_emoji(whole), found).otherwise(F.array().cast("array<string>"))
 
 
 def without_emoji(text: Column) -> Column:
-    return F.regexp_replace(F.coalesce(text, F.lit("")), C.EMOJI_PATTERN, "")
+    whole = F.coalesce(text, F.lit(""))
+    return F.when(_may_hold_emoji(whole), F.regexp_replace(whole, C.EMOJI_PATTERN, "")).otherwise(whole)
 
 
 def _folding_exceptions() -> dict[str, str]:
@@ -45,6 +58,8 @@ _FOLDS = _folding_exceptions()
 _FOLD_ONE = {k: v for k, v in _FOLDS.items() if len(v) == 1}
 _FOLD_MANY = {k: v for k, v in _FOLDS.items() if len(v) > 1}
 _RARE = "".join(k for k in _FOLDS if k != "ß")
+# Neither ASCII nor a letter of Latin-1, none of which folds otherwise once ß is expanded.
+_UNCOMMON = r"[^\x00-\x7f\xc0-\xff]"
 
 
 def lower_text(text: Column) -> Column:
@@ -55,8 +70,9 @@ def lower_text(text: Column) -> Column:
 def fold_exceptions(lowered: Column) -> Column:
     """Turn lower-cased into fully case-folded text.
 
-    One pass of ``translate`` tells whether an exception occurs at all; only
-    such rows are taken apart.
+    A text without characters beyond Latin-1 letters has none; else one pass of
+    ``translate`` tells whether an exception occurs at all, and only such rows are
+    taken apart.
     """
     many, expansions = sorted(_FOLD_MANY), literal_map(_FOLD_MANY)
     single = F.translate(lowered, "".join(_FOLD_ONE), "".join(_FOLD_ONE.values()))
@@ -67,8 +83,10 @@ def fold_exceptions(lowered: Column) -> Column:
         ),
         "",
     )
+    ascii_only = F.octet_length(lowered) == F.char_length(lowered)
+    common = ascii_only | ~lowered.rlike(_UNCOMMON)
     is_rare = F.translate(lowered, _RARE, "") != lowered
-    return F.when(is_rare, expanded).otherwise(lowered)
+    return F.when(common, lowered).when(is_rare, expanded).otherwise(lowered)
 
 
 def case_fold(text: Column) -> Column:
@@ -78,32 +96,51 @@ def case_fold(text: Column) -> Column:
 
 def clean(text: Column) -> Column:
     """Drop links and mentions, collapse whitespace."""
-    no_links = F.regexp_replace(F.coalesce(text, F.lit("")), C.URL_PATTERN, " ")
-    no_mentions = F.regexp_replace(no_links, C.MENTION_PATTERN, " ")
+    whole = F.coalesce(text, F.lit(""))
+    linked = F.contains(whole, F.lit("http")) | F.contains(whole, F.lit("www."))
+    no_links = F.when(linked, F.regexp_replace(whole, C.URL_PATTERN, " ")).otherwise(whole)
+    # no link's replacement brings a mention
+    mentioned = F.contains(whole, F.lit("@"))
+    no_mentions = F.when(mentioned, F.regexp_replace(no_links, C.MENTION_PATTERN, " ")).otherwise(no_links)
     return F.trim(F.regexp_replace(no_mentions, rf"{C.SPACE}+", " "))
 
 
-def normalize(
-    text: Column, slang: Mapping[str, str] = C.SLANG, cleaned: bool = False
-) -> Column:
-    """Shorten runs of three or more equal characters, then map slang words.
+def shorten_runs(text: Column, cleaned: bool = False) -> Column:
+    """Runs of three or more equal characters become two.
 
     ``cleaned`` text comes from ``clean``: its words stand between single blanks, which
     shortening leaves as they are.
     """
     short = F.regexp_replace(F.coalesce(text, F.lit("")), r"(?d)(.)\1{2,}", "$1$1")
-    if not cleaned:
-        short = F.trim(F.regexp_replace(short, rf"{C.SPACE}+", " "))
-    words = F.split(short, " ")
+    return short if cleaned else F.trim(F.regexp_replace(short, rf"{C.SPACE}+", " "))
+
+
+def map_words(text: Column, slang: Mapping[str, str] = C.SLANG) -> Column:
+    """Words between blanks, replaced where ``slang`` has them.
+
+    Only a text with one of them between its blanks is taken apart.
+    """
     if not slang:
-        return F.array_join(words, " ")
+        return text
     lookup = literal_map(slang)
     keys = sorted(slang)
     # the hash-set test comes first: the map is only searched on a hit
     mapped = F.transform(
-        words, lambda w: F.when(w.isin(keys), F.element_at(lookup, w)).otherwise(w)
+        F.split(text, " "), lambda w: F.when(w.isin(keys), F.element_at(lookup, w)).otherwise(w)
     )
-    return F.array_join(mapped, " ")
+    framed = F.concat(F.lit(" "), text, F.lit(" "))
+    found = reduce(or_, [F.contains(framed, F.lit(f" {k} ")) for k in keys])
+    return F.when(found, F.array_join(mapped, " ")).otherwise(text)
+
+
+def normalize(
+    text: Column, slang: Mapping[str, str] = C.SLANG, cleaned: bool = False
+) -> Column:
+    """Shorten runs of three or more equal characters, then map slang words.
+
+    Over many rows, ``classify.preprocess`` gives each step a column of its own.
+    """
+    return map_words(shorten_runs(text, cleaned), slang)
 
 
 def tokenize(text: Column) -> Column:
@@ -151,6 +188,19 @@ def bigrams(tokens: Column) -> Column:
     return F.when(size >= 2, pairs).otherwise(F.array().cast("array<string>"))
 
 
+def explode_pairs(df: DataFrame, keep: Iterable[str], tokens: Column, place: str, name: str) -> DataFrame:
+    """One row per adjacent pair with its 0-based place: the pairs of ``bigrams``, put
+    together behind the explode, where they are compiled and not interpreted."""
+    ahead = F.greatest(F.size(tokens) - 1, F.lit(0))
+    both = F.arrays_zip(
+        F.slice(tokens, F.lit(1), ahead).alias("a"), F.slice(tokens, F.lit(2), ahead).alias("b")
+    )
+    rows = df.select(*keep, F.posexplode_outer(both).alias(place, "_pair"))
+    return rows.filter("_pair IS NOT NULL").select(
+        *keep, place, F.concat_ws(" ", "_pair.a", "_pair.b").alias(name)
+    )
+
+
 # --- lexicon -----------------------------------------------------------------
 def known_tokens(tokens: Column, lexicon: Mapping[str, float]) -> Column:
     """The tokens that the lexicon has, in order."""
@@ -255,3 +305,12 @@ def theme_pattern(words: Iterable[str]) -> str:
     specials = set(r"\.^$|?*+()[]{}")
     quoted = ["".join("\\" + ch if ch in specials else ch for ch in w) for w in words]
     return r"\b(?:%s)\b" % "|".join(quoted)
+
+
+def mentions(text: Column, words: Sequence[str]) -> Column:
+    """Whether one of the words stands in the text; the pattern is only tried where their letters do."""
+    listed = list(words)
+    pattern = theme_pattern(listed)
+    if not listed:
+        return text.rlike(pattern)
+    return reduce(or_, [F.contains(text, F.lit(w)) for w in listed]) & text.rlike(pattern)

@@ -33,10 +33,12 @@ def preprocess(
     steps = (
         df.withColumn("emoji_found", X.emoji_found(F.col(text)))
         .withColumn("_low", X.lower_text(X.without_emoji(F.col(text))))
-        .withColumn("text_clean", X.clean(X.fold_exceptions(F.col("_low"))))
+        .withColumn("_folded", X.fold_exceptions(F.col("_low")))
+        .withColumn("text_clean", X.clean(F.col("_folded")))
+        .withColumn("_short", X.shorten_runs(F.col("text_clean"), cleaned=True))
     )
-    tokens = X.drop_words(X.tokenize(X.normalize(F.col("text_clean"), slang, cleaned=True)), listed)
-    return steps.withColumn("tokens_stemmed", tokens).drop("_low")
+    tokens = X.drop_words(X.tokenize(X.map_words(F.col("_short"), slang)), listed)
+    return steps.withColumn("tokens_stemmed", tokens).drop("_low", "_folded", "_short")
 
 
 def vocabulary(df: DataFrame, tokens: str = "tokens_stemmed") -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from echolens import constants as C
 from echolens.functions.numbers import pct, round_exact
 from echolens.functions.text import (
-    bigrams, drop_words, explode_terms, stopwords_without_negations, theme_pattern,
+    bigrams, drop_words, explode_pairs, explode_terms, mentions, stopwords_without_negations,
 )
 from echolens.operators.postings import terms_and_lengths
 from echolens.operators.skew import first_rows, lookup_join
@@ -175,33 +175,47 @@ def top_words(
     tokens: str = TOKENS,
 ) -> DataFrame:
     """Most used words; ties keep first appearance, by row and place in it."""
-    return _top_terms(df, F.col(tokens), "keyword", by, k)
+    placed = df.select(*by, "seq", F.posexplode_outer(F.col(tokens)).alias("_pos", "keyword"))
+    return _top_terms(placed.filter(F.col("keyword").isNotNull()), "keyword", by, k)
 
 
 def top_pairs(
     df: DataFrame, by: Sequence[str] = ("tier",), k: int = C.TOP_PAIRS_PER_TIER,
     minimum: int = C.MIN_PAIR_COUNT, tokens: str = TOKENS,
 ) -> DataFrame:
-    """Most used adjacent pairs: the top ``k`` first, rare ones dropped after."""
-    best = _top_terms(df, bigrams(F.col(tokens)), "theme", by, k)
-    return best.filter(F.col("count") >= minimum)
+    """Most used adjacent pairs: the top ``k`` of those that are not rare."""
+    placed = explode_pairs(df, [*by, "seq"], F.col(tokens), "_pos", "theme")
+    return _top_terms(placed, "theme", by, k, minimum)
 
 
-def _top_terms(
-    df: DataFrame, terms: Column, name: str, by: Sequence[str], k: int
-) -> DataFrame:
-    placed = df.select(*by, "seq", F.posexplode_outer(terms).alias("_pos", name))
-    # row and place in one decimal of 32 digits: wide enough for any bigint and int,
-    # and combined by hash before the shuffle, which a struct is not
+def _top_terms(placed: DataFrame, name: str, by: Sequence[str], k: int, minimum: int = 1) -> DataFrame:
+    """First ``k`` terms by count and first appearance, of placed terms.
+
+    Counts come first in the order, so rare terms are dropped before they are ranked
+    and the ranks stay. Row and place are one number: a bigint where the row's number
+    has 32 bits, which costs next to nothing for every term, else a decimal of 32
+    digits, wide enough for any bigint and int. Both are combined by hash before the
+    shuffle, which a struct is not.
+    """
+    seq, pos = F.col("seq").cast("bigint"), F.col("_pos")
+    short = seq.between(-(2**31), 2**31 - 1)
     per_row = F.lit(PLACES_PER_ROW).cast("decimal(11,0)")
-    seen = F.col("seq").cast("decimal(19,0)") * per_row + F.col("_pos").cast("decimal(10,0)")
+    near = F.when(short, F.shiftleft(seq, 31).bitwiseOR(pos.cast("bigint")))
+    far = F.when(~short, seq.cast("decimal(19,0)") * per_row + pos.cast("decimal(10,0)"))
     counts = (
-        placed.filter(F.col(name).isNotNull())
-        .groupBy(*by, name)
-        .agg(F.count(F.lit(1)).alias("count"), F.min(seen).alias("_seen"))
+        placed.groupBy(*by, name)
+        .agg(F.count(F.lit(1)).alias("count"), F.min(near).alias("_near"), F.min(far).alias("_far"))
+        .filter(F.col("count") >= minimum)
     )
-    order = [F.col("count").desc(), F.col("_seen"), F.col(name)]
-    return first_rows(counts, by, order, k).drop("_seen")
+    # rows far below come before the near ones, rows far above behind them
+    below = F.when(F.col("_far") < 0, F.col("_far"))
+    within = F.when(below.isNull(), F.col("_near"))
+    above = F.when(F.coalesce(below, F.col("_near")).isNull(), F.col("_far"))
+    nowhere = F.col("_near").isNull() & F.col("_far").isNull()
+    order = [
+        F.col("count").desc(), nowhere.desc(), below.asc_nulls_last(), within.asc_nulls_last(), above, F.col(name),
+    ]
+    return first_rows(counts, by, order, k).drop("_near", "_far")
 
 
 # --- themes ------------------------------------------------------------------
@@ -218,7 +232,7 @@ def theme_matches(
     counts = rows.groupBy(*by).agg(
         F.count(F.lit(1)).alias("_total"),
         *[
-            F.count_if(F.col("_t").rlike(theme_pattern(words))).alias(f"_m{i}")
+            F.count_if(mentions(F.col("_t"), words)).alias(f"_m{i}")
             for i, words in enumerate(themes.values())
         ],
     )

@@ -30,6 +30,7 @@ def lookup_join(
     weight: str | None = None,
     hot_share: float = HOT_SHARE,
     spread: Sequence[str] | None = None,
+    probe: bool = False,
 ) -> DataFrame:
     """Join a large table to a table with one row per key.
 
@@ -42,8 +43,20 @@ def lookup_join(
     grows with them; without it the keys are counted first, which reads ``fact``
     twice. ``spread`` names fact columns
     that vary inside a hot group. ``how`` is left, inner, semi or anti.
+
+    ``probe`` counts the rows of a ``dim`` that is cheap to read, ``1 / hot_share`` of
+    them at most and one: one with no more rows than there may be hot keys is broadcast
+    whole, so that neither the fact rows nor their keys are shuffled.
     """
     keys = [on] if isinstance(on, str) else list(on)
+    if probe:
+        most = int(1 / hot_share)
+        if dim.limit(most + 1).count() <= most:
+            kind = {"left": "left", "inner": "inner", "semi": "left_semi", "anti": "left_anti"}[how]
+            small = dim if weight is None or how in ("semi", "anti") else dim.drop(weight)
+            joined = fact.join(F.broadcast(small), keys, kind)
+            values = [c for c in small.columns if c not in keys]
+            return joined.select(*fact.columns, *(values if how in ("left", "inner") else []))
     values = [c for c in dim.columns if c not in keys and c != weight]
     payload = F.struct(F.lit(1).alias("_hit"), *[F.col(v) for v in values])
     packed = dim.select(*keys, payload.alias("_dim"))

@@ -28,7 +28,7 @@ def attach_tier(
     tiers = accounts.select(
         *by, "video_id", classify_tier(F.col("account_type")).alias("tier")
     )
-    rows = lookup_join(df, tiers, [*by, "video_id"], spread=["seq"])
+    rows = lookup_join(df, tiers, [*by, "video_id"], spread=["seq"], probe=True)
     return rows.withColumn("tier", F.coalesce("tier", F.lit("unknown")))
 
 
