@@ -201,7 +201,8 @@ def _evidence(spark, sf):
 
 
 def _facts_only(spark, sf):
-    rows = V.whole_run(V.durable_tiers(spark, sf))
+    # the themes alone read tokens, and once: nothing is written before them
+    rows = V.whole_run(V.tiered(spark, sf))
     return _facts(spark, sf, rows, _themes(rows))
 
 
