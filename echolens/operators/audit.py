@@ -46,11 +46,16 @@ MONTH_REACH = 6
 
 
 # --- numbers in prose --------------------------------------------------------
+# The numbers of C.NUMBER_PATTERN without a second alternative, which would be tried at
+# every other character as well.
+NUMBER = r"[+-]?[0-9](?:[0-9.,]*[0-9])?"
+
+
 def number_pieces(body: Column) -> Column:
     """array<struct<before, raw>>: every number and the text since the one before it."""
     return F.zip_with(
-        F.split(body, C.NUMBER_PATTERN, -1),
-        F.regexp_extract_all(body, F.lit(C.NUMBER_PATTERN), 0),
+        F.split(body, NUMBER, -1),
+        F.regexp_extract_all(body, F.lit(NUMBER), 0),
         lambda before, raw: F.struct(before.alias("before"), raw.alias("raw")),
     )
 
@@ -217,7 +222,7 @@ def audit_claims(claims: DataFrame, evidence: DataFrame) -> DataFrame:
     ``claims(run_id, attempt, section, idx, title, body)``. Only bodies are
     checked. A run with very many claims is spread by ``lookup_join``.
     """
-    rows = lookup_join(claims, evidence, RUN, spread=["section", "idx", "title"])
+    rows = lookup_join(claims, evidence, RUN, spread=["section", "idx", "title"], probe=True)
     none = F.array().cast("array<string>")
     no_facts = F.array().cast(
         "array<struct<ord:int,entity:string,field:string,value:double>>"
