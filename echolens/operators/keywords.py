@@ -132,14 +132,17 @@ def distinctive_keywords(
         F.struct(F.lit(g).alias(group), F.col(f"_c{i}").alias("count"), F.lit(i).alias("_i"))
         for i, g in enumerate(groups)
     ]))
-    counted = per_word.select(*by, "keyword", "_all", per_group.alias("_x")).select(
+    # no group counts a word more often than all do: most words end here, before the explode
+    counted = per_word.filter(F.col("_all") >= minimum).select(
+        *by, "keyword", "_all", per_group.alias("_x")
+    ).select(
         *by, "keyword", "_all", "_x.*"
     ).filter(F.col("count") >= minimum)
     sizes = totals.select(*by, F.struct(
         "_n_all", F.array(*[F.col(f"_n{i}") for i in range(len(groups))]).alias("n")
     ).alias("_sizes"))
     if by:
-        sized = lookup_join(counted, sizes, by, "inner", spread=["keyword"])
+        sized = lookup_join(counted, sizes, by, "inner", spread=["keyword"], probe=True)
     else:
         sized = counted.withColumn("_sizes", sizes.scalar())
     n_target = F.element_at(F.col("_sizes.n"), F.col("_i") + 1)
