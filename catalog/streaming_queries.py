@@ -11,17 +11,19 @@ from catalog.sql import query
 from catalog.text_queries import _LEXICON_ROWS, _SCORED
 from echolens import constants as C
 from echolens.plans.analyze import AnalyzeOptions
-from echolens.session import workspace
+from echolens.session import RELEASED, held_settings, workspace
 from echolens.streaming import incremental
 
 RESULT = ("comment_id", "sentiment_label", "sentiment_confidence", "sentiment_method")
 _RESULTS = f"SELECT 'c' || l.seq AS comment_id, l.* FROM kept k JOIN ({_LEXICON_ROWS}) l ON k.seq = l.seq"
 
 
-def _run(spark, base, options, files=4):
+def _run(spark, base, options, landed, files=4):
+    """``landed`` is the number of files of the first landing, which tells how large a batch is."""
     stream = incremental.landed_comments(spark, f"{base}/landed", files_per_batch=files)
+    parts = max(2 * min(files, landed), spark.sparkContext.defaultParallelism)
     incremental.incremental_analyze(
-        stream, f"{base}/out", f"{base}/progress", options, compact_every=2
+        stream, f"{base}/out", f"{base}/progress", options, compact_every=2, parts=parts
     ).awaitTermination()
 
 
@@ -35,6 +37,25 @@ def _options(**more):
     )
 
 
+# Bytes of the table for a landed file, and files of a landing at least.
+LANDED_BYTES, LANDED_FILES = 64 << 20, 8
+
+
+def _land(rows, base, sf):
+    """Rows land as packed files, whose number follows from the bytes and not from the shuffles.
+
+    The fastest level packs them, since each is read once. Returns the number of files.
+    """
+    spark = rows.sparkSession
+    table = int(V.table(spark, sf, "documents")._jdf.queryExecution().analyzed().stats().sizeInBytes())
+    files = max(LANDED_FILES, table // LANDED_BYTES)
+    with held_settings(spark, RELEASED):
+        rows.coalesce(files).write.mode("append").options(
+            **{"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
+        ).json(f"{base}/landed")
+    return files
+
+
 @register("incremental_analysis", query(
     "tokenized", f"SELECT {', '.join(RESULT)} FROM labeled", **_SCORED, kept=_KEPT, labeled=_RESULTS))
 def incremental_analysis(spark, sf):
@@ -45,10 +66,10 @@ def incremental_analysis(spark, sf):
     """
     base = workspace(spark, "incremental")
     posts = _landed(spark, sf)
-    posts.filter("seq % 2 = 0").write.json(f"{base}/landed")
-    _run(spark, base, _options())
-    posts.filter("seq % 2 = 1 OR seq % 6 = 0").write.mode("append").json(f"{base}/landed")
-    _run(spark, base, _options())
+    landed = _land(posts.filter("seq % 2 = 0"), base, sf)
+    _run(spark, base, _options(), landed)
+    _land(posts.filter("seq % 2 = 1 OR seq % 6 = 0"), base, sf)
+    _run(spark, base, _options(), landed)
     return incremental.current_results(spark, f"{base}/out").select(*RESULT)
 
 
@@ -65,13 +86,13 @@ def incremental_mode_change(spark, sf):
     """All posts are labeled, then a third lands again once there are second opinions."""
     base = workspace(spark, "incremental")
     posts = _landed(spark, sf)
-    posts.write.json(f"{base}/landed")
-    _run(spark, base, _options(), files=1000)
-    posts.filter("seq % 3 = 0").write.mode("append").json(f"{base}/landed")
+    landed = _land(posts, base, sf)
+    _run(spark, base, _options(), landed, files=1000)
+    _land(posts.filter("seq % 3 = 0"), base, sf)
     second = posts.filter("seq % 9 <> 0").select(
         "comment_id", F.lit(C.NEGATIVE).alias("label"), ((50 + F.col("seq") % 50) / 100.0).alias("confidence")
     )
-    _run(spark, base, _options(fallback=second, threshold=0.9), files=1000)
+    _run(spark, base, _options(fallback=second, threshold=0.9), landed, files=1000)
     return incremental.current_results(spark, f"{base}/out").select(*RESULT)
 
 

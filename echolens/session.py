@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -70,6 +72,24 @@ def workspace(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+# The shuffle files of a statement go when it ends, not when the driver collects garbage. For
+# writes, and streams that start with it: a frame that is run twice would shuffle again.
+RELEASED = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
+
+@contextmanager
+def held_settings(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[None]:
+    """``settings`` within, and those of before afterwards."""
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Deal rows out by ``keys``, whatever the size of the input.
 

@@ -13,21 +13,28 @@ from datetime import timedelta
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from echolens import schema as S
 from echolens.operators.exclusion import INLINE_LIMIT, analyzed_rows, mark_exclusions
 from echolens.plans.analyze import AnalyzeOptions, label_rows
+from echolens.session import RELEASED, held_settings
 from echolens.sources.readers import last_wins
 from echolens.streaming.log import BatchLog
+from echolens.streaming.state import Unfinished
 
 FLAT_SCHEMA = (
     "comment_id string, video_id string, video_caption string, video_author_username string, "
     "is_reply boolean, parent_comment_id string, username string, text_raw string, "
     "create_time string, digg_count bigint, excluded boolean, exclude_reason string, seq bigint"
 )
+# Types whose values a cast to string and back leaves as they are, and the column for them.
+AS_TEXT = ("string", "boolean", "tinyint", "smallint", "int", "bigint")
+ROW = "_row"
+PARTITIONS = "spark.sql.shuffle.partitions"
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -41,12 +48,17 @@ def landed_comments(spark: SparkSession, path: str, files_per_batch: int = 1000)
 
 def _run_batches(
     stream: DataFrame, checkpoint: str, step: Callable[[DataFrame, int], None],
-    available_now: bool = True, mode: str = "append",
+    available_now: bool = True, mode: str = "append", parts: int | None = None,
 ) -> StreamingQuery:
     writer = stream.writeStream.outputMode(mode).foreachBatch(step).option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
-    return writer.start()
+    # the stream keeps the settings that it starts with
+    spark, settings = stream.sparkSession, dict(RELEASED)
+    if parts is not None:
+        settings[PARTITIONS] = str(min(parts, int(spark.conf.get(PARTITIONS))))
+    with held_settings(spark, settings):
+        return writer.start()
 
 
 def last_of_task(key: str, order: str):
@@ -63,43 +75,37 @@ def last_of_task(key: str, order: str):
     return run
 
 
-class Unfinished(StatefulProcessor):
-    """Passes on the last row of each comment whose result is not in the state, or of another mode.
+def _carried(rows: DataFrame) -> DataFrame:
+    """Key, place and the whole row for the state.
 
-    State: mode and ``seq`` of the row that was passed on last. With ``forget_after``
-    a state lives that long; a comment that lands again later is labeled again, which
-    costs work but changes no result.
+    Each row comes back from Python as an Arrow batch of its own, so what it costs is its
+    number of columns: those that a string holds exactly travel in one.
     """
+    packed = [c for c, kind in rows.dtypes if kind in AS_TEXT]
+    named = [c for c in rows.columns if c not in packed or c in ("comment_id", "seq")]
+    return rows.select(*named, F.array(*[F.col(c).cast("string") for c in packed]).alias(ROW))
 
-    def __init__(self, hybrid: bool, forget_after: timedelta | None = None):
-        self.hybrid, self.forget_after = hybrid, forget_after
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        lives = None if self.forget_after is None else int(self.forget_after.total_seconds() * 1000)
-        self.done = handle.getValueState("done", "hybrid boolean, seq bigint", lives)
-
-    def handleInputRows(self, key, rows: Iterator[Row], timer_values) -> Iterator[Row]:
-        last = None
-        for row in rows:
-            if last is None or last.seq is None or (row.seq is not None and row.seq >= last.seq):
-                last = row
-        done = self.done.get()
-        if done is None or done[0] != self.hybrid:
-            self.done.update((self.hybrid, last.seq))
-            yield last
-
-    def close(self) -> None:
-        pass
+def _restored(carried: DataFrame, rows: DataFrame) -> DataFrame:
+    """The rows that ``_carried`` has put together, with the columns of ``rows``."""
+    kinds = dict(rows.dtypes)
+    packed = [c for c in rows.columns if kinds[c] in AS_TEXT]
+    return carried.select(*[
+        F.get(ROW, F.lit(packed.index(c))).cast(kinds[c]).alias(c) if c in packed else c for c in rows.columns
+    ])
 
 
 def unfinished(stream: DataFrame, hybrid: bool, forget_after: timedelta | None = None) -> DataFrame:
     """Comments of a stream that need a result in this mode, each once."""
     stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
-    few = stream.mapInArrow(last_of_task("comment_id", "seq"), stream.schema)
-    return few.groupBy("comment_id").transformWithState(
-        Unfinished(hybrid, forget_after), stream.schema, "Update",
+    carried = _carried(stream.mapInArrow(last_of_task("comment_id", "seq"), stream.schema))
+    packed = [c for c, kind in stream.dtypes if kind in AS_TEXT]
+    passed = StructType([f for f in carried.schema if f.name not in packed])
+    kept = carried.groupBy("comment_id").transformWithState(
+        Unfinished(hybrid, forget_after), passed, "Update",
         "None" if forget_after is None else "ProcessingTime",
     )
+    return _restored(kept, stream)
 
 
 def _analyzed(stream: DataFrame, accounts: DataFrame | Sequence[str]) -> DataFrame:
@@ -115,13 +121,16 @@ def _analyzed(stream: DataFrame, accounts: DataFrame | Sequence[str]) -> DataFra
 def incremental_analyze(
     stream: DataFrame, output: str, checkpoint: str, options: AnalyzeOptions,
     available_now: bool = True, forget_after: timedelta | None = None, compact_every: int | None = None,
+    parts: int | None = None,
 ) -> StreamingQuery:
     """Label comments not labeled yet in this mode, and append them.
 
     Comments of the uploader and of the excluded accounts are left out, as in a
     batch run. A comment labeled without a fallback is labeled again when it lands
     once there is one, and the other way round. The checkpoint holds the state.
-    ``forget_after`` is for runs that go on: timers keep a query awake.
+    ``forget_after`` is for runs that go on: timers keep a query awake. Each batch runs
+    and commits every partition of the state, whatever it brings: ``parts`` is their largest
+    number, for batches that are small beside the session's shuffles. The first run decides.
     """
     if available_now and forget_after is not None:
         raise ValueError("states with a lifetime need a query that goes on")
@@ -136,7 +145,7 @@ def incremental_analyze(
         log.append(labeled.withColumn("hybrid_enabled", F.lit(hybrid)), batch_id)
         log.maybe_compact(batch_id, compact_every)
 
-    return _run_batches(unfinished(kept, hybrid, forget_after), checkpoint, step, available_now, "update")
+    return _run_batches(unfinished(kept, hybrid, forget_after), checkpoint, step, available_now, "update", parts)
 
 
 def results_log(spark: SparkSession, output: str) -> BatchLog:
