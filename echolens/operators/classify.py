@@ -223,6 +223,22 @@ def escalated_rows(base: DataFrame, threshold: float) -> DataFrame:
     return base.filter(~_is_kept(threshold))
 
 
+# The column of a row's second opinion, from ``second_opinions``.
+ANSWER = "_answer"
+
+
+def second_opinions(rows: DataFrame, fallback: DataFrame, key: str = "comment_id") -> DataFrame:
+    """``rows`` with the most confident answer of the fallback, null without one.
+
+    The join shuffles whole rows: before the text stages they hold each text once.
+    """
+    best = (
+        fallback.filter(F.col("label").isNotNull()).groupBy(key)
+        .agg(F.max(F.struct("confidence", "label")).alias(ANSWER))
+    )
+    return rows.join(best, key, "left").select(*rows.columns, ANSWER)
+
+
 def cascade(
     base: DataFrame, fallback: DataFrame | None, threshold: float | None,
     key: str = "comment_id",
@@ -232,10 +248,10 @@ def cascade(
     ``base`` carries base_label and base_confidence (null label: base failed),
     ``fallback(comment_id, label, confidence)`` the precomputed second opinion;
     no answer there means the row stays unclassified, and of several answers the
-    most confident one counts. Without a fallback table
+    most confident one counts; it is joined here unless ``base`` has it. Without a fallback table
     the base result is used as it is.
     """
-    out = [c for c in base.columns if c not in ("base_label", "base_confidence")]
+    out = [c for c in base.columns if c not in ("base_label", "base_confidence", ANSWER)]
     if fallback is None:
         ok = F.col("base_label").isNotNull()
         return base.select(
@@ -246,22 +262,15 @@ def cascade(
         )
     if threshold is None:
         raise ValueError("a cascade with a fallback needs a threshold")
-    second = (
-        fallback.filter(F.col("label").isNotNull()).groupBy(key)
-        .agg(F.max(F.struct("confidence", "label")).alias("_answer"))
-        .select(
-            key, F.col("_answer.label").alias("_label"),
-            F.col("_answer.confidence").alias("_confidence"),
-        )
-    )
+    rows = base if ANSWER in base.columns else second_opinions(base, fallback, key)
+    label, confidence = F.col(ANSWER)["label"], F.col(ANSWER)["confidence"]
     kept = _is_kept(threshold)
-    answered = F.col("_label").isNotNull()
-    rows = base.join(second, key, "left")
+    answered = label.isNotNull()
     return rows.select(
         *out,
-        F.when(kept, F.col("base_label")).when(answered, F.col("_label"))
+        F.when(kept, F.col("base_label")).when(answered, label)
         .otherwise(C.UNCLASSIFIED).alias("sentiment_label"),
-        F.when(kept, F.col("base_confidence")).when(answered, F.col("_confidence"))
+        F.when(kept, F.col("base_confidence")).when(answered, confidence)
         .otherwise(0.0).alias("sentiment_confidence"),
         F.when(kept, "model").when(answered, "llm").otherwise("llm_failed")
         .alias("sentiment_method"),

@@ -33,6 +33,8 @@ class AnalyzeOptions:
 
 def label_rows(rows: DataFrame, options: AnalyzeOptions) -> DataFrame:
     """Text stages, stems and sentiment for rows that still need them."""
+    if options.fallback is not None:
+        rows = classify.second_opinions(rows, options.fallback)
     text = classify.preprocess(rows, options.stopwords, options.slang)
     if options.stems is not None or isinstance(options.lexicon, DataFrame):
         text = durable(text)

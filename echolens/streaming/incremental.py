@@ -149,7 +149,7 @@ def incremental_analyze(
 
 
 def results_log(spark: SparkSession, output: str) -> BatchLog:
-    return BatchLog(spark, output, "comment_id")
+    return BatchLog(spark, output, "comment_id", texts=("text_raw", "text_clean", "tokens_stemmed"))
 
 
 def current_results(spark: SparkSession, output: str) -> DataFrame:

@@ -12,13 +12,23 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Bytes that a task of a compaction reads, and of its file, at most about.
 FILE_BYTES = 64 << 20
 # Batches that may follow a compacted table, in units of the compaction interval.
 TAIL = 32
+# How logs with texts are written, and what a byte of theirs weighs; others are as the session says.
+WRITING, PACKED = {"compression": "zstd", "parquet.compression.codec.zstd.level": "6"}, 4
+# Where a row is stored, and the texts of a row side by side.
+FILE, PLACE, TEXTS = "_file", "_place", "_texts"
+
+
+def _joined(words: Column) -> Column:
+    """Words between blanks; null if they could not be told apart again."""
+    text = F.array_join(words, " ")
+    return F.when(F.split(text, " ") == words, text)
 
 
 class BatchLog:
@@ -26,10 +36,17 @@ class BatchLog:
 
     Keys are matched as they are, a null key is a key. Rows of one batch must differ
     in ``key``. Appending a batch again replaces it.
+
+    ``texts`` names columns (strings, or arrays of words) that say much the same. They are
+    stored one after the other in one column, where each is packed by the one before it;
+    readers get the columns as they were, and logs written without it stay readable.
     """
 
-    def __init__(self, spark: SparkSession, path: str, key: str, order: Sequence[str] = ()):
+    def __init__(
+        self, spark: SparkSession, path: str, key: str, order: Sequence[str] = (), texts: Sequence[str] = ()
+    ):
         self.spark, self.path, self.key, self.order = spark, path.rstrip("/"), key, list(order)
+        self.texts, self.writing = list(texts), WRITING if texts else {}
 
     def _numbers(self, folder: str, prefix: str) -> list[int]:
         """Numbers of the folders ``<prefix>=<number>``, committed ones only where a marker is written."""
@@ -58,21 +75,46 @@ class BatchLog:
                 done.append(upto)
         return done
 
+    def _packed(self, rows: DataFrame) -> DataFrame:
+        """Rows as they are stored; what cannot be packed stays in its own column."""
+        if not self.texts:
+            return rows
+        kinds = dict(rows.dtypes)
+        side = {c: F.col(c) if kinds[c] == "string" else _joined(F.col(c)) for c in self.texts}
+        own = {c: F.when(packed.isNull(), F.col(c)) for c, packed in side.items()}
+        return rows.withColumns({TEXTS: F.array(*side.values()), **own})
+
+    def _unpacked(self, rows: DataFrame) -> DataFrame:
+        kinds, texts = dict(rows.dtypes), {}
+        for i, c in enumerate(self.texts):
+            text = F.get(TEXTS, F.lit(i))
+            texts[c] = F.coalesce(c, text if kinds[c] == "string" else F.split(text, " "))
+        return rows.withColumns(texts).drop(FILE, PLACE, TEXTS)
+
     def append(self, rows: DataFrame, batch_id: int) -> None:
         (
-            rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            self._packed(rows).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").options(**self.writing)
             .partitionBy("batch_id").parquet(self.path)
         )
 
-    def rows(self, upto: int | None = None) -> DataFrame | None:
-        """Rows that may count, with their batch_id; None while nothing was written."""
+    def _read(self, folder: str) -> DataFrame:
+        found = self.spark.read.parquet(folder)
+        if self.texts and TEXTS not in found.columns:
+            # the schema is that of one file, and others may have been written later
+            found = self.spark.read.schema(found.schema.add(TEXTS, "array<string>")).parquet(folder)
+        return found.select(
+            "*", F.col("_metadata.file_name").alias(FILE), F.col("_metadata.row_index").alias(PLACE)
+        )
+
+    def _stored(self, upto: int | None = None) -> DataFrame | None:
+        """Rows that may count, as they are stored and where; None while nothing was written."""
         base = max((n for n in self.compactions() if upto is None or n <= upto), default=None)
         found = None
         if base is not None:
-            found = self.spark.read.parquet(f"{self.path}/_compacted/upto={base}")
+            found = self._read(f"{self.path}/_compacted/upto={base}")
         try:
-            log = self.spark.read.parquet(self.path).withColumn("batch_id", F.col("batch_id").cast("bigint"))
+            log = self._read(self.path).withColumn("batch_id", F.col("batch_id").cast("bigint"))
         except AnalysisException as error:
             # no batch yet; any other error must not pass for an empty log
             if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
@@ -84,6 +126,11 @@ class BatchLog:
             log = log.filter(F.col("batch_id") <= upto)
         return log if found is None else found.unionByName(log, allowMissingColumns=True)
 
+    def rows(self, upto: int | None = None) -> DataFrame | None:
+        """Rows that may count, with their batch_id; None while nothing was written."""
+        stored = self._stored(upto)
+        return None if stored is None else self._unpacked(stored)
+
     def _tail(self, upto: int) -> tuple[int | None, list[int]]:
         """The compacted table that counts, and the batches after it."""
         base = max((n for n in self.compactions() if n <= upto), default=None)
@@ -97,42 +144,59 @@ class BatchLog:
             size += files.getContentSummary(path).getLength()
         return size
 
-    def current(self, upto: int | None = None, parts: int | None = None) -> DataFrame | None:
-        """The row of each key that counts, with its batch_id; dealt to ``parts`` tasks by key if given."""
-        rows = self.rows(upto)
-        if rows is None:
-            return None
-        if parts is not None:
-            rows = rows.repartition(parts, self.key)
-        rest = [c for c in rows.columns if c != self.key]
-        best = F.max_by(F.struct(*rest), F.struct(*self.order, "batch_id")).alias("_row")
-        return rows.groupBy(self.key).agg(best).select(self.key, "_row.*").select(*rows.columns)
+    def _counting(self, stored: DataFrame) -> DataFrame:
+        """Stored rows without those that a later one replaces.
+
+        Only keys and places are shuffled. What is replaced comes back as one bit per row,
+        64 rows to a word, which is broadcast: some two bytes per row of the log at most.
+        """
+        order = [*self.order, "batch_id", FILE, PLACE]
+        rank = F.row_number().over(Window.partitionBy(self.key).orderBy(*[F.desc(c) for c in order]))
+        places = stored.select(*dict.fromkeys([self.key, *order])).withColumn("_rank", rank)
+        word, bit = F.floor(F.col(PLACE) / 64), (F.col(PLACE) % 64).cast("int")
+        replaced = places.filter("_rank > 1").groupBy(FILE, word.alias("_word")).agg(
+            F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)).alias("_bits")
+        )
+        marked = stored.withColumn("_word", word).join(F.broadcast(replaced), [FILE, "_word"], "left")
+        return marked.filter(F.coalesce(F.getbit("_bits", bit), F.lit(0)) == 0).select(*stored.columns)
+
+    def current(self, upto: int | None = None) -> DataFrame | None:
+        """The row of each key that counts, with its batch_id."""
+        stored = self._stored(upto)
+        return None if stored is None else self._unpacked(self._counting(stored))
 
     def compact(self, upto: int) -> None:
         """Fold the batches up to ``upto`` into one table.
 
         Tasks and files are sized by bytes, so their number does not depend on the number
-        of batches, and rows are shuffled once. Folders that the previous compaction
-        replaced are deleted.
+        of batches, and rows are copied where they are read, without a shuffle. Folders that
+        the previous compaction replaced are deleted first.
         """
         before = [n for n in self.compactions() if n < upto]
-        base, tail = self._tail(upto)
-        size = self._bytes([f"_compacted/upto={base}"] * (base is not None) + [f"batch_id={n}" for n in tail])
-        rows = self.current(upto, 1 + size // FILE_BYTES)
-        if rows is None:
-            return
-        rows.write.mode("overwrite").parquet(f"{self.path}/_compacted/upto={upto}")
         if before:
             for n in self.batches():
                 if n <= before[-1]:
                     self._delete(f"{self.path}/batch_id={n}")
             for n in before[:-1]:
                 self._delete(f"{self.path}/_compacted/upto={n}")
+        stored = self._stored(upto)
+        if stored is None:
+            return
+        base, tail = self._tail(upto)
+        size = self._bytes([f"_compacted/upto={base}"] * (base is not None) + [f"batch_id={n}" for n in tail])
+        parts = 1 + size * (PACKED if self.texts else 1) // FILE_BYTES
+        # a file that is read in one piece may hold the rows of several
+        most = 2 * (1 + stored.count() // parts)
+        (
+            self._counting(stored).drop(FILE, PLACE).coalesce(parts)
+            .write.mode("overwrite").option("maxRecordsPerFile", most).options(**self.writing)
+            .parquet(f"{self.path}/_compacted/upto={upto}")
+        )
 
     def maybe_compact(self, batch_id: int, every: int | None) -> None:
-        """After each ``every`` batches, if those since the last compaction weigh as much as its table.
+        """After each ``every`` batches, if those since the last compaction weigh about as much as its table.
 
-        So a byte that is appended costs two bytes written again at most, however many
+        So a byte that is appended costs some two bytes written again, however many
         batches there are. ``TAIL`` intervals without a compaction are folded anyway,
         which bounds the number of folders.
         """
@@ -140,6 +204,7 @@ class BatchLog:
             return
         base, tail = self._tail(batch_id)
         if base is not None and len(tail) < TAIL * every:
-            if self._bytes([f"batch_id={n}" for n in tail]) < self._bytes([f"_compacted/upto={base}"]):
+            # the same rows weigh somewhat more or less in other files
+            if 16 * self._bytes([f"batch_id={n}" for n in tail]) < 15 * self._bytes([f"_compacted/upto={base}"]):
                 return
         self.compact(batch_id)
